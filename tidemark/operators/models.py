@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.stat import Summarizer
@@ -53,18 +53,38 @@ def random_split(df: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int =
 
 
 def feature_stages(numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> list:
-    """Index and one-hot encode the categories, then assemble one vector. The label is no input."""
+    """Index and one-hot encode the categories, then assemble one vector. The label is no input.
+
+    A level not seen in training gets no column of its own (all zeros).
+    """
     stages: list = []
+    encoded = [f"{c}_onehot" for c in categorical]
     if categorical:
-        indexed, encoded = [f"{c}_index" for c in categorical], [f"{c}_onehot" for c in categorical]
+        indexed = [f"{c}_index" for c in categorical]
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded))
-    else:
-        encoded = []
     stages.append(VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="skip"))
     return stages
 
 
+def reference_coded_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Like :func:`feature_stages`, without the column of each category's most frequent level.
+
+    Least squares needs this: with all levels present the columns would add up
+    to the intercept. Unseen levels count as the most frequent one.
+    """
+    if not categorical:
+        return feature_stages(numeric, [])
+    indexer, encoder, _ = feature_stages(numeric, categorical)
+    fitted = indexer.fit(train)
+    stages, inputs = [fitted, encoder], list(numeric)
+    for name, labels in zip(categorical, fitted.labelsArray):
+        if len(labels) > 1:
+            stages.append(VectorSlicer(inputCol=f"{name}_onehot", outputCol=f"{name}_levels", indices=list(range(1, len(labels)))))
+            inputs.append(f"{name}_levels")
+    return [*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")]
+
+
 def fit_boosted_trees(train: DataFrame, label: str = LABEL, numeric: Sequence[str] = NUMERIC,
                       categorical: Sequence[str] = CATEGORICAL, trees: int = TREES, rate: float = LEARNING_RATE,
                       depth: int = TREE_DEPTH, seed: int = SEED) -> PipelineModel:
@@ -82,7 +102,7 @@ def fit_linear(train: DataFrame, label: str = LABEL, numeric: Sequence[str] = NU
                categorical: Sequence[str] = CATEGORICAL) -> PipelineModel:
     """Ordinary least squares; one pass over the rows while there are few features."""
     line = LinearRegression(labelCol=label, featuresCol="features", regParam=0.0, solver="auto")
-    return Pipeline(stages=[*feature_stages(numeric, categorical), line]).fit(train)
+    return Pipeline(stages=[*reference_coded_stages(train, numeric, categorical), line]).fit(train)
 
 
 def predict(model: PipelineModel, instances: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:

@@ -119,9 +119,10 @@ def box_plot(df: DataFrame, value: str, category: str | None = None, overall: st
     quartiles = percentiles_of_counts(counts, ["category", "metric"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     fences = quartiles.withColumn("_low", F.col("q1") - reach).withColumn("_high", F.col("q3") + reach)
-    joined = counts.join(fences, counts["category"].eqNullSafe(fences["category"]) & (counts["metric"] == fences["metric"]))
+    fences = fences.withColumnsRenamed({"category": "_category", "metric": "_metric"})
+    joined = counts.join(fences, F.col("category").eqNullSafe(F.col("_category")))
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
-    return joined.groupBy(fences["category"]).agg(
+    return joined.groupBy("category").agg(
         F.sum("n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),

@@ -26,9 +26,10 @@ def write_numbered_batches(df: DataFrame, path: str, order: list[str], batch_row
      .write.mode("error").partitionBy("batch").text(path))
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Create or replace a managed table from a query."""
-    df.write.mode("overwrite").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Create or replace a table from a query: managed, or external at a path."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def append_valid(df: DataFrame, valid, path: str, errors_path: str) -> None:
