@@ -1,7 +1,8 @@
 """Embedding hooks.
 
 An embedder is a function from a text column to an ``array<float>`` column. A
-hosted model plugs in as an Arrow pandas UDF of that shape; the default below
+hosted model plugs in as an Arrow pandas UDF of that shape, marked with
+``asNondeterministic`` so that each row is sent once; the default below
 needs no service: every token adds +1 or -1 to one of ``dims`` cells, chosen by
 its MD5 digest, and the sum is scaled to length 1. It works on Arrow batches
 inside the task, so embedding causes no shuffle.
@@ -11,7 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,36 +38,45 @@ def token_cell(token: str, dims: int) -> int:
     return (int(digest[:8], 16) % dims) * 2 + (int(digest[8], 16) >= 8)
 
 
+class _Cells(dict):
+    """Token to signed cell, computed once per token and task. The empty token has no cell."""
+
+    def __init__(self, dims: int):
+        super().__init__({"": -1})
+        self.dims = dims
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > _CACHE_LIMIT:
+            self.clear()
+            self[""] = -1
+        code = self[token] = token_cell(token, self.dims)
+        return code
+
+
 def hashed_embedder(dims: int = TEXT_DIMS) -> Embedder:
+    """The default embedder with vectors of ``dims`` cells."""
     space = re.compile(SPACE)
 
     @F.pandas_udf(ArrayType(FloatType()))
-    def embed(texts: pd.Series) -> pd.Series:
-        cells: dict[str, int] = {}
-        out: list[np.ndarray] = []
-        for start in range(0, len(texts), _ROWS_AT_ONCE):
-            part = texts.iloc[start:start + _ROWS_AT_ONCE]
-            if len(cells) > _CACHE_LIMIT:
-                cells.clear()
-            rows, codes = [], []
-            for row, text in enumerate(part):
-                for token in space.split(text or ""):
-                    if token:
-                        code = cells.get(token)
-                        if code is None:
-                            code = cells[token] = token_cell(token, dims)
-                        rows.append(row)
-                        codes.append(code)
-            code_array = np.asarray(codes, dtype=np.int64)
-            flat = np.asarray(rows, dtype=np.int64) * dims + code_array // 2
-            sums = np.bincount(flat, weights=1.0 - 2.0 * (code_array % 2), minlength=len(part) * dims)
-            matrix = sums.reshape(len(part), dims)
-            lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
-            out.extend(matrix.astype(np.float32))
-        return pd.Series(out, dtype=object)
-
-    return lambda text: embed(F.lower(text))
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cells = _Cells(dims)
+        for texts in batches:
+            out: list[np.ndarray] = []
+            for start in range(0, len(texts), _ROWS_AT_ONCE):
+                part = [space.split(text or "") for text in texts.iloc[start:start + _ROWS_AT_ONCE]]
+                codes = np.fromiter(map(cells.__getitem__, chain.from_iterable(part)), dtype=np.int64)
+                rows = np.repeat(np.arange(len(part)), [len(tokens) for tokens in part])
+                rows, codes = rows[codes >= 0], codes[codes >= 0]
+                sums = np.bincount(rows * dims + codes // 2, weights=1.0 - 2.0 * (codes % 2), minlength=len(part) * dims)
+                matrix = sums.reshape(len(part), dims)
+                lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+                matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+                out.extend(matrix.astype(np.float32))
+            yield pd.Series(out, dtype=object)
+
+    # Without this mark the optimizer may copy the call into inferred filters and run it twice.
+    once = embed.asNondeterministic()
+    return lambda text: once(F.lower(text))
 
 
 def embed_text(df: DataFrame, text: str, embedder: Embedder | None = None, out: str = "embedding") -> DataFrame:

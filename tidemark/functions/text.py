@@ -41,8 +41,8 @@ def chunks(toks: Column, size: int, overlap: int) -> Column:
     numbers = F.when(F.size(toks) > 0, F.sequence(F.lit(0), chunk_count(F.size(toks), size, overlap) - 1))
 
     def one(i: Column) -> Column:
-        part = F.slice(toks, i * step + 1, F.lit(size))
-        return F.struct((i * step).alias("start_token"), F.size(part).alias("n_tokens"),
-                        F.array_join(part, " ").alias("text"))
+        start = i * step
+        return F.struct(start.alias("start_token"), F.least(F.lit(size), F.size(toks) - start).alias("n_tokens"),
+                        F.array_join(F.slice(toks, start + 1, F.lit(size)), " ").alias("text"))
 
     return F.transform(numbers, one)

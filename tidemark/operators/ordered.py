@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from tidemark.session import checkpointed
 
 SEGMENT = "_segment"
+# Carried tables up to this many rows (some MB) are broadcast; larger ones join by shuffle.
+BROADCAST_ROWS = 100_000
+# Count tables up to this many distinct values (some 100 MB) may meet in one task.
+SMALL_COUNTS = 2_000_000
 
 
 def _same_group(left: DataFrame, right: DataFrame, group: Sequence[str]) -> Column:
@@ -121,9 +125,9 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], values: Sequence[str]
     """Exact, linearly interpolated percentiles in long form: (group..., metric, <prob names>).
 
     The built-in ``percentile`` keeps every distinct value of a group in one
-    buffer. Here equal values are first counted (which folds hot values), then
-    placed by a distributed running total, and the rows around each wanted
-    position are picked with constant-size aggregates.
+    buffer. Here equal values are first counted, which folds hot values; a count
+    table too large for one task is then ranked across range segments, and the
+    rows around each wanted position are picked with constant-size aggregates.
     """
     counts = value_counts_long(df, group, values, metric)
     return percentiles_of_counts(counts, [*group, metric], probs)
@@ -136,19 +140,58 @@ def value_counts_long(df: DataFrame, group: Sequence[str], values: Sequence[str]
     return long.groupBy(*group, metric, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def percentiles_of_counts(counts: DataFrame, group: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """Percentiles from a (group..., value, n) table; see :func:`exact_percentiles`."""
-    placed = running_total(counts, group, ["value"], "n", upto="_upto", total="_n")
-    picks = []
+def percentiles_of_counts(counts: DataFrame, group: Sequence[str], probs: dict[str, float],
+                          fixed: bool = False) -> DataFrame:
+    """Percentiles from a (group..., value, n) table; see :func:`exact_percentiles`.
+
+    The table is written once (unless ``fixed`` says it already is) and counted:
+    up to ``SMALL_COUNTS`` rows fit any task, so the built-in aggregate is used;
+    beyond that the values are ranked across range segments.
+    """
+    written = counts if fixed else checkpointed(counts)
+    if written.count() > SMALL_COUNTS:
+        return percentiles_of_staged(stage_in_order(written, group, ["value"]), group, probs)
+    wanted = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("n"))
+    found = written.groupBy(*group).agg(wanted.alias("_p"))
+    return found.select(*group, *[F.col("_p")[i].alias(name) for i, name in enumerate(probs)])
+
+
+def percentiles_of_staged(staged: DataFrame, group: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Percentiles from a staged count table.
+
+    The segment totals tell which segment holds each wanted position, so running
+    counts are made in those segments only: at most two per percentile and group,
+    however many segments there are.
+    """
+    names = [f"_g{i}" for i in range(len(group))]
+    over_group = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    earlier = over_group.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    totals = _carry(staged, group, {"_sum": F.sum("n")},
+                    {"_sum": F.col("_sum"), "_before": F.coalesce(F.sum("_sum").over(earlier), F.lit(0)),
+                     "_total": F.sum("_sum").over(over_group)})
+    points = []
     for i, p in enumerate(probs.values()):
-        position = F.lit(float(p)) * (F.col("_n") - 1)
+        position = F.lit(float(p)) * (F.col("_total") - 1)
         for side, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            hit = (F.col("_upto") > at) & (F.col("_upto") - F.col("n") <= at)
-            picks.append(F.max(F.when(hit, F.col("value"))).alias(f"_{side}{i}"))
-    picked = placed.groupBy(*group).agg(F.max("_n").alias("_n"), *picks)
+            points.append(F.struct(F.lit(f"{side}{i}").alias("name"), (at - F.col("_before")).alias("at")))
+    inside = F.filter(F.array(*points), lambda x: (x["at"] >= 0) & (x["at"] < F.col("_sum")))
+    wanted = checkpointed(totals.withColumn("_points", inside).filter(F.size("_points") > 0).drop("_sum", "_before"))
+    if wanted.count() <= BROADCAST_ROWS:
+        near = staged.join(F.broadcast(wanted), _same_group(staged, wanted, group))
+    else:
+        near = staged.join(wanted, _same_group(staged, wanted, group))
+    running = Window.partitionBy(SEGMENT, *group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = near.withColumn("_upto", F.sum("n").over(running))
+
+    def pick(name: str) -> Column:
+        hit = F.exists("_points", lambda x: (x["name"] == name) & (x["at"] < F.col("_upto")) & (x["at"] >= F.col("_upto") - F.col("n")))
+        return F.max(F.when(hit, F.col("value"))).alias(f"_{name}")
+
+    picked = placed.groupBy(*group).agg(
+        F.max("_total").alias("_total"), *[pick(f"{side}{i}") for i in range(len(probs)) for side in ("lo", "hi")])
     out = []
     for i, (name, p) in enumerate(probs.items()):
-        position = F.lit(float(p)) * (F.col("_n") - 1)
+        position = F.lit(float(p)) * (F.col("_total") - 1)
         share = position - F.floor(position)
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share).alias(name))
     return picked.select(*group, *out)

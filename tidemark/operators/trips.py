@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import percentiles_of_counts, value_counts_long
+from tidemark.session import checkpointed
 
 # Bounds of the validity and outlier filters.
 FARE_RANGE = (2.5, 100.0)
@@ -108,15 +109,23 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
                           (lower + F.col("bin") * width).alias("upper"), "n")
 
 
-def box_plot(df: DataFrame, value: str, category: str | None = None, overall: str = "(all)") -> DataFrame:
-    """Box-plot numbers per category, or overall: quartiles, whiskers within 1.5 IQR and the outlier count.
+def box_plot(df: DataFrame, value: str, category: str | None = None, overall: str | None = "(all)") -> DataFrame:
+    """Box-plot numbers per category and overall: quartiles, whiskers within 1.5 IQR and the outlier count.
 
     Everything is read from the table of distinct values and their counts, so hot
-    categories are folded before any row moves.
+    categories are folded before any row moves; the overall row is added up from
+    the same table.
     """
-    source = df.select((F.col(category).cast("string") if category else F.lit(overall)).alias("category"), value)
-    counts = value_counts_long(source, ["category"], [value])
-    quartiles = percentiles_of_counts(counts, ["category", "metric"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    if category is None and overall is None:
+        raise ValueError("nothing to describe: give a category or a name for the overall row")
+    named = df.select((F.col(category).cast("string") if category else F.lit(overall)).alias("category"), value)
+    counts = value_counts_long(named, ["category"], [value])
+    if category and overall:
+        # One more row per value and category: the counting happens on the folded table.
+        both = counts.withColumn("category", F.explode(F.array("category", F.lit(overall))))
+        counts = both.groupBy("category", "metric", "value").agg(F.sum("n").alias("n"))
+    counts = checkpointed(counts)
+    quartiles = percentiles_of_counts(counts, ["category", "metric"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, fixed=True)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     fences = quartiles.withColumn("_low", F.col("q1") - reach).withColumn("_high", F.col("q3") + reach)
     fences = fences.withColumnsRenamed({"category": "_category", "metric": "_metric"})

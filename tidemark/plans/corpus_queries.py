@@ -11,7 +11,7 @@ from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
 from tidemark.operators.vector_index import build_index, search_index
 from tidemark.operators.vector_search import DISTANCE_THRESHOLD, VectorColumns, image_neighbours, nearest
-from tidemark.plans.tables import documents_as_files, image_collection, table
+from tidemark.plans.tables import documents_as_files, image_collection, spread, table
 from tidemark.session import scratch_path
 from tidemark.streaming.updates import start_vector_updates
 
@@ -42,12 +42,12 @@ def _embedding_sql(source: str, key: str, text: str, dims: int) -> str:
 
 
 def chunk_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
     return corpus.chunk_documents(docs)
 
 
 def embed_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
     embedded = embed_text(docs, "text", hashed_embedder(CHECK_DIMS)).select("doc_id", "embedding")
     return embedded.select("doc_id", F.posexplode("embedding").alias("dim", "v")).select(
         "doc_id", "dim", F.round(F.col("v").cast("double"), 6).alias("value"))
@@ -110,7 +110,7 @@ def index_append(spark, sf_dir):
 
 
 def retrieve(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
     embedder = hashed_embedder(RETRIEVE_DIMS)
     stored = embed_text(corpus.chunk_documents(docs), "text", embedder).select(
         (F.col("doc_id") * 100000 + F.col("chunk_id")).alias("chunk_key"), "embedding")

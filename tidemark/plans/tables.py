@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.readers import CUSTOMER_TYPE
+from tidemark.sources.readers import CUSTOMER_TYPE, spread_small_scan
 
 OBJECT_PREFIX = "Image_source_data/"
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table, over all cores, for work that is heavy per row."""
+    return spread_small_scan(table(spark, sf_dir, name).select(*columns))
+
+
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` as raw catalog rows, with every kind of specification, image and price text."""
     kind, size, price = F.col("p_type"), F.col("p_size").cast("string"), F.col("p_retailprice")
@@ -35,7 +40,8 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = (F.when(kind == "SMALL", F.concat(F.lit('"'), picture, F.lit('.jpg"')))
              .when(kind == "LARGE", picture)
              .otherwise(F.concat(F.lit('["'), picture, F.lit('-1.jpg", "'), picture, F.lit('-2.jpg"]'))))
-    return table(spark, sf_dir, "part").select(
+    parts = spread(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    return parts.select(
         F.col("p_partkey").cast("string").alias("uniq_id"), F.col("p_name").alias("product_name"),
         F.when(kind == "MEDIUM", F.lit("")).otherwise(F.col("p_brand")).alias("brand"),
         tree.alias("product_category_tree"),
@@ -49,7 +55,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as files: (doc_id, source, file_uri, text)."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         "doc_id", "source",
         F.concat(F.lit("gs://"), "source", F.lit("/doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_uri"),
         "text")
@@ -76,7 +82,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     payment = (F.when(kind.isin("purchase", "view"), F.lit("Credit Card")).when(kind == "click", F.lit("Cash"))
                .when(kind == "signup", F.lit("Mobile")))
-    return table(spark, sf_dir, "events").select(
+    events = spread(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    return events.select(
         "event_id", F.col("value").alias("fare"), (F.col("value") + k * F.lit(0.25)).alias("trip_total"),
         (k / F.lit(4.0)).alias("trip_miles"), (F.col("user_id") * 60).alias("trip_seconds"),
         F.col("ts").alias("trip_start_timestamp"), payment.alias("payment_type"),

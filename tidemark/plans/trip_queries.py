@@ -62,10 +62,8 @@ def trip_histogram(spark, sf_dir):
 
 
 def trip_boxplot(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
-    per_flag = trips.box_plot(items, "l_extendedprice", "l_returnflag")
-    overall = trips.box_plot(items, "l_extendedprice")
-    return _round(per_flag.unionByName(overall), "q1", "median", "q3", "whisker_low", "whisker_high")
+    boxes = trips.box_plot(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_returnflag")
+    return _round(boxes, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
 def trip_corr(spark, sf_dir):
