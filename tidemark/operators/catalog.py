@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,12 @@ from tidemark.operators.ordered import global_row_number
 BATCH_ROWS = 5000
 
 
-def clean_catalog(raw: DataFrame) -> DataFrame:
-    """Catalog rows to (id, text_for_embedding, metadata). One narrow pass."""
+def clean_catalog(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Catalog rows to (id, text_for_embedding, metadata) and any columns to keep. One narrow pass."""
     category = rules.category_path(F.col("product_category_tree"))
     specs = rules.specification_text(F.col("product_specifications"))
     return raw.select(
-        F.col("uniq_id").alias("id"),
+        *keep, F.col("uniq_id").alias("id"),
         rules.embedding_text(F.col("product_name"), F.col("brand"), category, F.col("description"),
                              specs).alias("text_for_embedding"),
         F.struct(

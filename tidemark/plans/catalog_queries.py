@@ -66,8 +66,9 @@ def catalog_files(spark, sf_dir):
     """Raw rows to CSV, scan, clean, numbered JSONL batches, and what the files then hold."""
     source, out = scratch_path(spark, "catalog-csv"), scratch_path(spark, "catalog-jsonl")
     raw_catalog(spark, sf_dir).write.option("header", True).option("escape", '"').csv(source)
-    cleaned = clean_catalog(read_catalog(spark, source)).withColumn("part", F.col("id").cast("bigint"))
-    write_numbered_batches(cleaned.select("part", "text_for_embedding"), out, ["part"], BATCH)
+    raw = read_catalog(spark, source).withColumn("part", F.col("uniq_id").cast("bigint"))
+    cleaned = clean_catalog(number_batches(raw, ["part"], BATCH), ["part", "row_no", "batch"])
+    write_numbered_batches(cleaned.select("part", "text_for_embedding", "row_no", "batch"), out)
     rows = spark.read.schema("part bigint, text_for_embedding string, batch bigint").json(out)
     return rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("first_part"),
                                      F.max("part").alias("last_part"),

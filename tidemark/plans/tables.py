@@ -101,7 +101,8 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as keyed customer records (pos, key, customer, fields)."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name"))
     number = F.substring_index("c_name", "#", -1)
-    c = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left")
+    customers = spread(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = customers.join(nation, "c_nationkey", "left")
     record = F.struct(
         F.col("c_custkey").alias("customer_id"), F.substring_index("c_name", "#", 1).alias("firstName"),
         F.concat(F.lit("No"), number).alias("lastName"),
@@ -127,7 +128,9 @@ def customer_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("o_orderpriority").alias("street")).alias("address"), F.lit(None).cast("string").alias("phone"))
     other = F.struct(F.col("o_orderkey").alias("lastOrder"), (F.col("o_totalprice") > 250000).alias("teletransmission"))
     options = {"ignoreNullFields": "false"}
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                    "o_orderpriority")
+    return orders.select(
         (F.col("o_custkey") + F.when(status == "P", F.lit(1_000_000_000)).otherwise(F.lit(0))).alias("customer_id"),
         F.when(status == "F", F.to_json(patch, options)).otherwise(F.to_json(other, options)).alias("patch"),
         F.col("o_orderdate").alias("event_ts"), F.col("o_orderkey").alias("event_no"))

@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.catalog import BATCH_ROWS, number_batches
-
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """JSON lines at a new path; an existing path is refused, so input is never overwritten."""
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("error").text(path)
 
 
-def write_numbered_batches(df: DataFrame, path: str, order: list[str], batch_rows: int = BATCH_ROWS) -> None:
-    """JSONL files of exactly ``batch_rows`` rows in input order, the last one smaller.
+def write_numbered_batches(numbered: DataFrame, path: str) -> None:
+    """JSONL files from rows that carry ``row_no`` and ``batch`` (see ``number_batches``).
 
-    Batch n is the single file below ``batch=n``. Rows move once, to the task of
-    their batch, and all batches have the same size.
+    Batch n is the single file below ``batch=n``, in input order. Rows move once,
+    to the task of their batch, and all batches but the last have the same size.
+    Number the raw rows first and clean them afterwards: numbering reads its
+    input twice, once to find the range bounds.
     """
-    columns = df.columns
-    numbered = number_batches(df, order, batch_rows)
+    columns = [c for c in numbered.columns if c not in ("row_no", "batch")]
     lines = numbered.select("batch", "row_no", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
     (lines.repartition(F.col("batch")).sortWithinPartitions("batch", "row_no").drop("row_no")
      .write.mode("error").partitionBy("batch").text(path))
