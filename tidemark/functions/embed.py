@@ -63,12 +63,12 @@ def hashed_embedder(dims: int = TEXT_DIMS) -> Embedder:
         for texts in batches:
             out: list[np.ndarray] = []
             for start in range(0, len(texts), _ROWS_AT_ONCE):
-                part = [space.split(text or "") for text in texts.iloc[start:start + _ROWS_AT_ONCE]]
+                part = [space.split(text) for text in texts.iloc[start:start + _ROWS_AT_ONCE]]
                 codes = np.fromiter(map(cells.__getitem__, chain.from_iterable(part)), dtype=np.int64)
                 rows = np.repeat(np.arange(len(part)), [len(tokens) for tokens in part])
                 rows, codes = rows[codes >= 0], codes[codes >= 0]
                 sums = np.bincount(rows * dims + codes // 2, weights=1.0 - 2.0 * (codes % 2), minlength=len(part) * dims)
-                matrix = sums.reshape(len(part), dims)
+                matrix = sums.astype(np.float64, copy=False).reshape(len(part), dims)
                 lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
                 matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
                 out.extend(matrix.astype(np.float32))
@@ -76,7 +76,7 @@ def hashed_embedder(dims: int = TEXT_DIMS) -> Embedder:
 
     # Without this mark the optimizer may copy the call into inferred filters and run it twice.
     once = embed.asNondeterministic()
-    return lambda text: once(F.lower(text))
+    return lambda text: once(F.lower(F.coalesce(text, F.lit(""))))
 
 
 def embed_text(df: DataFrame, text: str, embedder: Embedder | None = None, out: str = "embedding") -> DataFrame:

@@ -73,7 +73,9 @@ def rouge(target: Column, prediction: Column, use_stemmer: bool = True) -> Colum
 
     @F.pandas_udf(_SCHEMA)
     def scores(targets: pd.Series, predictions: pd.Series) -> pd.DataFrame:
-        rows = [score_pair(t or "", p or "", use_stemmer) for t, p in zip(targets, predictions)]
+        rows = [score_pair(t, p, use_stemmer) for t, p in zip(targets, predictions)]
         return pd.DataFrame(rows, columns=list(METRICS), dtype="float64")
 
-    return scores.asNondeterministic()(target, prediction)
+    # The mark keeps the optimizer from copying the call into filters.
+    once = scores.asNondeterministic()
+    return once(F.coalesce(target, F.lit("")), F.coalesce(prediction, F.lit("")))

@@ -139,10 +139,19 @@ def box_plot(df: DataFrame, value: str, category: str | None = None, overall: st
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each pair of numeric columns as rows (left, right, corr), in one pass."""
+    """Pearson correlation of each pair of numeric columns as rows (left, right, corr), in one pass.
+
+    Rows with a null in either column do not count for that pair; a column
+    without spread gives null.
+    """
     pairs = list(combinations(columns, 2))
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    one = numbers.agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    one = numbers.agg(*[pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"_c{i}").alias("corr"))
                      for i, (a, b) in enumerate(pairs)])
     return one.select(F.inline(rows))

@@ -23,7 +23,7 @@ def decode_events(envelopes: DataFrame) -> DataFrame:
     return event.select("data", F.when(usable, F.col("e.name")).alias("name"),
                         F.when(usable, F.col("e.bucket")).alias("bucket"),
                         F.when(usable, object_uri(F.col("e.bucket"), F.col("e.name"))).alias("file_uri"),
-                        F.coalesce("e.problem", F.when(F.col("data").isNull(), F.lit("no data"))).alias("problem"))
+                        F.coalesce(F.when(F.col("data").isNull(), F.lit("no data")), F.col("e.problem")).alias("problem"))
 
 
 def status_rows(events: DataFrame, loaded: DataFrame, corpus: str) -> DataFrame:
