@@ -31,6 +31,14 @@ def test_json_array_round_trip(spark, fixed):
     assert [(r.pos, r.value) for r in read_json_array(spark, path).collect()] == [(0, "a"), (1, "b\n\"é\"")]
 
 
+def test_long_json_arrays_are_split_and_counted_on(spark):
+    path = scratch_path(spark, "array")
+    write_json_array(spark.range(25).selectExpr("id", "concat('t', id) AS t"), "id", "t", path, file_rows=10)
+    assert spark.read.text(path, wholetext=True).count() == 3
+    got = read_json_array(spark, path, file_rows=10).orderBy("pos").collect()
+    assert [(r.pos, r.value) for r in got] == [(i, f"t{i}") for i in range(25)]
+
+
 def test_contexts(fixed):
     queries = fixed("query_id int", (1,), (2,))
     contexts = fixed("query_id int, rank int, text string", (1, 10, "z"), (1, 2, "b"), (1, 1, "a"))

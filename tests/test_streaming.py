@@ -7,7 +7,7 @@ from tidemark.functions.embed import hashed_embedder
 from tidemark.operators.vector_index import build_index, read_leaves
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_upload_events
-from tidemark.streaming.imports import start_import
+from tidemark.streaming.imports import object_loader, start_import
 from tidemark.streaming.updates import start_index_updates
 
 
@@ -69,6 +69,11 @@ def test_malformed_event_can_stop_the_stream(spark, run):
         run([GOOD, BAD[2]], scratch_path(spark, "import"), on_malformed="fail")
 
 
+def test_object_loader_reads_inside_tasks(fixed):
+    docs = object_loader(lambda uri: f"text of {uri}")(fixed("file_uri string", ("gs://b/a",), ("gs://b/c",)))
+    assert {tuple(r) for r in docs.collect()} == {("gs://b/a", "text of gs://b/a"), ("gs://b/c", "text of gs://b/c")}
+
+
 def test_index_follows_new_documents(spark, fixed, tmp_path):
     from tidemark.functions.embed import embed_text
     embedder = hashed_embedder(8)

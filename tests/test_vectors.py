@@ -8,7 +8,7 @@ from tidemark.functions import vectors
 from tidemark.functions.embed import embed_text, embedding_of_payload, hashed_embedder, token_cell
 from tidemark.operators import vector_search
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
-from tidemark.operators.vector_index import append_to_index, build_index, read_leaves, search_index
+from tidemark.operators.vector_index import append_to_index, build_index, compact_index, read_leaves, search_index
 from tidemark.session import scratch_path
 
 Q = vector_search.VectorColumns("query_id", "embedding")
@@ -113,6 +113,16 @@ def test_index_append_is_repeatable(spark, points):
     for _ in range(2):  # the second run is a replay of the same batch
         append_to_index(docs.filter("doc_id >= 250"), index, batch_id=4)
     assert sorted(r.doc_id for r in read_leaves(spark, index).select("doc_id").collect()) == list(range(300))
+    merged = compact_index(spark, index, scratch_path(spark, "index"))
+    assert {r.batch_id for r in read_leaves(spark, merged).select("batch_id").distinct().collect()} == {-1}
+    queries = docs.withColumnRenamed("doc_id", "query_id")
+    assert set(search_index(queries, merged).collect()) == set(search_index(queries, index).collect())
+
+
+def test_copies_do_not_use_up_the_leaves(spark):
+    rows = [(i, [1.0, 0.0] if i % 3 else [float(i % 7), float(i % 11)]) for i in range(400)]
+    index = build_index(spark.createDataFrame(rows, "doc_id int, embedding array<float>"), scratch_path(spark, "index"), leaf_size=20)
+    assert spark.read.parquet(index.centroids_path).count() == 20
 
 
 def test_similarity_functions(fixed):

@@ -11,6 +11,7 @@ from tidemark.functions import prompts
 from tidemark.functions.embed import Embedder, embed_text
 from tidemark.functions.text import IMPORT_CHUNKING, chunks, strip, tokens
 from tidemark.operators.vector_search import DISTANCE_THRESHOLD, TOP_K, VectorColumns, nearest
+from tidemark.session import checkpointed
 
 
 def chunk_documents(docs: DataFrame, text: str = "text", size: int = IMPORT_CHUNKING[0],
@@ -52,9 +53,10 @@ def retrieve(queries: DataFrame, chunk_table: DataFrame, k: int = TOP_K, thresho
 
     ``queries`` has (query_id, text); ``chunk_table`` has a unique ``chunk_key``
     and an embedding. Text is not carried through the search: join it back on
-    the key for the few rows that remain.
+    the key for the few rows that remain. The query vectors are written once, so
+    a hosted embedder sees every query once.
     """
-    asked = embed_text(queries.select("query_id", "text"), "text", embedder).select("query_id", "embedding")
+    asked = checkpointed(embed_text(queries.select("query_id", "text"), "text", embedder).select("query_id", "embedding"))
     return nearest(asked, chunk_table, k, "dot", threshold, doc=VectorColumns(chunk_key, "embedding"))
 
 

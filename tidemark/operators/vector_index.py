@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, St
 
 from tidemark.operators.ordered import top_k
 from tidemark.operators.vector_search import (BROADCAST_LIMIT, TOP_K, VectorColumns, nearest, pack_vectors,
-                                              query_side, score_blocks)
+                                              query_side, row_bytes, score_blocks)
+from tidemark.session import checkpointed
 
 # Index settings.
 LEAF_SIZE = 500
@@ -27,6 +29,7 @@ CANDIDATES = 150
 
 MAX_LEAVES = 16_384
 SAMPLE_PER_LEAF = 64
+CAREFUL_START_LEAVES = 256
 _CENTROIDS = StructType([StructField("centroid", IntegerType()), StructField("embedding", ArrayType(FloatType()))])
 
 
@@ -36,6 +39,10 @@ class VectorIndex:
 
     @property
     def model_path(self) -> str:
+        return f"{self.path}/model"
+
+    @property
+    def centroids_path(self) -> str:
         return f"{self.path}/centroids"
 
     @property
@@ -60,16 +67,25 @@ def write_leaves(assigned: DataFrame, index: VectorIndex, batch_id: int) -> None
 
 def build_index(vectors: DataFrame, path: str, vector: str = "embedding", leaf_size: int = LEAF_SIZE,
                 max_leaves: int = MAX_LEAVES, seed: int = 42) -> VectorIndex:
-    """Train centroids on a bounded sample and write every vector to its leaf."""
+    """Train centroids on a bounded sample and write every vector to its leaf.
+
+    Copies count once in training: otherwise a vector repeated in a third of all
+    rows would take a third of the starting centroids.
+    """
     usable = vectors.filter(F.size(vector) > 0)
     n = usable.count()
     leaves = max(1, min(max_leaves, math.ceil(n / leaf_size)))
     share = leaves * SAMPLE_PER_LEAF / max(n, 1)
     sample = usable.sample(min(1.0, share * 1.1), seed) if share < 0.9 else usable
     index = VectorIndex(path)
-    trained = (KMeans(k=max(2, leaves), seed=seed, maxIter=10, featuresCol="_features")
-               .fit(sample.select(array_to_vector(F.col(vector)).alias("_features"))))
+    distinct = sample.select(vector).dropDuplicates().select(array_to_vector(F.col(vector)).alias("_features"))
+    # The k-means|| start gathers several candidates per leaf on the driver; random starts keep that small.
+    start = "k-means||" if leaves <= CAREFUL_START_LEAVES else "random"
+    trained = KMeans(k=max(2, leaves), seed=seed, maxIter=10, initMode=start, featuresCol="_features").fit(distinct)
     trained.write().overwrite().save(index.model_path)
+    centers = pd.DataFrame({"centroid": range(len(trained.clusterCenters())),
+                            "embedding": [c.astype("float32") for c in trained.clusterCenters()]})
+    vectors.sparkSession.createDataFrame(centers, _CENTROIDS).write.mode("overwrite").parquet(index.centroids_path)
     write_leaves(assign_leaves(usable, trained, vector), index, batch_id=-1)
     return index
 
@@ -80,6 +96,15 @@ def append_to_index(vectors: DataFrame, index: VectorIndex, batch_id: int, vecto
     write_leaves(assign_leaves(vectors.filter(F.size(vector) > 0), model, vector), index, batch_id)
 
 
+def compact_index(spark: SparkSession, index: VectorIndex, path: str) -> VectorIndex:
+    """A copy of the index with all batches merged, for an index that many small appends have split into small files."""
+    merged = VectorIndex(path)
+    KMeansModel.load(index.model_path).write().overwrite().save(merged.model_path)
+    spark.read.parquet(index.centroids_path).write.mode("overwrite").parquet(merged.centroids_path)
+    write_leaves(read_leaves(spark, index).drop("batch_id"), merged, batch_id=-1)
+    return merged
+
+
 def read_leaves(spark: SparkSession, index: VectorIndex) -> DataFrame:
     return spark.read.parquet(index.leaves_path)
 
@@ -93,14 +118,15 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
     if not 1 <= k <= candidates:
         raise ValueError("k must lie between 1 and the number of candidates")
     spark = queries.sparkSession
-    centers = KMeansModel.load(index.model_path).clusterCenters()
-    probes_per_query = max(1, math.ceil(leaves_to_search * len(centers)))
-    centroids = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centers)], _CENTROIDS)
-    probes = nearest(queries, centroids, probes_per_query, "euclidean", query=query,
-                     doc=VectorColumns("centroid", "embedding"), broadcast_limit=broadcast_limit).select(
-        query.id, "centroid")
+    queries = checkpointed(queries.select(query.id, query.vector))  # used three times, embedded once
+    centroids = spark.read.schema(_CENTROIDS).parquet(index.centroids_path)
+    count = centroids.count()
+    probes_per_query = max(1, math.ceil(leaves_to_search * count))
+    probes = checkpointed(nearest(queries, centroids, probes_per_query, "euclidean", query=query,
+                                  doc=VectorColumns("centroid", "embedding"),
+                                  broadcast_limit=broadcast_limit).select(query.id, "centroid"))
     leaves = read_leaves(spark, index)
-    if probes_per_query < len(centers):
+    if probes_per_query < count:
         # At most max_leaves integers; they prune whole leaf folders from the scan.
         probed = [row["centroid"] for row in probes.select("centroid").distinct().collect()]
         leaves = leaves.filter(F.col("centroid").isin(probed))
@@ -108,7 +134,7 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
     routed = queries.join(probes, query.id).hint("rebalance", "centroid")
     q_blocks = pack_vectors(routed, query, dims, F.col("centroid"), "q_")
     c_blocks = pack_vectors(leaves, doc, dims, F.col("centroid"), "c_")
-    if n * probes_per_query * dims * 4 <= broadcast_limit:
+    if n * probes_per_query * row_bytes(dims) <= broadcast_limit:
         q_blocks = F.broadcast(q_blocks)
     pairs = c_blocks.join(q_blocks, F.col("c_key") == F.col("q_key"))
     scored = score_blocks(pairs, dims, min(candidates, max(k, 1)), measure, threshold, query.id, doc.id)

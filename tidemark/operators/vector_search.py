@@ -52,6 +52,11 @@ def rows_per_block(dims: int) -> int:
     return max(16, min(1024, BLOCK_BYTES // (4 * max(1, dims))))
 
 
+def row_bytes(dims: int) -> int:
+    """Size of one packed vector with room for its id."""
+    return 4 * dims + 64
+
+
 def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column | None = None,
                  prefix: str = "") -> DataFrame:
     """Pack rows into (key, ids, vectors) blocks without a shuffle.
@@ -177,7 +182,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int = TOP_K, measure: str
     n, dims = query_side(queries, query)
     q_blocks = pack_vectors(queries, query, dims, prefix="q_")
     c_blocks = pack_vectors(corpus, doc, dims, prefix="c_")
-    lanes = math.ceil(n * dims * 4 / broadcast_limit) or 1
+    lanes = math.ceil(n * row_bytes(dims) / broadcast_limit) or 1
     if lanes == 1:
         pairs = c_blocks.join(F.broadcast(q_blocks), F.col("c_key") == F.col("q_key"))
     else:

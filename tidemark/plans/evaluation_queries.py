@@ -27,7 +27,7 @@ def eval_dataset(spark, sf_dir):
     contexts = positions(table(spark, sf_dir, "documents"), "doc_id", "text")
     answers = positions(benchmark.withColumn("answer", F.concat(F.lit("A: "), "text")), "item_id", "answer")
     aligned = evaluation.evaluation_dataset(questions, contexts, answers)
-    return aligned.withColumn("pos", F.col("pos").cast("bigint"))
+    return aligned
 
 
 def _source_contexts(spark, sf_dir):
@@ -110,6 +110,12 @@ def rouge_scores(spark, sf_dir):
     return scored.select("pos", *[F.round(m, 6).alias(m) for m in NGRAM_METRICS])
 
 
+def rouge_l_scores(spark, sf_dir):
+    """ROUGE-L without stemming."""
+    scored = _evaluated(spark, sf_dir, "base", False)
+    return scored.select("pos", *[F.round(m, 6).alias(m) for m in METRICS if m.startswith("rougeL")])
+
+
 def rouge_full_scores(spark, sf_dir):
     """All nine scores with stemming, as the evaluation uses them."""
     scored = _evaluated(spark, sf_dir, "base", True)
@@ -150,7 +156,7 @@ def loss_metric(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     eval_dataset, first_context, joined_contexts, eval_summary, eval_result, verdict_parse, sft_convert, sft_validate,
-    length_stats, rouge_scores, rouge_full_scores, rouge_stats, rouge_improvement, loss_series, loss_metric)}
+    length_stats, rouge_scores, rouge_l_scores, rouge_full_scores, rouge_stats, rouge_improvement, loss_series, loss_metric)}
 
 _CONTEXTS = """
     c AS (SELECT doc_id - r + 1 AS query_id, r AS rank, text FROM documents, (SELECT unnest([1, 2, 3]) AS r)
@@ -231,6 +237,17 @@ SQL = {
         WITH d AS (SELECT length(text)::double AS c FROM documents)
         SELECT 'length' AS metric, {_DESCRIBE.format(c='c')}, ceil(max(c) / 4)::bigint AS token_budget FROM d""",
     "rouge_scores": f"WITH {_BASE} SELECT pos, " + ", ".join(f"round({m}, 6)::double AS {m}" for m in NGRAM_METRICS) + " FROM s_base",
+    "rouge_l_scores": f"""WITH RECURSIVE {_BASE.split('g1t_base')[0].rstrip().rstrip(',')},
+        s AS (SELECT pos, t, p, 0 AS i, list_transform(t, lambda x: 0) AS best FROM p_base
+              UNION ALL
+              SELECT pos, t, p, i + 1, list_transform(range(1, len(t) + 1), lambda j: list_max(list_transform(range(1, j + 1),
+                     lambda m: CASE WHEN t[m] = p[i + 1] THEN (CASE WHEN m > 1 THEN best[m - 1] ELSE 0 END) + 1 ELSE best[m] END)))
+              FROM s WHERE i < len(p)),
+        l AS (SELECT pos, len(t)::double AS t, len(p)::double AS p,
+                     CASE WHEN len(t) = 0 THEN 0 ELSE best[len(t)] END::double AS o FROM s WHERE i = len(p))
+        SELECT pos, CASE WHEN p > 0 THEN round(o / p, 6) ELSE 0 END AS "rougeL_precision",
+               CASE WHEN t > 0 THEN round(o / t, 6) ELSE 0 END AS "rougeL_recall",
+               CASE WHEN o > 0 THEN round(2 * (o / p) * (o / t) / (o / p + o / t), 6) ELSE 0 END AS "rougeL_fmeasure" FROM l""",
     "rouge_stats": f"WITH {_BASE} " + " UNION ALL ".join(
         f"SELECT '{m}' AS metric, {_DESCRIBE.format(c=m)} FROM s_base" for m in NGRAM_METRICS),
     "rouge_improvement": f"WITH {_BASE}, {_TUNED} " + " UNION ALL ".join(f"""

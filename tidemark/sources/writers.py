@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.catalog import number_batches
+from tidemark.sources.readers import ARRAY_ROWS
+
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     """JSON lines at a new path; an existing path is refused, so input is never overwritten."""
@@ -43,15 +46,16 @@ def write_small_json(summary: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_json_array(df: DataFrame, order: str, value: str, path: str) -> None:
-    """An evaluation set as one pretty JSON array of strings in one file.
+def write_json_array(df: DataFrame, order: str, value: str, path: str, file_rows: int = ARRAY_ROWS) -> None:
+    """Texts in order as pretty JSON arrays of at most ``file_rows`` elements per file.
 
-    The file format is a single array, so this is meant for evaluation sets of
-    some hundred texts; larger tables belong in JSONL.
+    An evaluation set of usual size is one array. A larger one goes to numbered
+    folders ``batch=n``, and ``read_json_array`` counts the positions on.
     """
-    listed = df.agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("rows"))
-    text = listed.select(F.to_json(F.col("rows").getField(value), {"pretty": "true"}).alias("value"))
-    text.coalesce(1).write.mode("overwrite").text(path)
+    numbered = number_batches(df.select(order, value), [order], file_rows)
+    listed = numbered.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("row_no", value))).alias("rows"))
+    text = listed.select("batch", F.to_json(F.col("rows").getField(value), {"pretty": "true"}).alias("value"))
+    text.repartition(F.col("batch")).write.mode("error").partitionBy("batch").text(path)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:

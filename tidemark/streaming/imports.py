@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,19 @@ from tidemark.operators.corpus import import_documents
 Loader = Callable[[DataFrame], DataFrame]
 
 
+def object_loader(read_text: Callable[[str], str]) -> Loader:
+    """A loader that reads each named object inside the tasks through a client function.
+
+    A failing read fails the batch, which the checkpoint then repeats.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(text=[read_text(uri) for uri in batch["file_uri"]])
+
+    return lambda uris: uris.mapInPandas(run, "file_uri string, text string")
+
+
 def decode_events(envelopes: DataFrame) -> DataFrame:
     """Envelopes to (data, name, bucket, file_uri, problem). Works on batches and streams."""
     event = envelopes.select(F.col("message.data").alias("data"), decode_event(F.col("message.data")).alias("e"))
@@ -70,7 +84,7 @@ def start_import(envelopes: DataFrame, loader: Loader, corpus: str, out: str, em
             good = events.filter(F.col("problem").isNull()).select("name", "bucket", "file_uri")
             docs = loader(good.select("file_uri").distinct())
             import_documents(docs, corpus, f"{out}/chunks", embedder, size, overlap, batch_id)
-            _write(status_rows(good, docs, corpus), f"{out}/status", batch_id)
+            _write(status_rows(good, docs.select("file_uri"), corpus), f"{out}/status", batch_id)
         finally:
             events.unpersist()
 
