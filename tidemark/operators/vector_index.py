@@ -114,7 +114,11 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
                  candidates: int = CANDIDATES, query: VectorColumns = VectorColumns("query_id", "embedding"),
                  doc: VectorColumns = VectorColumns("doc_id", "embedding"),
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Approximate k nearest rows: probe the best leaves, keep ``candidates``, re-rank exactly."""
+    """Approximate k nearest rows: probe the best leaves and rank their rows exactly.
+
+    Distances inside a leaf are exact, so each block gives its best k rather than
+    a longer list to re-rank; ``candidates`` is the upper limit for k.
+    """
     if not 1 <= k <= candidates:
         raise ValueError("k must lie between 1 and the number of candidates")
     spark = queries.sparkSession
@@ -137,5 +141,5 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
     if n * probes_per_query * row_bytes(dims) <= broadcast_limit:
         q_blocks = F.broadcast(q_blocks)
     pairs = c_blocks.join(q_blocks, F.col("c_key") == F.col("q_key"))
-    scored = score_blocks(pairs, dims, min(candidates, max(k, 1)), measure, threshold, query.id, doc.id)
+    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id)
     return top_k(scored, [query.id], ["distance", doc.id], k)

@@ -113,23 +113,26 @@ def _distances(queries: np.ndarray, corpus: np.ndarray, measure: str) -> np.ndar
     return 1.0 - queries @ corpus.T
 
 
-def _best(distances: np.ndarray, ids: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (row, column) of the k smallest distances per row, ties by id."""
-    distances = np.where(np.isnan(distances), np.inf, distances)
+def _best(distances: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (row, column) of the k smallest distances per row, the lower column first among equals.
+
+    Rows are only ever cut to k: with many copies in a block most distances are
+    equal, so ties are counted off column by column instead of being sorted.
+    """
+    usable = np.isfinite(distances)
+    if threshold is not None:
+        usable &= distances < threshold
+    distances = np.where(usable, distances, np.inf)
+    keep = usable
     if distances.shape[1] > k:
         limit = np.partition(distances, k - 1, axis=1)[:, k - 1:k]
-        keep = distances <= limit
-    else:
-        keep = np.ones_like(distances, dtype=bool)
-    keep &= np.isfinite(distances)
-    if threshold is not None:
-        keep &= distances < threshold
-    rows, columns = np.nonzero(keep)
-    order = np.lexsort((ids[columns], distances[rows, columns], rows))
-    rows, columns = rows[order], columns[order]
-    first = np.searchsorted(rows, rows, side="left")
-    within = np.arange(len(rows)) - first < k
-    return rows[within], columns[within]
+        keep = usable & (distances <= limit)
+        if keep.sum() > k * len(keep):
+            below = usable & (distances < limit)
+            ties = usable & (distances == limit)
+            places = k - below.sum(axis=1, keepdims=True)
+            keep = below | (ties & (np.cumsum(ties, axis=1) <= places))
+    return np.nonzero(keep)
 
 
 def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: float | None,
@@ -148,12 +151,13 @@ def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: f
                 left, right = q_ids[i].values, c_ids[i].values
                 q = np.frombuffer(q_vectors[i].as_buffer(), dtype=np.float32).reshape(-1, dims)
                 c = np.frombuffer(c_vectors[i].as_buffer(), dtype=np.float32).reshape(-1, dims)
-                d = np.round(_distances(q, c, measure), DISTANCE_DECIMALS)
                 names = right.to_numpy(zero_copy_only=False)
-                rows, columns = _best(d, names.astype(str) if names.dtype == object else names, k, threshold)
+                by_id = np.argsort(names.astype(str) if names.dtype == object else names, kind="stable")
+                d = np.round(_distances(q, c[by_id], measure), DISTANCE_DECIMALS)
+                rows, columns = _best(d, k, threshold)
                 if len(rows):
                     yield pa.RecordBatch.from_arrays(
-                        [left.take(pa.array(rows)), right.take(pa.array(columns)), pa.array(d[rows, columns])],
+                        [left.take(pa.array(rows)), right.take(pa.array(by_id[columns])), pa.array(d[rows, columns])],
                         names=[query_id, corpus_id, "distance"])
 
     return pairs.select("q_ids", "q_vectors", "c_ids", "c_vectors").mapInArrow(score, schema)

@@ -15,8 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Some columns of a table, over all cores, for work that is heavy per row."""
-    return spread_small_scan(table(spark, sf_dir, name).select(*columns))
+    """A table or some columns of it, over all cores, for work that is heavy per row."""
+    return spread_small_scan(table(spark, sf_dir, name).select(*columns or "*"))
 
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +76,13 @@ def image_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(label != 9, F.concat(F.lit("img/"), label.cast("string"), F.lit("/"), vec, F.lit(".jpg"))).alias("path"))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as taxi trips."""
+def trips(spark: SparkSession, sf_dir: str, for_training: bool = False) -> DataFrame:
+    """``events`` as taxi trips, over all cores when they are read again and again by a training run."""
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     payment = (F.when(kind.isin("purchase", "view"), F.lit("Credit Card")).when(kind == "click", F.lit("Cash"))
                .when(kind == "signup", F.lit("Mobile")))
-    events = spread(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    events = (spread if for_training else table)(spark, sf_dir, "events")
     return events.select(
         "event_id", F.col("value").alias("fare"), (F.col("value") + k * F.lit(0.25)).alias("trip_total"),
         (k / F.lit(4.0)).alias("trip_miles"), (F.col("user_id") * 60).alias("trip_seconds"),
@@ -91,10 +91,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id").cast("int") + 1).alias("pickup_community_area"), (k + 1).alias("dropoff_community_area"))
 
 
-def priced_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def priced_trips(spark: SparkSession, sf_dir: str, for_training: bool = False) -> DataFrame:
     """Trips with a fare that follows distance and time, plus a remainder from the event value."""
     fare = F.lit(3.25) + F.col("trip_miles") * 1.8 + F.col("trip_seconds") * 0.004 + F.col("fare") * 0.02
-    return trips(spark, sf_dir).withColumn("fare", fare)
+    return trips(spark, sf_dir, for_training).withColumn("fare", fare)
 
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey")).cast("timestamp")).alias("MemberCardIssuanceDate"))
     text = F.to_json(record, {"ignoreNullFields": "false"})
     return c.select(F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("key"),
-                    F.from_json(text, CUSTOMER_TYPE).alias("customer"),
+                    record.cast(CUSTOMER_TYPE).alias("customer"),
                     F.from_json(text, "map<string,variant>").alias("fields"))
 
 

@@ -84,7 +84,7 @@ def split_hash(spark, sf_dir):
 
 def _split_trips(spark, sf_dir, percent, source=None):
     """Valid priced trips with their split; the features keep the trip key."""
-    source = priced_trips(spark, sf_dir) if source is None else source
+    source = priced_trips(spark, sf_dir, for_training=True) if source is None else source
     valid = source.filter((F.col("trip_miles") > 0) & (F.col("trip_seconds") > 0) & F.col("payment_type").isNotNull())
     start = F.col("trip_start_timestamp")
     shaped = valid.select("event_id", F.col("fare").alias("target"), "trip_miles", F.col("trip_seconds").cast("double").alias("trip_seconds"),
@@ -131,7 +131,7 @@ def _tariff_trips(spark, sf_dir):
     """Trips whose fare follows distance, time and payment exactly, so the right predictions are known."""
     fare = (F.lit(3.25) + F.col("trip_miles") * 1.8 + F.col("trip_seconds") * 0.004
             + F.when(F.col("payment_type") == "Credit Card", F.lit(0.75)).otherwise(F.lit(0.0)))
-    return _split_trips(spark, sf_dir, models.TRAIN_PERCENT, trip_table(spark, sf_dir).withColumn("fare", fare))
+    return _split_trips(spark, sf_dir, models.TRAIN_PERCENT, trip_table(spark, sf_dir, for_training=True).withColumn("fare", fare))
 
 
 def fare_predict(spark, sf_dir):
