@@ -65,6 +65,12 @@ def test_nearest_leaves_out_unusable_vectors(fixed):
     assert [r.doc_id for r in vector_search.nearest(queries, docs).orderBy("rank").collect()] == [1, 5]
 
 
+def test_double_vectors_keep_all_digits(fixed):
+    docs = fixed("doc_id int, embedding array<double>", (1, [1.0 + 3e-8, 0.0]), (2, [1.0 + 1e-8, 0.0]), (3, [1.0, 0.0]))
+    query = fixed("query_id int, embedding array<double>", (7, [1.0 + 3e-8, 0.0]))
+    assert [r.doc_id for r in vector_search.nearest(query, docs, measure="euclidean").orderBy("rank").collect()] == [1, 2, 3]
+
+
 def test_nearest_rejects_bad_arguments(fixed):
     df = fixed("query_id int, doc_id int, embedding array<float>", (1, 1, [1.0]))
     with pytest.raises(ValueError):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
 
 from tidemark.operators.ordered import top_k
-from tidemark.operators.vector_search import (BROADCAST_LIMIT, TOP_K, VectorColumns, nearest, pack_vectors,
+from tidemark.operators.vector_search import (BROADCAST_LIMIT, TOP_K, VectorColumns, common_dtype, nearest, pack_vectors,
                                               query_side, row_bytes, score_blocks)
 from tidemark.session import checkpointed
 
@@ -136,10 +136,11 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
         leaves = leaves.filter(F.col("centroid").isin(probed))
     n, dims = query_side(queries, query)
     routed = queries.join(probes, query.id).hint("rebalance", "centroid")
-    q_blocks = pack_vectors(routed, query, dims, F.col("centroid"), "q_")
-    c_blocks = pack_vectors(leaves, doc, dims, F.col("centroid"), "c_")
-    if n * probes_per_query * row_bytes(dims) <= broadcast_limit:
+    dtype = common_dtype((queries, query), (leaves, doc))
+    q_blocks = pack_vectors(routed, query, dims, F.col("centroid"), "q_", dtype)
+    c_blocks = pack_vectors(leaves, doc, dims, F.col("centroid"), "c_", dtype)
+    if n * probes_per_query * row_bytes(dims, dtype) <= broadcast_limit:
         q_blocks = F.broadcast(q_blocks)
     pairs = c_blocks.join(q_blocks, F.col("c_key") == F.col("q_key"))
-    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id)
+    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id, dtype)
     return top_k(scored, [query.id], ["distance", doc.id], k)

@@ -52,13 +52,19 @@ def rows_per_block(dims: int) -> int:
     return max(16, min(1024, BLOCK_BYTES // (4 * max(1, dims))))
 
 
-def row_bytes(dims: int) -> int:
+def row_bytes(dims: int, dtype: str = "float32") -> int:
     """Size of one packed vector with room for its id."""
-    return 4 * dims + 64
+    return np.dtype(dtype).itemsize * dims + 64
+
+
+def common_dtype(*sides: tuple[DataFrame, VectorColumns]) -> str:
+    """``float64`` when a side holds doubles, so that no digit is lost in packing, else ``float32``."""
+    wide = any(isinstance(df.schema[c.vector].dataType.elementType, DoubleType) for df, c in sides)
+    return "float64" if wide else "float32"
 
 
 def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column | None = None,
-                 prefix: str = "") -> DataFrame:
+                 prefix: str = "", dtype: str = "float32") -> DataFrame:
     """Pack rows into (key, ids, vectors) blocks without a shuffle.
 
     Null vectors and vectors of another length cannot be compared and are left
@@ -67,7 +73,7 @@ def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column |
     key = F.lit(0) if key is None else key
     source = df.filter(F.size(columns.vector) == dims).select(
         key.cast("int").alias("key"), F.col(columns.id).alias("id"),
-        F.col(columns.vector).cast("array<float>").alias("vector"))
+        F.col(columns.vector).cast("array<double>" if dtype == "float64" else "array<float>").alias("vector"))
     id_type = source.schema["id"].dataType
     key_name, ids_name, vectors_name = prefix + "key", prefix + "ids", prefix + "vectors"
     schema = StructType([
@@ -81,7 +87,7 @@ def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column |
             if not batch.num_rows:
                 continue
             vectors = pc.list_flatten(batch.column("vector")).to_numpy(zero_copy_only=False)
-            matrix = vectors.astype(np.float32, copy=False).reshape(batch.num_rows, dims)
+            matrix = vectors.astype(dtype, copy=False).reshape(batch.num_rows, dims)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             order = np.argsort(keys, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
@@ -136,7 +142,7 @@ def _best(distances: np.ndarray, k: int, threshold: float | None) -> tuple[np.nd
 
 
 def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: float | None,
-                 query_id: str, corpus_id: str) -> DataFrame:
+                 query_id: str, corpus_id: str, dtype: str = "float32") -> DataFrame:
     """Best k corpus rows per query for each joined pair of blocks."""
     schema = StructType([
         StructField(query_id, pairs.schema["q_ids"].dataType.elementType),
@@ -149,8 +155,8 @@ def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: f
             q_vectors, c_vectors = batch.column("q_vectors"), batch.column("c_vectors")
             for i in range(batch.num_rows):
                 left, right = q_ids[i].values, c_ids[i].values
-                q = np.frombuffer(q_vectors[i].as_buffer(), dtype=np.float32).reshape(-1, dims)
-                c = np.frombuffer(c_vectors[i].as_buffer(), dtype=np.float32).reshape(-1, dims)
+                q = np.frombuffer(q_vectors[i].as_buffer(), dtype=dtype).reshape(-1, dims)
+                c = np.frombuffer(c_vectors[i].as_buffer(), dtype=dtype).reshape(-1, dims)
                 names = right.to_numpy(zero_copy_only=False)
                 by_id = np.argsort(names.astype(str) if names.dtype == object else names, kind="stable")
                 d = np.round(_distances(q, c[by_id], measure), DISTANCE_DECIMALS)
@@ -184,9 +190,10 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int = TOP_K, measure: str
     if k < 1:
         raise ValueError("k must be at least 1")
     n, dims = query_side(queries, query)
-    q_blocks = pack_vectors(queries, query, dims, prefix="q_")
-    c_blocks = pack_vectors(corpus, doc, dims, prefix="c_")
-    lanes = math.ceil(n * row_bytes(dims) / broadcast_limit) or 1
+    dtype = common_dtype((queries, query), (corpus, doc))
+    q_blocks = pack_vectors(queries, query, dims, prefix="q_", dtype=dtype)
+    c_blocks = pack_vectors(corpus, doc, dims, prefix="c_", dtype=dtype)
+    lanes = math.ceil(n * row_bytes(dims, dtype) / broadcast_limit) or 1
     if lanes == 1:
         pairs = c_blocks.join(F.broadcast(q_blocks), F.col("c_key") == F.col("q_key"))
     else:
@@ -196,7 +203,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int = TOP_K, measure: str
         c_laned = (c_blocks.withColumn("part", F.pmod(F.xxhash64("c_ids"), F.lit(spread)).cast("int"))
                    .withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))))
         pairs = c_laned.join(q_laned, ["lane", "part"])
-    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id)
+    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id, dtype)
     return top_k(scored, [query.id], ["distance", doc.id], k)
 
 

@@ -13,7 +13,7 @@ from tidemark.session import checkpointed, scratch_path
 from tidemark.sources.readers import read_chat_samples, read_json_array
 from tidemark.sources.writers import write_json_array, write_jsonl
 
-EXPERIMENT = "rag-eval-01"
+EXPERIMENT = "evaluation-1"
 EVENT_METRICS = ("click", "error", "purchase", "signup", "view")
 NGRAM_METRICS = [m for m in METRICS if not m.startswith("rougeL")]
 

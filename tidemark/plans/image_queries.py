@@ -10,7 +10,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.writers import append_valid
 
 BUCKET = "gallery"
-PUBLIC = "https://files.example/gallery/Image_source_data/"
+PUBLIC = "https://files.example/gallery/pictures/"
 DIMS = 8
 
 

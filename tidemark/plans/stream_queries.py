@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.embed import hashed_embedder
-from tidemark.operators.customers import apply_patches, latest_patches
+from tidemark.functions.uris import uri_bucket
 from tidemark.plans.tables import customer_patches, customer_records, documents_as_files, table
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_upload_events
@@ -52,7 +52,7 @@ def stream_chunks(spark, sf_dir):
     """Chunks stored by the import stream, per source."""
     out = _run_import(spark, sf_dir)
     stored = spark.read.parquet(f"{out}/chunks")
-    return stored.groupBy(F.substring_index(F.substring("file_uri", 6, 1000), "/", 1).alias("source")).agg(
+    return stored.groupBy(uri_bucket(F.col("file_uri")).alias("source")).agg(
         F.countDistinct("file_uri").alias("files"), F.sum("n_tokens").alias("tokens"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.readers import CUSTOMER_TYPE, spread_small_scan
 
-OBJECT_PREFIX = "Image_source_data/"
+OBJECT_PREFIX = "pictures/"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

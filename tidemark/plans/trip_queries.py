@@ -49,8 +49,7 @@ def trip_value_counts(spark, sf_dir):
 
 
 def trip_profile(spark, sf_dir):
-    shown = trips.profile(trip_table(spark, sf_dir))
-    return shown.filter(F.col("column") != "trip_start_timestamp")
+    return trips.profile(trip_table(spark, sf_dir))
 
 
 def trip_describe(spark, sf_dir):
@@ -182,8 +181,9 @@ def _box(source: str, name: str) -> str:
 
 
 _QUARTILES = ", ".join(f"quantile_cont(l_extendedprice, {p}) AS {n}" for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)))
+_SOURCE = {"trip_start_timestamp": "ts", "pickup_community_area": "pickup", "dropoff_community_area": "dropoff"}
 _TYPES = (("event_id", "bigint"), ("fare", "double"), ("trip_total", "double"), ("trip_miles", "double"), ("trip_seconds", "bigint"),
-          ("payment_type", "string"), ("company", "string"), ("pickup_community_area", "int"), ("dropoff_community_area", "int"))
+          ("trip_start_timestamp", "timestamp_ntz"), ("payment_type", "string"), ("company", "string"), ("pickup_community_area", "int"), ("dropoff_community_area", "int"))
 
 SQL = {
     "trip_features": f"WITH {_TRIPS}, {_FEATURES} SELECT * REPLACE (round(target, 6) AS target) FROM f",
@@ -205,8 +205,8 @@ SQL = {
         UNION ALL SELECT 'dropoff_community_area', dropoff::varchar, count(*) FROM t GROUP BY ALL""",
     "trip_profile": f"WITH {_TRIPS} " + " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{d}' AS dtype, count(*) AS row_count,
-            count(*) - count({c if 'community' not in c else 'event_id'}) AS null_count,
-            count({c if 'community' not in c else 'event_id'}) AS non_null_count FROM t""" for c, d in _TYPES),
+            count(*) - count({_SOURCE.get(c, c)}) AS null_count,
+            count({_SOURCE.get(c, c)}) AS non_null_count FROM t""" for c, d in _TYPES),
     "trip_describe": f"WITH {_TRIPS} " + " UNION ALL ".join(f"""
         SELECT '{c}' AS metric, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
                round(min({c})::double, 6) AS min, round(quantile_cont({c}, 0.25)::double, 6) AS p25,
