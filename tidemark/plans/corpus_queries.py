@@ -10,7 +10,7 @@ from tidemark.functions.uris import uri_bucket, uri_object, uri_valid
 from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
 from tidemark.operators.vector_index import build_index, search_index
-from tidemark.operators.vector_search import DISTANCE_THRESHOLD, VectorColumns, image_neighbours, nearest
+from tidemark.operators.vector_search import DISTANCE_THRESHOLD, image_neighbours, nearest
 from tidemark.plans.tables import documents_as_files, image_collection, spread, table
 from tidemark.session import scratch_path
 from tidemark.streaming.updates import start_vector_updates

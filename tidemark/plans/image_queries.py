@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import images
-from tidemark.plans.tables import OBJECT_PREFIX, image_objects, table
+from tidemark.plans.tables import OBJECT_PREFIX, image_objects
 from tidemark.session import scratch_path
 from tidemark.sources.writers import append_valid
 

@@ -86,9 +86,9 @@ def _split_trips(spark, sf_dir, percent, source=None):
     source = priced_trips(spark, sf_dir, for_training=True) if source is None else source
     valid = source.filter((F.col("trip_miles") > 0) & (F.col("trip_seconds") > 0) & F.col("payment_type").isNotNull())
     start = F.col("trip_start_timestamp")
-    shaped = valid.select("event_id", F.col("fare").alias("target"), "trip_miles", F.col("trip_seconds").cast("double").alias("trip_seconds"),
-                          F.hour(start).alias("trip_start_hour"), F.dayofweek(start).alias("trip_day_of_week"),
-                          "payment_type", "company")
+    shaped = valid.select(
+        "event_id", F.col("fare").alias("target"), "trip_miles", F.col("trip_seconds").cast("double").alias("trip_seconds"),
+        F.hour(start).alias("trip_start_hour"), F.dayofweek(start).alias("trip_day_of_week"), "payment_type", "company")
     return models.hash_split(shaped, "event_id", percent)
 
 
@@ -143,7 +143,8 @@ def fare_predict(spark, sf_dir):
 def fare_attributions(spark, sf_dir):
     """Attributions of distance, time and payment for all trips."""
     rows = _tariff_trips(spark, sf_dir).withColumn("card", (F.col("payment_type") == "Credit Card").cast("int"))
-    model = models.fit_linear(rows.filter("split = 'train'"), numeric=["trip_miles", "trip_seconds", "card"], categorical=[])
+    train = rows.filter("split = 'train'")
+    model = models.fit_linear(train, numeric=["trip_miles", "trip_seconds", "card"], categorical=[])
     return models.linear_attributions(model, rows, "event_id").withColumn("attribution", F.round("attribution", 4))
 
 
