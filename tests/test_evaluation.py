@@ -137,6 +137,21 @@ def test_describe_drops_incomplete_rows(fixed):
     assert got == {"a": (2, 2.0), "b": (2, 3.0)}
 
 
+def test_describe_of_nothing(fixed):
+    row = tuning.describe(fixed("a double", (None,)), ["a"]).first()
+    assert (row["count"], row["mean"], row.p50) == (0, None, None)
+
+
+def test_describe_in_one_approximate_pass(spark):
+    df = spark.range(1, 1001).selectExpr("double(id) AS a", "double(id % 10) AS b")
+    exact, near = [{r.metric: r for r in tuning.describe(df, ["a", "b"], accuracy=a).collect()} for a in (None, 1000)]
+    for metric in ("a", "b"):
+        for name in ("count", "mean", "std", "min", "max"):
+            assert exact[metric][name] == pytest.approx(near[metric][name])
+        for name in ("p25", "p50", "p75"):
+            assert near[metric][name] == pytest.approx(exact[metric][name], abs=2)
+
+
 def test_chat_conversion(spark, fixed):
     source, out = scratch_path(spark, "chat"), scratch_path(spark, "tuned")
     samples = fixed("messages array<struct<role:string,content:string>>", ([("system", "s"), ("user", "é")],), ([],))

@@ -67,20 +67,29 @@ def role_problems(turns: DataFrame) -> DataFrame:
     return seen.withColumn("problem", problem)
 
 
-def describe(df: DataFrame, columns: Sequence[str], drop_incomplete: bool = True) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], drop_incomplete: bool = True,
+             accuracy: int | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per column, one row each.
 
-    Rows with a null in any of the columns are dropped first. Quartiles are
-    exact and interpolated.
+    Rows with a null in any of the columns are dropped first. Quartiles are exact
+    and interpolated, which needs a shuffle of the distinct values; with an
+    ``accuracy`` they come from the approximate aggregate in the same single pass
+    (rank error at most rows / accuracy).
     """
     whole = df.select(*columns)
     whole = whole.na.drop("any") if drop_incomplete else whole
-    long = whole.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "metric", "value")
-    stats = long.groupBy("metric").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_percentiles(whole, [], columns, QUARTILES)
-    return stats.join(quartiles, "metric").select("metric", "count", "mean", "std", "min", *QUARTILES, "max")
+    numbers = whole.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if accuracy:
+        for name, p in QUARTILES.items():
+            measures[name] = lambda c, p=p: F.percentile_approx(c, p, accuracy)
+    one = numbers.agg(*[make(c).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, make in measures.items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("metric"), *[F.col(f"{name}_{i}").alias(name) for name in measures])
+                     for i, c in enumerate(columns)])
+    stats = one.select(F.inline(rows))
+    if not accuracy:
+        stats = stats.join(exact_percentiles(whole, [], columns, QUARTILES), "metric", "left")
+    return stats.select("metric", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def length_statistics(df: DataFrame, text: str = "output_text") -> DataFrame:
@@ -138,5 +147,5 @@ def metric_series(series: DataFrame, metric: str) -> DataFrame:
 
 
 def metrics_by_step(series: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Several metrics side by side, one row per step."""
-    return series.groupBy("step").pivot("metric", list(metrics)).agg(F.first("value", ignorenulls=True))
+    """Several metrics side by side, one row per step; of repeated points the largest value is shown."""
+    return series.groupBy("step").pivot("metric", list(metrics)).agg(F.max("value"))
