@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rouge import METRICS, rouge
-from tidemark.operators.ordered import exact_percentiles, previous_value, running_total
+from tidemark.operators.ordered import BROADCAST_ROWS, exact_percentiles, previous_value, running_total
+from tidemark.session import checkpointed
 
 # Evaluation batch, characters per token, quartiles.
 EVALUATION_ROWS = 100
 CHARS_PER_TOKEN = 4
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-# A conversation longer than this is written as several segments. At most one id
-# per so many turns can be that long, which bounds the broadcast id list.
-MAX_TURNS = 100_000
+# A conversation longer than this is written as several segments.
+MAX_TURNS = 20_000
 
 
 def to_contents(messages: Column) -> Column:
@@ -43,12 +43,15 @@ def gather_messages(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
         return listed.withColumn("messages", F.transform(
             "_rows", lambda r: F.struct(r["role"].alias("role"), r["content"].alias("content")))).drop("_rows")
 
-    long_ones = turns.groupBy("conv_id").count().filter(F.col("count") > max_turns).select("conv_id")
-    if long_ones.isEmpty():
+    # Written once: the counts are read for the size check and for both joins.
+    long_ones = checkpointed(turns.groupBy("conv_id").count().filter(F.col("count") > max_turns).select("conv_id"))
+    found = long_ones.count()
+    if not found:
         return gather(turns, "conv_id").withColumn("segment", F.lit(0).cast("bigint")).select(
             "conv_id", "segment", "messages")
-    short = turns.join(F.broadcast(long_ones), "conv_id", "left_anti")
-    long = turns.join(F.broadcast(long_ones), "conv_id", "left_semi")
+    marked = F.broadcast(long_ones) if found <= BROADCAST_ROWS else long_ones
+    short = turns.join(marked, "conv_id", "left_anti")
+    long = turns.join(marked, "conv_id", "left_semi")
     placed = running_total(long, ["conv_id"], ["turn"], F.lit(1), upto="_place")
     segmented = placed.withColumn("segment", F.floor((F.col("_place") - 1) / F.lit(max_turns)).cast("bigint"))
     return (gather(short, "conv_id").withColumn("segment", F.lit(0).cast("bigint"))

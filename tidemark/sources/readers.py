@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 CATALOG_COLUMNS = ("uniq_id", "product_name", "brand", "product_category_tree", "description",
                    "product_specifications", "retail_price", "discounted_price", "image", "product_url")
-ARRAY_ROWS = 100_000
+ARRAY_ROWS = 10_000
 CHAT_SCHEMA = "messages array<struct<role:string,content:string>>"
 CUSTOMER_TYPE = ("struct<customer_id:bigint,firstName:string,lastName:string,email:string,phone:string,"
                  "address:struct<street:string,city:string,state:string,postalCode:string,country:string>,"
