@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, simhash, substring
+from tidemark.llm import byte_bpe, decontaminate, exact, simhash, substring, token_files
+from tidemark.session import scratch_path
+
+WORD_BPE, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
+BYTE_RANKS, BYTE_PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +23,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token shards of all documents, looked up by document key through the index."""
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, folder, WORD_BPE, END_ID)
+    found = token_files.read_token_files(docs, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def byte_bpe_digests(docs: DataFrame) -> DataFrame:
+    encoded = byte_bpe.encode(docs, BYTE_RANKS, BYTE_PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level tokens of each document, and what they decode to."""
+    return byte_bpe_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -28,7 +51,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op8_simhash_dedup, op9_exact_dedup)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that stand in windows of benchmark items."""
+    hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digests(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_token_files, op7_byte_bpe, op8_simhash_dedup, op9_exact_dedup, op10_decontamination)}
 
 SQL = {
     "op1_substring_dedup": r"""
@@ -43,6 +73,25 @@ SQL = {
                sha256(array_to_string(CASE WHEN p IS NULL THEN w ELSE list_transform(
                    list_filter(range(1, len(w) + 1), x -> NOT list_contains(p, x)), x -> w[x]) END, ' ')) AS kept_sha256
         FROM words LEFT JOIN gone_list USING (doc_id)""",
+    "op10_decontamination": r"""
+        WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        item_windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+                         FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+                               FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM item_windows),
+        doc_windows AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+                        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)),
+        hits AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, win)),
+        words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+                  FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op9_exact_dedup": r"""
         WITH base AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                              regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
