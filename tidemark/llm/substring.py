@@ -7,7 +7,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.staging import column, id_and_text, lists, pieces, shuffle_width, text_column, utf8
@@ -18,6 +18,8 @@ _BASE, _BUCKET_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 _SECOND = np.uint64(0x8EBC6AF09C88C6E3)
 #: Pairs packed before they are handed on.
 _PACK = 1 << 19
+#: Documents of a cell, at about this many: their hashes to go are in memory together.
+CELL = 8192
 
 
 def _hashed(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,70 +77,113 @@ def _collector(window: int, width: int):
     return run
 
 
-def _by_document(h: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(d, kind="stable")
-    d, h = d[order], h[order]
-    first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-    return pa.record_batch({"doc": pa.array(d[first]), "gone": lists(h, np.append(first[1:], len(d)), pa.int64())})
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    """As ``_cell``, for ids in tasks."""
+    x = ids.view(np.uint64)
+    return x ^ (x >> np.uint64(17)) ^ (x >> np.uint64(31))
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cell(cells: int) -> Column:
+    """Documents are dealt to cells; a row without id goes by its text."""
+    key = F.coalesce("id", F.xxhash64("text"))
+    mixed = key.bitwiseXOR(F.shiftrightunsigned(key, 17)).bitwiseXOR(F.shiftrightunsigned(key, 31))
+    return F.pmod(F.shiftrightunsigned(mixed, 1), F.lit(cells)).cast("bigint")
+
+
+def _by_cell(h: np.ndarray, d: np.ndarray, cells: int) -> pa.RecordBatch:
+    """One row for each cell, with the ids and hashes that belong there in the order of ids."""
+    cell = ((_mixed(d) >> np.uint64(1)) % np.uint64(cells)).astype(np.int64)
+    order = np.lexsort((d, cell))
+    cell, d, h = cell[order], d[order], h[order]
+    ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell))
+    return pa.record_batch({"cell": pa.array(cell[ends - 1]), "d": lists(d, ends, pa.int64()), "gone": lists(h, ends, pa.int64())})
+
+
+def _repeated(cells: int):
     """Rows come ordered by (h, d): all but a run's smallest id lose the window."""
-    last, least, kept, size = None, None, [], 0
-    for batch in batches:
-        kind, h, d = (batch.column(i).to_numpy() for i in range(3))
-        given = kind == 1
-        own_h, own_d = h[~given], d[~given]
-        go = np.zeros(len(own_h), bool)
-        if len(own_h):
-            new = np.concatenate([[own_h[0] != last], own_h[1:] != own_h[:-1]])
-            begin = np.where(new, np.arange(len(own_h)), -1)
-            np.maximum.accumulate(begin, out=begin)
-            floor = np.where(begin >= 0, own_d[np.maximum(begin, 0)], least if least is not None else 0)
-            go = own_d > floor
-            last, least = own_h[-1], floor[-1]
-        kept.append((np.concatenate([h[given], own_h[go]]), np.concatenate([d[given], own_d[go]])))
-        size += len(kept[-1][0])
-        if size >= _PACK:
-            yield _by_document(*(np.concatenate(x) for x in zip(*kept)))
-            kept, size = [], 0
-    if size:
-        yield _by_document(*(np.concatenate(x) for x in zip(*kept)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, least, kept, size = None, None, [], 0
+        for batch in batches:
+            kind, h, d = (batch.column(i).to_numpy() for i in range(3))
+            given = kind == 1
+            own_h, own_d = h[~given], d[~given]
+            go = np.zeros(len(own_h), bool)
+            if len(own_h):
+                new = np.concatenate([[own_h[0] != last], own_h[1:] != own_h[:-1]])
+                begin = np.where(new, np.arange(len(own_h)), -1)
+                np.maximum.accumulate(begin, out=begin)
+                floor = np.where(begin >= 0, own_d[np.maximum(begin, 0)], least if least is not None else 0)
+                go = own_d > floor
+                last, least = own_h[-1], floor[-1]
+            kept.append((np.concatenate([h[given], own_h[go]]), np.concatenate([d[given], own_d[go]])))
+            size += len(kept[-1][0])
+            if size >= _PACK:
+                yield _by_cell(*(np.concatenate(x) for x in zip(*kept)), cells)
+                kept, size = [], 0
+        if size:
+            yield _by_cell(*(np.concatenate(x) for x in zip(*kept)), cells)
+
+    return run
+
+
+def _stripped(part: pa.RecordBatch, gone_d: np.ndarray, gone_h: np.ndarray, window: int) -> pa.RecordBatch:
+    """Documents without the words in their windows to go; those are given in the order of ids."""
+    texts, ids = text_column(part), column(part, "id")
+    _, first, h, begin, row = _hashed(texts, window)
+    bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
+    own_ids, known = ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
+    low, high = np.searchsorted(gone_d, own_ids, side="left"), np.searchsorted(gone_d, own_ids, side="right")
+    words, removed, kept, opens, closes = [], [], [], [], []
+    for i, text in enumerate(texts.to_pylist()):
+        own = text.encode().split()
+        n = len(own)
+        starts = ends = ()
+        if known[i] and high[i] > low[i]:
+            mine = slice(bounds[i], bounds[i + 1])
+            hit = begin[mine][np.isin(h[mine].view(np.int64), gone_h[low[i]:high[i]])] - first[i]
+            edge = np.zeros(n + 1, np.int64)
+            np.add.at(edge, hit, 1)
+            np.add.at(edge, hit + window, -1)
+            covered = np.cumsum(edge)[:n] > 0
+            change = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
+            starts, ends = change[::2], change[1::2]
+            own = list(compress(own, ~covered))
+        words.append(n)
+        removed.append(n - len(own))
+        kept.append(b" ".join(own).decode())
+        opens.append(starts)
+        closes.append(ends)
+    return pa.record_batch({
+        "id": ids, "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+        "span_starts": pa.array(opens, pa.list_(pa.int64())), "span_ends": pa.array(closes, pa.list_(pa.int64())),
+        "kept_text": pa.array(kept, pa.string())})
 
 
 def _remover(window: int):
+    """Rows come ordered by cell, with the cell's hashes before its documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        current, held, gone_d, gone_h = None, [], none, none
         for batch in batches:
-            for part in pieces(batch):
-                texts, gone = text_column(part), column(part, "gone")
-                _, first, h, begin, row = _hashed(texts, window)
-                bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
-                values, valid = gone.values.to_numpy(), gone.is_valid().to_numpy(zero_copy_only=False)
-                offsets = gone.offsets.to_numpy()
-                words, removed, kept, opens, closes = [], [], [], [], []
-                for i, text in enumerate(texts.to_pylist()):
-                    own = text.encode().split()
-                    n = len(own)
-                    starts = ends = ()
-                    if valid[i]:
-                        mine = slice(bounds[i], bounds[i + 1])
-                        hit = begin[mine][np.isin(h[mine].view(np.int64), values[offsets[i]:offsets[i + 1]])] - first[i]
-                        edge = np.zeros(n + 1, np.int64)
-                        np.add.at(edge, hit, 1)
-                        np.add.at(edge, hit + window, -1)
-                        covered = np.cumsum(edge)[:n] > 0
-                        change = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
-                        starts, ends = change[::2], change[1::2]
-                        own = list(compress(own, ~covered))
-                    words.append(n)
-                    removed.append(n - len(own))
-                    kept.append(b" ".join(own).decode())
-                    opens.append(starts)
-                    closes.append(ends)
-                yield pa.record_batch({
-                    "id": column(part, "id"), "n_words": pa.array(words, pa.int64()),
-                    "n_removed": pa.array(removed, pa.int64()), "span_starts": pa.array(opens, pa.list_(pa.int64())),
-                    "span_ends": pa.array(closes, pa.list_(pa.int64())), "kept_text": pa.array(kept, pa.string())})
+            cells, texts = column(batch, "cell").to_numpy(), column(batch, "is_text").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((cells[1:] != cells[:-1]) | (texts[1:] != texts[:-1])) + 1).tolist(), len(cells)]
+            for low, high in zip(edges[:-1], edges[1:]):
+                if low == high:
+                    continue
+                if cells[low] != current:
+                    current, held, gone_d, gone_h = cells[low], [], none, none
+                part = batch.slice(low, high - low)
+                if not texts[low]:
+                    held.append((column(part, "d").flatten().to_numpy(), column(part, "gone").flatten().to_numpy()))
+                    continue
+                if held:
+                    gone_d, gone_h = (np.concatenate(x) for x in zip(*held))
+                    order = np.argsort(gone_d, kind="stable")
+                    held, gone_d, gone_h = [], gone_d[order], gone_h[order]
+                for small in pieces(part):
+                    yield _stripped(small, gone_d, gone_h, window)
 
     return run
 
@@ -155,7 +200,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Entries are packed by bucket and shuffled; Spark sorts each partition by
     hash and id, and all but the smallest id lose the window. Bucket and hash are
     independent polynomial hashes, so windows are told apart by 64 bits and the
-    bucket's. Only ids and hashes meet the texts again, through a join on the id.
+    bucket's. The hashes to go are packed by cells of documents; each cell's hashes are
+    sorted in front of its texts, which stream past them.
 
     Null text is empty; a text of fewer words than a window stays whole. A row
     with null id is returned as it is and takes nothing from others. Rows with
@@ -169,9 +215,11 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = (entries.repartitionById(width, "bucket")
              .select("kind", F.inline(F.arrays_zip("h", "d")))
              .sortWithinPartitions("h", "d"))
-    found = pairs.mapInArrow(_repeated, "doc bigint, gone array<bigint>")
-    gone = found.groupBy("doc").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    joined = own.join(gone, F.col("id") == F.col("doc"), "left").select("id", "text", "gone")
-    return joined.mapInArrow(_remover(window), (
+    cells = max(width, docs.count() // CELL)
+    gone = pairs.mapInArrow(_repeated(cells), "cell bigint, d array<bigint>, gone array<bigint>")
+    both = own.select(_cell(cells).alias("cell"), F.lit(True).alias("is_text"), "id", "text").unionByName(
+        gone.withColumn("is_text", F.lit(False)), allowMissingColumns=True)
+    dealt = both.repartition(width, "cell").sortWithinPartitions("cell", "is_text")
+    return dealt.mapInArrow(_remover(window), (
         "id bigint, n_words bigint, n_removed bigint, span_starts array<bigint>, span_ends array<bigint>, "
         "kept_text string")).withColumnRenamed("id", id_col)
