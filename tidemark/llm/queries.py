@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, exact, simhash, substring, token_files
+from tidemark.llm import (byte_bpe, chat, decontaminate, exact, html_text, quality, simhash, substring, token_files,
+                          toxicity)
+from tidemark.llm.staging import staged
 from tidemark.session import scratch_path
 
 WORD_BPE, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
@@ -31,6 +33,35 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document by positive-unlabelled learning."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: A conversation that says what the template's control strings are.
+PLANTED = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted, written, and digested from what the written output parses to."""
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.conversation_digests(staged(chat.format_conversations(turns), "chat"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity categories of each document by a classifier chain."""
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), *(c for c in found.columns if c.startswith("p_")),
+                        F.col(f"p_{toxicity.LAST}").alias("score"), F.col("toxic").cast("int").alias("predicted"), "toxic")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page by its host's winning paths."""
+    found = html_text.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("bigint").alias("n_chars"))
+
+
 def byte_bpe_digests(docs: DataFrame) -> DataFrame:
     encoded = byte_bpe.encode(docs, BYTE_RANKS, BYTE_PATTERN)
     return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS))
@@ -58,7 +89,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_token_files, op7_byte_bpe, op8_simhash_dedup, op9_exact_dedup, op10_decontamination)}
+    op1_substring_dedup, op2_token_files, op3_quality, op4_chat_format, op5_toxicity, op6_html_text, op7_byte_bpe,
+    op8_simhash_dedup, op9_exact_dedup, op10_decontamination)}
 
 SQL = {
     "op1_substring_dedup": r"""
@@ -68,11 +100,19 @@ SQL = {
         least AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
         gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos
                  FROM windows JOIN least USING (win) WHERE first_id < doc_id),
-        gone_list AS (SELECT doc_id, list(pos) AS p FROM gone GROUP BY doc_id)
-        SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
-               sha256(array_to_string(CASE WHEN p IS NULL THEN w ELSE list_transform(
-                   list_filter(range(1, len(w) + 1), x -> NOT list_contains(p, x)), x -> w[x]) END, ' ')) AS kept_sha256
-        FROM words LEFT JOIN gone_list USING (doc_id)""",
+        each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t
+                 FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)""",
+    "op4_chat_format": r"""
+        WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                       UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(4 + length(role) + 2 + length(text) + len(regexp_extract_all(text, '###|</turn>')) + 9)::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id""",
     "op10_decontamination": r"""
         WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
