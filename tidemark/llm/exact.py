@@ -74,21 +74,21 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = docs.count()
     cells = min(max_cells, 1 << max(10, (CELLS_PER_ROW * rows - 1).bit_length()))
-    text = F.col(text_col)
-    named = docs.select(F.struct(F.col(id_col).alias("id"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))).alias("row"),
+    text, carried = F.col(text_col), [f"_carry{i}" for i in range(len(carry))]
+    named = docs.select(F.col(id_col).alias("own_id"), *(F.col(c).alias(n) for c, n in zip(carry, carried)),
                         F.coalesce(F.char_length(text.cast("string")), F.lit(0)).alias("points"),
                         F.sha2(squeezed(text), 256).alias("text_key"))
-    words = repeated_cells(docs.select(F.sha2(squeezed(text), 256).alias("text_key")), cells)
+    words = staged(repeated_cells(docs.select(F.sha2(squeezed(text), 256).alias("text_key")), cells), "exact-filter")
     tested = maybe_repeated(named, words, cells)
     alone = tested.filter(~F.col("maybe")).select(
-        "row", F.col("row.id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "text_key")
-    some = staged(tested.filter("maybe").select("row", "points", "text_key", F.monotonically_increasing_id().alias("uid")), "exact")
+        "own_id", F.col("own_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "text_key", *carried)
+    some = staged(tested.filter("maybe").select("own_id", "points", "text_key", F.monotonically_increasing_id().alias("uid"), *carried), "exact")
     best = some.groupBy("text_key").agg(
-        F.min(F.struct(-F.col("points"), F.col("row.id").isNull(), "row.id", "uid")).alias("best"), F.count("*").alias("group_size"))
-    sliced = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        F.min(F.struct(-F.col("points"), F.col("own_id").isNull(), "own_id", "uid")).alias("best"), F.count("*").alias("group_size"))
+    sliced = best.select("text_key", F.col("best.own_id").alias("keep_id"), F.col("best.uid").alias("keep_uid"), "group_size",
+                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     groups = some.withColumn("salt", F.pmod(F.col("uid"), F.lit(SALTS)).cast("int")).join(sliced, ["text_key", "salt"])
-    met = groups.select("row", F.col("best.id").alias("keep_id"), "group_size",
-                        (F.col("uid") == F.col("best.uid")).alias("kept"), "text_key")
+    met = groups.select("own_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_key", *carried)
     return alone.unionByName(met).select(
-        F.col("row.id").alias(id_col), "keep_id", "group_size", "kept", F.col("text_key").alias("text_sha256"),
-        *(F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)))
+        F.col("own_id").alias(id_col), "keep_id", "group_size", "kept", F.col("text_key").alias("text_sha256"),
+        *(F.col(n).alias(c) for c, n in zip(carry, carried)))
