@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tidemark.llm.chunks import Memory, encode_items
+from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items
 from tidemark.llm.staging import column, id_and_text, lists, pieces, text_column
 
 #: A cut that no match can cross: before a space that follows a character other than white space.
@@ -63,14 +63,19 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.find = Tokenizer.from_str(spec), regex.compile(pattern).findall
         self.shown = dict(enumerate(byte_characters()))
+        self.parts = Memory(self._encode_parts, MOST_PIECES)
         self.whole = Memory(self._encode)
         self.spaced = Memory(lambda chunks: self._encode([" " + c for c in chunks]))
 
     def _encode(self, stretches: list[str]) -> list[bytes]:
-        parts = [self.find(s) for s in stretches]
-        flat = [m.encode().decode("latin-1").translate(self.shown) for own in parts for m in own]
-        coded = iter(encode_items(self.tokenizer, flat, np.dtype(np.int32)))
-        return [b"".join([next(coded) for _ in own]) for own in parts]
+        matches = list(map(self.find, stretches))
+        self.parts.learn(matches)
+        known = self.parts
+        return [known[m[0]] if len(m) == 1 else b"".join([known[x] for x in m]) for m in matches]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        shown = [p.encode().decode("latin-1").translate(self.shown) for p in parts]
+        return encode_items(self.tokenizer, shown, np.dtype(np.int32), whole_words=True)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_CUT.split(t) if _RUN.search(t) else None for t in texts]

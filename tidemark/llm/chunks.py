@@ -6,8 +6,8 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-#: Stretches remembered before the memory starts again.
-MOST = 400_000
+#: Stretches and the pieces they are made of, remembered before a memory starts again.
+MOST, MOST_PIECES = 300_000, 700_000
 
 
 class Memory(dict):
@@ -19,7 +19,9 @@ class Memory(dict):
 
     def learn(self, stretches: Iterable[Iterable[str]]) -> None:
         """Make sure that all these are known."""
-        distinct = set().union(*stretches)
+        self.learn_set(set().union(*stretches))
+
+    def learn_set(self, distinct: set[str]) -> None:
         new = distinct - self.keys()
         if len(self) + len(new) > self.most:
             self.clear()
@@ -47,22 +49,25 @@ def joined_groups(items: list[str], chars: int = 20_000) -> Iterable[tuple[list[
         yield group, " ".join([items[i] for i in group]), np.array(starts)
 
 
-def encode_items(tokenizer, items: list[str], kind: np.dtype) -> list[bytes]:
+def encode_items(tokenizer, items: list[str], kind: np.dtype, whole_words: bool = False) -> list[bytes]:
     """Each item's ids as bytes. The tokenizer must treat items parted by a space independently.
 
-    Many items are encoded as one text, and token offsets tell which item a token is of.
+    Many items are encoded as one text, and token offsets tell which item a token is of; if the
+    tokenizer splits at spaces only (``whole_words``), the tokens' word numbers do.
     """
     out = [b""] * len(items)
     groups = list(joined_groups(items))
     for low in range(0, len(groups), 16):
         some = groups[low:low + 16]
         for (group, _, starts), encoding in zip(some, tokenizer.encode_batch([g[1] for g in some], add_special_tokens=False)):
-            offsets = encoding.offsets
-            if not offsets:
-                continue
-            first = np.array(offsets, np.int64)[:, 0]
             ids = np.array(encoding.ids, kind)
-            cut = np.searchsorted(np.searchsorted(starts, first, side="right") - 1, np.arange(len(group) + 1))
+            if not len(ids):
+                continue
+            if whole_words:
+                item = np.array(encoding.word_ids)
+            else:
+                item = np.searchsorted(starts, np.array([a for a, _ in encoding.offsets]), side="right") - 1
+            cut = np.searchsorted(item, np.arange(len(group) + 1))
             data, width = ids.tobytes(), ids.itemsize
             cut = (cut * width).tolist()
             for place, a, b in zip(group, cut[:-1], cut[1:]):

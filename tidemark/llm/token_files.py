@@ -9,6 +9,7 @@ Ids are 2 bytes wide if the vocabulary fits, else 4.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -21,15 +22,18 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from tidemark.llm.chunks import Memory, encode_items
+from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column
 
 #: Fixed values of the format: the mark at a shard's end, and the footer's numbers (documents, ids, null keys, id width, mark).
 MARK = 0x31534449
 _FOOTER = 5 * 8
+#: The normaliser that lower-cases ASCII letters and does nothing else to them.
+_LOWER_CASING = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 #: Each slot of the index: shard, place in it, and how many documents have the key.
 _COLUMNS = ("<i4", "<i8", "<i8")
 
@@ -64,18 +68,47 @@ def index_path(folder: str, part: int) -> str:
 
 
 class TextEncoder:
-    """Texts to id bytes. A text is cut at plain spaces, which the tokenizer drops, and each distinct stretch is encoded once."""
+    """Texts to id bytes. The tokenizer drops white space, so a text is cut at plain spaces and line breaks.
+
+    A stretch that ends in a letter and then full stops or commas is cut there too, as the tokenizer never joins a letter and a
+    mark. Each distinct piece is encoded once by the library. Pieces of ASCII letters only, which normalising merely
+    lower-cases, go to the same model without the normaliser and the splitting pattern.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory = Memory(lambda chunks: encode_items(self.tokenizer, chunks, self.kind))
+        self.plain = None
+        if json.loads(self.tokenizer.to_str())["normalizer"] == _LOWER_CASING:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.parts = Memory(self._encode_parts, MOST_PIECES)
+        self.stretches = Memory(self._join)
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        if not self.plain:
+            return encode_items(self.tokenizer, parts, self.kind)
+        letters = [p.isascii() and p.isalpha() for p in parts]
+        plain = iter(encode_items(self.plain, [p.lower() for p, own in zip(parts, letters) if own], self.kind, whole_words=True))
+        other = iter(encode_items(self.tokenizer, [p for p, own in zip(parts, letters) if not own], self.kind))
+        return [next(plain) if own else next(other) for own in letters]
+
+    def _join(self, stretches: list[str]) -> list[bytes]:
+        cut = []
+        for whole in stretches:
+            core = whole.rstrip(".,")
+            # Western letters only: lower-cased they are still one letter, in every table of characters.
+            cut.append((core, whole[len(core):]) if core and core != whole and core[-1] < "\u0100" and core[-1].isalpha() else (whole, ""))
+        self.parts.learn(cut)
+        known = self.parts
+        return [known[core] + known[marks] for core, marks in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        self.memory.learn(split)
-        return [b"".join([self.memory[c] for c in s]) for s in split]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        self.stretches.learn(split)
+        known = self.stretches
+        return [b"".join([known[x] for x in s]) for s in split]
 
 
 @lru_cache(maxsize=2)
