@@ -8,7 +8,7 @@ from tidemark.functions import vectors
 from tidemark.functions.embed import embed_text, embedding_of_payload, hashed_embedder, token_cell
 from tidemark.operators import vector_search
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
-from tidemark.operators.vector_index import append_to_index, build_index, compact_index, read_leaves, search_index
+from tidemark.operators.vector_index import append_to_index, build_index, compact_index, leaf_centroids, read_leaves, search_index
 from tidemark.session import scratch_path
 
 Q = vector_search.VectorColumns("query_id", "embedding")
@@ -128,7 +128,28 @@ def test_index_append_is_repeatable(spark, points):
 def test_copies_do_not_use_up_the_leaves(spark):
     rows = [(i, [1.0, 0.0] if i % 3 else [float(i % 7), float(i % 11)]) for i in range(400)]
     index = build_index(spark.createDataFrame(rows, "doc_id int, embedding array<float>"), scratch_path(spark, "index"), leaf_size=20)
-    assert spark.read.parquet(index.centroids_path).count() == 20
+    assert 10 <= leaf_centroids(spark, index).count() <= 25
+
+
+def test_ragged_vectors_meet_their_own_length_and_are_told(spark, fixed):
+    docs = fixed("doc_id int, embedding array<float>", *[(i, [float(i), 1.0]) for i in range(9)], (20, [1.0, 2.0, 3.0]), (21, []), (22, None))
+    queries = fixed("query_id int, embedding array<float>", (1, [1.0, 0.0, 0.0]), (2, [0.0, 1.0]))
+    for limit in (1 << 20, 1):
+        got = {(r.query_id, r.doc_id) for r in vector_search.nearest(queries, docs, 2, "euclidean", broadcast_limit=limit).collect()}
+        assert got == {(1, 20), (2, 0), (2, 1)}
+    told = {r.id: r.reason for r in vector_search.unusable_vectors(docs, D, 2).collect()}
+    assert told == {20: "3 numbers instead of 2", 21: "empty vector", 22: "no vector"}
+    index = build_index(docs, scratch_path(spark, "index"), leaf_size=3)
+    assert sorted(r.doc_id for r in read_leaves(spark, index).collect()) == list(range(9))
+
+
+def test_index_does_not_need_arrow_conversion(spark, points):
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        index = build_index(spark.createDataFrame(points, "doc_id int, embedding array<float>"), scratch_path(spark, "index"), leaf_size=50)
+        assert search_index(spark.createDataFrame(points[:3], "query_id int, embedding array<float>"), index).count() == 15
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
 
 
 def test_similarity_functions(fixed):

@@ -1,8 +1,8 @@
-"""Inverted-file vector index: k-means leaves stored as a partitioned table.
+"""Inverted-file vector index: two levels of k-means, leaves stored as a sorted table.
 
-The leaf count follows the leaf size but is capped by ``max_leaves``, which
-bounds the centroid table (16,384 x 768 floats = 48 MB). A search probes a fixed
-share of the leaves, so with more rows the leaves grow, not the probe table.
+The leaf count follows the rows. A leaf is a pair of a coarse centroid and a centroid of what is left
+after it, so leaves need only about twice the square root of their number in centroids: 200 million leaves
+take 28,000. A search probes a fixed share of the leaves in use.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, St
 
 from tidemark.operators.ordered import top_k
 from tidemark.operators.vector_search import (BROADCAST_LIMIT, TOP_K, VectorColumns, common_dtype, nearest, pack_vectors,
-                                              query_side, row_bytes, score_blocks)
+                                              query_side, row_bytes, score_blocks, usual_length)
 from tidemark.session import checkpointed
 
 # Index settings.
@@ -27,9 +26,9 @@ LEAF_SIZE = 500
 LEAVES_TO_SEARCH = 0.07
 CANDIDATES = 150
 
-MAX_LEAVES = 16_384
-SAMPLE_PER_LEAF = 64
-CAREFUL_START_LEAVES = 256
+#: A leaf in a broadcast list of leaves.
+LEAF_BYTES = 32
+
 _CENTROIDS = StructType([StructField("centroid", IntegerType()), StructField("embedding", ArrayType(FloatType()))])
 
 
@@ -38,73 +37,111 @@ class VectorIndex:
     path: str
 
     @property
-    def model_path(self) -> str:
-        return f"{self.path}/model"
+    def coarse_path(self) -> str:
+        return f"{self.path}/coarse"
 
     @property
-    def centroids_path(self) -> str:
-        return f"{self.path}/centroids"
+    def fine_path(self) -> str:
+        return f"{self.path}/fine"
 
     @property
     def leaves_path(self) -> str:
         return f"{self.path}/leaves"
 
 
-def assign_leaves(vectors: DataFrame, model: KMeansModel, vector: str) -> DataFrame:
-    """Add the nearest centroid; one pass, no shuffle."""
-    featured = vectors.withColumn("_features", array_to_vector(F.col(vector)))
-    return model.setFeaturesCol("_features").setPredictionCol("centroid").transform(featured).drop("_features")
+def _centers(spark: SparkSession, path: str, key: str, vector: str) -> DataFrame:
+    """A level's centroids; about the square root of the leaf count, so small enough to broadcast."""
+    return F.broadcast(spark.read.schema(_CENTROIDS).parquet(path).select(F.col("centroid").alias(key), F.col("embedding").alias(vector)))
+
+
+def _nearest_center(df: DataFrame, model: KMeansModel, vector: str, key: str) -> DataFrame:
+    """Add the number of the nearest centroid; one pass, no shuffle."""
+    featured = df.withColumn("_features", array_to_vector(F.col(vector)))
+    return model.setFeaturesCol("_features").setPredictionCol(key).transform(featured).drop("_features")
+
+
+def _with_rest(df: DataFrame, index: VectorIndex, vector: str) -> DataFrame:
+    """Add ``_rest``: the vector less its coarse centroid."""
+    centers = _centers(df.sparkSession, index.coarse_path, "_c", "_center")
+    rest = F.zip_with(vector, "_center", lambda x, y: x - y)
+    return df.join(centers, F.col("coarse") == F.col("_c")).withColumn("_rest", rest).drop("_c", "_center")
+
+
+def _save_centers(model: KMeansModel, spark: SparkSession, path: str) -> None:
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    spark.createDataFrame(rows, _CENTROIDS).write.mode("overwrite").parquet(path)
+
+
+def assign_leaves(vectors: DataFrame, index: VectorIndex, vector: str) -> DataFrame:
+    """Add ``coarse`` and ``centroid`` (the leaf's number); no shuffle."""
+    coarse = KMeansModel.load(f"{index.path}/coarse-model")
+    fine = KMeansModel.load(f"{index.path}/fine-model")
+    placed = _nearest_center(_with_rest(_nearest_center(vectors, coarse, vector, "coarse"), index, vector), fine, "_rest", "_fine")
+    return placed.withColumn("centroid", F.col("coarse") * len(fine.clusterCenters()) + F.col("_fine")).drop("_rest", "_fine")
 
 
 def write_leaves(assigned: DataFrame, index: VectorIndex, batch_id: int) -> None:
-    """Write one batch of rows below their leaf. A repeated batch replaces
+    """Write one batch of rows below its coarse centroids, sorted by leaf. A repeated batch replaces
     itself, so a replay after a lost executor or driver adds nothing twice."""
     (assigned.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .hint("rebalance", "centroid")
+     .hint("rebalance", "coarse").sortWithinPartitions("coarse", "centroid")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", "centroid").parquet(index.leaves_path))
+     .partitionBy("batch_id", "coarse").parquet(index.leaves_path))
 
 
-def build_index(vectors: DataFrame, path: str, vector: str = "embedding", leaf_size: int = LEAF_SIZE,
-                max_leaves: int = MAX_LEAVES, seed: int = 42) -> VectorIndex:
-    """Train centroids on a bounded sample and write every vector to its leaf.
+def build_index(vectors: DataFrame, path: str, vector: str = "embedding", leaf_size: int = LEAF_SIZE, seed: int = 42) -> VectorIndex:
+    """Train both levels on all distinct vectors and write every vector to its leaf.
 
     Copies count once in training: otherwise a vector repeated in a third of all
-    rows would take a third of the starting centroids.
+    rows would take a third of the centroids. Vectors of another than the most common
+    length are left out; ``unusable_vectors`` tells which and why.
     """
-    usable = vectors.filter(F.size(vector) > 0)
-    n = usable.count()
-    leaves = max(1, min(max_leaves, math.ceil(n / leaf_size)))
-    share = leaves * SAMPLE_PER_LEAF / max(n, 1)
-    sample = usable.sample(min(1.0, share * 1.1), seed) if share < 0.9 else usable
-    index = VectorIndex(path)
-    distinct = sample.select(vector).dropDuplicates().select(array_to_vector(F.col(vector)).alias("_features"))
-    # The k-means|| start gathers several candidates per leaf on the driver; random starts keep that small.
-    start = "k-means||" if leaves <= CAREFUL_START_LEAVES else "random"
-    trained = KMeans(k=max(2, leaves), seed=seed, maxIter=10, initMode=start, featuresCol="_features").fit(distinct)
-    trained.write().overwrite().save(index.model_path)
-    centers = pd.DataFrame({"centroid": range(len(trained.clusterCenters())),
-                            "embedding": [c.astype("float32") for c in trained.clusterCenters()]})
-    vectors.sparkSession.createDataFrame(centers, _CENTROIDS).write.mode("overwrite").parquet(index.centroids_path)
-    write_leaves(assign_leaves(usable, trained, vector), index, batch_id=-1)
+    spark, index = vectors.sparkSession, VectorIndex(path)
+    dims = usual_length(vectors, vector)
+    usable = vectors.filter(F.size(vector) == dims)
+    leaves = max(1, math.ceil(usable.count() / leaf_size))
+    per_level = max(2, math.ceil(math.sqrt(leaves)))
+    distinct = checkpointed(usable.select(F.col(vector).cast("array<double>").alias("v")).dropDuplicates())
+
+    def fit(df: DataFrame, column: str, name: str) -> KMeansModel:
+        features = df.select(array_to_vector(F.col(column)).alias("_features"))
+        model = KMeans(k=per_level, seed=seed, maxIter=10, featuresCol="_features").fit(features)
+        model.write().overwrite().save(f"{path}/{name}-model")
+        _save_centers(model, spark, f"{path}/{name}")
+        return model
+
+    coarse = fit(distinct, "v", "coarse")
+    fit(_with_rest(_nearest_center(distinct, coarse, "v", "coarse"), index, "v"), "_rest", "fine")
+    write_leaves(assign_leaves(usable, index, vector), index, batch_id=-1)
     return index
 
 
 def append_to_index(vectors: DataFrame, index: VectorIndex, batch_id: int, vector: str = "embedding") -> None:
-    """Assign new vectors to the existing centroids and append them."""
-    model = KMeansModel.load(index.model_path)
-    write_leaves(assign_leaves(vectors.filter(F.size(vector) > 0), model, vector), index, batch_id)
+    """Assign new vectors to the existing centroids and append them; those of another length than the index's are left out."""
+    dims = len(vectors.sparkSession.read.schema(_CENTROIDS).parquet(index.coarse_path).first()["embedding"])
+    write_leaves(assign_leaves(vectors.filter(F.size(vector) == dims), index, vector), index, batch_id)
 
 
 def compact_index(spark: SparkSession, index: VectorIndex, path: str) -> VectorIndex:
     """A copy of the index with all batches merged, for an index that many small appends have split into small files."""
     merged = VectorIndex(path)
-    KMeansModel.load(index.model_path).write().overwrite().save(merged.model_path)
-    spark.read.parquet(index.centroids_path).write.mode("overwrite").parquet(merged.centroids_path)
+    for name in ("coarse", "fine"):
+        KMeansModel.load(f"{index.path}/{name}-model").write().overwrite().save(f"{path}/{name}-model")
+        spark.read.parquet(f"{index.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
     write_leaves(read_leaves(spark, index).drop("batch_id"), merged, batch_id=-1)
     return merged
 
 
+def leaf_centroids(spark: SparkSession, index: VectorIndex) -> DataFrame:
+    """(coarse, centroid, embedding) of the leaves in use: the sum of both levels' centroids."""
+    fine = _centers(spark, index.fine_path, "_f", "_fine")
+    width = spark.read.parquet(index.fine_path).count()
+    used = read_leaves(spark, index).select("coarse", "centroid").distinct()
+    first = used.join(_centers(spark, index.coarse_path, "_c", "_coarse"), F.col("coarse") == F.col("_c"))
+    both = first.join(fine, F.col("centroid") % width == F.col("_f"))
+    return both.select("coarse", "centroid", F.zip_with("_coarse", "_fine", lambda x, y: x + y).alias("embedding"))
+
+
 def read_leaves(spark: SparkSession, index: VectorIndex) -> DataFrame:
     return spark.read.parquet(index.leaves_path)
 
@@ -123,7 +160,7 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
         raise ValueError("k must lie between 1 and the number of candidates")
     spark = queries.sparkSession
     queries = checkpointed(queries.select(query.id, query.vector))  # used three times, embedded once
-    centroids = spark.read.schema(_CENTROIDS).parquet(index.centroids_path)
+    centroids = checkpointed(leaf_centroids(spark, index))
     count = centroids.count()
     probes_per_query = max(1, math.ceil(leaves_to_search * count))
     probes = checkpointed(nearest(queries, centroids, probes_per_query, "euclidean", query=query,
@@ -131,16 +168,17 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure
                                   broadcast_limit=broadcast_limit).select(query.id, "centroid"))
     leaves = read_leaves(spark, index)
     if probes_per_query < count:
-        # At most max_leaves integers; they prune whole leaf folders from the scan.
-        probed = [row["centroid"] for row in probes.select("centroid").distinct().collect()]
-        leaves = leaves.filter(F.col("centroid").isin(probed))
+        # Probed leaves prune coarse folders while the scan starts, and other leaves' rows before they are packed.
+        probed = centroids.join(probes.select("centroid").distinct(), "centroid", "left_semi").select("coarse", "centroid")
+        small = count * LEAF_BYTES <= broadcast_limit
+        leaves = leaves.join(F.broadcast(probed) if small else probed, ["coarse", "centroid"], "left_semi")
     n, dims = query_side(queries, query)
     routed = queries.join(probes, query.id).hint("rebalance", "centroid")
     dtype = common_dtype((queries, query), (leaves, doc))
-    q_blocks = pack_vectors(routed, query, dims, F.col("centroid"), "q_", dtype)
-    c_blocks = pack_vectors(leaves, doc, dims, F.col("centroid"), "c_", dtype)
+    q_blocks = pack_vectors(routed, query, F.col("centroid"), "q_", dtype)
+    c_blocks = pack_vectors(leaves, doc, F.col("centroid"), "c_", dtype)
     if n * probes_per_query * row_bytes(dims, dtype) <= broadcast_limit:
         q_blocks = F.broadcast(q_blocks)
     pairs = c_blocks.join(q_blocks, F.col("c_key") == F.col("q_key"))
-    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id, dtype)
+    scored = score_blocks(pairs, k, measure, threshold, query.id, doc.id, dtype)
     return top_k(scored, [query.id], ["distance", doc.id], k)

@@ -63,15 +63,29 @@ def common_dtype(*sides: tuple[DataFrame, VectorColumns]) -> str:
     return "float64" if wide else "float32"
 
 
-def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column | None = None,
-                 prefix: str = "", dtype: str = "float32") -> DataFrame:
+def unusable_vectors(df: DataFrame, columns: VectorColumns, dims: int) -> DataFrame:
+    """Ids whose vector can't be searched with ``dims`` numbers, with the reason: (id, reason)."""
+    size = F.size(columns.vector)
+    reason = (F.when(F.col(columns.vector).isNull(), F.lit("no vector")).when(size == 0, F.lit("empty vector"))
+              .when(size != dims, F.concat(size.cast("string"), F.lit(f" numbers instead of {dims}"))))
+    return df.select(F.col(columns.id).alias("id"), reason.alias("reason")).filter("reason is not null")
+
+
+def usual_length(df: DataFrame, vector: str) -> int:
+    """The most common vector length (the smaller one among equals), 1 without vectors."""
+    sizes = df.groupBy(F.size(vector).alias("dims")).count().filter("dims > 0")
+    row = sizes.orderBy(F.desc("count"), "dims").first()
+    return row["dims"] if row else 1
+
+
+def pack_vectors(df: DataFrame, columns: VectorColumns, key: Column | None = None, prefix: str = "", dtype: str = "float32") -> DataFrame:
     """Pack rows into (key, ids, vectors) blocks without a shuffle.
 
-    Null vectors and vectors of another length cannot be compared and are left
-    out, as a vector index would do.
+    The key defaults to the vector's length, so that vectors meet those of their own length; with
+    another key all vectors must have one length. Null and empty vectors are left out.
     """
-    key = F.lit(0) if key is None else key
-    source = df.filter(F.size(columns.vector) == dims).select(
+    key = F.size(columns.vector) if key is None else key
+    source = df.filter(F.size(columns.vector) > 0).select(
         key.cast("int").alias("key"), F.col(columns.id).alias("id"),
         F.col(columns.vector).cast("array<double>" if dtype == "float64" else "array<float>").alias("vector"))
     id_type = source.schema["id"].dataType
@@ -80,26 +94,26 @@ def pack_vectors(df: DataFrame, columns: VectorColumns, dims: int, key: Column |
         StructField(key_name, source.schema["key"].dataType),
         StructField(ids_name, ArrayType(id_type)),
         StructField(vectors_name, BinaryType())])
-    block_rows = rows_per_block(dims)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = pc.list_flatten(batch.column("vector")).to_numpy(zero_copy_only=False)
-            matrix = vectors.astype(dtype, copy=False).reshape(batch.num_rows, dims)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             order = np.argsort(keys, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
             ends = np.r_[starts[1:], len(order)]
-            cuts = [(a, min(a + block_rows, end)) for start, end in zip(starts, ends)
-                    for a in range(start, end, block_rows)]
-            ids = batch.column("id").take(pa.array(order))
-            offsets = pa.array([a for a, _ in cuts] + [len(order)], type=pa.int32())
+            rows, cuts, blocks = batch.take(pa.array(order)), [], []
+            for start, end in zip(starts, ends):
+                vectors = pc.list_flatten(rows.column("vector").slice(start, end - start)).to_numpy(zero_copy_only=False)
+                matrix = vectors.astype(dtype, copy=False).reshape(end - start, -1)
+                step = rows_per_block(matrix.shape[1])
+                for low in range(0, end - start, step):
+                    cuts.append(start + low)
+                    blocks.append(matrix[low:low + step].tobytes())
+            offsets = pa.array(cuts + [len(order)], type=pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[order][[a for a, _ in cuts]], type=batch.column("key").type),
-                 pa.ListArray.from_arrays(offsets, ids),
-                 pa.array([matrix[order[a:b]].tobytes() for a, b in cuts], type=pa.binary())],
+                [rows.column("key").take(pa.array(cuts)), pa.ListArray.from_arrays(offsets, rows.column("id")), pa.array(blocks, type=pa.binary())],
                 names=[key_name, ids_name, vectors_name])
 
     return source.mapInArrow(pack, schema)
@@ -141,7 +155,7 @@ def _best(distances: np.ndarray, k: int, threshold: float | None) -> tuple[np.nd
     return np.nonzero(keep)
 
 
-def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: float | None,
+def score_blocks(pairs: DataFrame, k: int, measure: str, threshold: float | None,
                  query_id: str, corpus_id: str, dtype: str = "float32") -> DataFrame:
     """Best k corpus rows per query for each joined pair of blocks."""
     schema = StructType([
@@ -155,8 +169,8 @@ def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: f
             q_vectors, c_vectors = batch.column("q_vectors"), batch.column("c_vectors")
             for i in range(batch.num_rows):
                 left, right = q_ids[i].values, c_ids[i].values
-                q = np.frombuffer(q_vectors[i].as_buffer(), dtype=dtype).reshape(-1, dims)
-                c = np.frombuffer(c_vectors[i].as_buffer(), dtype=dtype).reshape(-1, dims)
+                q = np.frombuffer(q_vectors[i].as_buffer(), dtype=dtype).reshape(len(left), -1)
+                c = np.frombuffer(c_vectors[i].as_buffer(), dtype=dtype).reshape(len(right), -1)
                 names = right.to_numpy(zero_copy_only=False)
                 by_id = np.argsort(names.astype(str) if names.dtype == object else names, kind="stable")
                 d = np.round(_distances(q, c[by_id], measure), DISTANCE_DECIMALS)
@@ -170,7 +184,7 @@ def score_blocks(pairs: DataFrame, dims: int, k: int, measure: str, threshold: f
 
 
 def query_side(queries: DataFrame, columns: VectorColumns) -> tuple[int, int]:
-    """(row count, vector length) of the query side, measured in one small job."""
+    """(row count, largest vector length) of the query side, measured in one small job."""
     row = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(columns.vector)).alias("dims")).first()
     return row["n"], max(row["dims"] or 0, 1)
 
@@ -183,7 +197,9 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int = TOP_K, measure: str
 
     ``dot`` uses 1 - dot product as distance, meant for unit vectors. With a
     threshold only rows with a smaller distance count, before the k is applied.
-    Query ids must be unique.
+    Query ids must be unique. Vectors are compared with those of their own length; see
+    ``unusable_vectors`` for the others. A query side beyond the broadcast limit is copied to every part of the
+    corpus, which moves once; for very many queries use the index.
     """
     if measure not in MEASURES:
         raise ValueError(f"measure must be one of {MEASURES}")
@@ -191,19 +207,18 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int = TOP_K, measure: str
         raise ValueError("k must be at least 1")
     n, dims = query_side(queries, query)
     dtype = common_dtype((queries, query), (corpus, doc))
-    q_blocks = pack_vectors(queries, query, dims, prefix="q_", dtype=dtype)
-    c_blocks = pack_vectors(corpus, doc, dims, prefix="c_", dtype=dtype)
-    lanes = math.ceil(n * row_bytes(dims, dtype) / broadcast_limit) or 1
-    if lanes == 1:
-        pairs = c_blocks.join(F.broadcast(q_blocks), F.col("c_key") == F.col("q_key"))
+    q_blocks = pack_vectors(queries, query, prefix="q_", dtype=dtype)
+    c_blocks = pack_vectors(corpus, doc, prefix="c_", dtype=dtype)
+    same = F.col("c_key") == F.col("q_key")
+    if n * row_bytes(dims, dtype) <= broadcast_limit:
+        pairs = c_blocks.join(F.broadcast(q_blocks), same)
     else:
-        spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        q_laned = (q_blocks.withColumn("lane", F.pmod(F.xxhash64("q_ids"), F.lit(lanes)).cast("int"))
-                   .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))))
-        c_laned = (c_blocks.withColumn("part", F.pmod(F.xxhash64("c_ids"), F.lit(spread)).cast("int"))
-                   .withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))))
-        pairs = c_laned.join(q_laned, ["lane", "part"])
-    scored = score_blocks(pairs, dims, k, measure, threshold, query.id, doc.id, dtype)
+        # Each corpus block goes to one part, the queries to every part.
+        parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        q_dealt = q_blocks.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        c_dealt = c_blocks.withColumn("c_part", F.pmod(F.xxhash64("c_ids"), F.lit(parts)).cast("int"))
+        pairs = c_dealt.join(q_dealt, same & (F.col("c_part") == F.col("q_part")))
+    scored = score_blocks(pairs, k, measure, threshold, query.id, doc.id, dtype)
     return top_k(scored, [query.id], ["distance", doc.id], k)
 
 
