@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import prompts, rouge
 from tidemark.functions.stemming import stem
 from tidemark.operators import evaluation, tuning
+from tidemark.plans.tables import summary_pairs
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_chat_samples, read_json_array, read_summary_tests
 from tidemark.sources.writers import write_json_array, write_jsonl, write_small_json
@@ -161,11 +162,20 @@ def test_chat_conversion(spark, fixed):
     assert lines == [{"contents": []}, {"contents": [{"role": "system", "parts": [{"text": "s"}]}, {"role": "user", "parts": [{"text": "é"}]}]}]
 
 
-def test_long_conversations_are_cut_into_segments_without_loss(fixed):
-    turns = fixed("conv_id int, turn int, role string, text string", *[(1, i, "user", f"t{i}") for i in range(25)], (2, 0, "user", "x"))
-    got = tuning.gather_messages(turns, max_turns=10).orderBy("conv_id", "segment").collect()
-    assert [(r.conv_id, r.segment, len(r.messages)) for r in got] == [(1, 0, 10), (1, 1, 10), (1, 2, 5), (2, 0, 1)]
-    assert [m.content for r in got if r.conv_id == 1 for m in r.messages] == [f"t{i}" for i in range(25)]
+def test_long_conversations_are_converted_turn_by_turn(spark, fixed):
+    source, out = scratch_path(spark, "chat"), scratch_path(spark, "tuned")
+    turns = fixed("conv_id int, turn int, role string, text string", *[(1, i, "user", f"t{i}") for i in range(1006)], (2, 0, "user", None))
+    write_jsonl(turns.selectExpr("conv_id", "turn", "array(struct(role, text AS content)) AS messages"), source)
+    write_jsonl(tuning.convert_samples(read_chat_samples(spark, source, "conv_id int, turn int")), out)
+    got = spark.read.schema("conv_id int, turn int, contents array<struct<role:string,parts:array<struct<text:string>>>>").json(out).collect()
+    assert sorted((r.conv_id, r.turn, r.contents[0].parts[0].text or "") for r in got) == [(1, i, f"t{i}") for i in range(1006)] + [(2, 0, "")]
+
+
+def test_summary_keys_of_long_conversations_do_not_collide(spark, tmp_path):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c} {t}") for c, n in ((0, 1006), (1, 6)) for t in range(n)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = summary_pairs(spark, str(tmp_path))
+    assert got.count() == got.select("pos").distinct().count() == 506
 
 
 def test_role_problems(fixed):

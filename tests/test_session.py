@@ -1,7 +1,6 @@
 import os
 
 from tidemark import session
-from tidemark.sources.readers import spread_small_scan
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -14,19 +13,3 @@ def test_shared_folder_is_the_configured_one(spark):
 def test_checkpointed_rows_stay_the_same(spark):
     df = session.checkpointed(spark.range(100).selectExpr("id", "rand() AS r"))
     assert df.collect() == df.collect()
-
-
-def test_only_small_scans_are_spread(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "small"))
-    spark.range(100).repartition(cores * 4).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "many"))
-    small = spark.read.parquet(str(tmp_path / "small"))
-    assert spread_small_scan(small).rdd.getNumPartitions() == cores
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
-    try:
-        many = spark.read.parquet(str(tmp_path / "many"))
-        assert spread_small_scan(many) is many
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -74,6 +74,24 @@ def merge_fields(old: Column, patch: Column) -> Column:
     return F.map_concat(kept, new)
 
 
+def rejected_patches(patches: DataFrame) -> DataFrame:
+    """Patches that are not a JSON object, which the updates leave out."""
+    return patches.filter(F.from_json("patch", "map<string,variant>").isNull())
+
+
+def _latest(patches: DataFrame, order: list[str]) -> DataFrame:
+    """(customer_id, field, last): per field the value and order that come last."""
+    fields = patches.select(ID_FIELD, *order, F.explode(F.from_json("patch", "map<string,variant>")).alias("field", "value"))
+    return fields.groupBy(ID_FIELD, "field").agg(
+        F.max_by(F.struct("value", *order), F.struct(*order)).alias("last"))
+
+
+def latest_fields(patches: DataFrame, order: list[str]) -> DataFrame:
+    """Patches of one field each, the latest of each customer and field, with their order."""
+    whole = F.to_json(F.map_from_arrays(F.array("field"), F.array("last.value")), {"ignoreNullFields": "false"})
+    return _latest(patches, order).select(ID_FIELD, whole.alias("patch"), *(f"last.{c}" for c in order))
+
+
 def latest_patches(patches: DataFrame, order: list[str]) -> DataFrame:
     """One patch map per customer from many: per field the value that comes last in the given order.
 
@@ -81,9 +99,7 @@ def latest_patches(patches: DataFrame, order: list[str]) -> DataFrame:
     folded per (customer, field) before the shuffle, so a customer with very many
     patches sends one value per field and task.
     """
-    fields = patches.select(ID_FIELD, *order, F.explode(F.from_json("patch", "map<string,variant>")).alias("field", "value"))
-    last = fields.groupBy(ID_FIELD, "field").agg(
-        F.max_by(F.struct(F.col("value").alias("value")), F.struct(*order)).alias("last"))
+    last = _latest(patches, order)
     return last.groupBy(ID_FIELD).agg(
         F.map_from_entries(F.collect_list(F.struct("field", "last.value"))).alias("patch"))
 

@@ -16,16 +16,17 @@ def evaluation_dataset(questions: DataFrame, contexts: DataFrame, answers: DataF
                        validate: bool = True) -> DataFrame:
     """Align three (pos, value) tables by position into (pos, prompt, response).
 
-    Questions and contexts are cut to the shorter of the two; the number of
-    answers must then match, otherwise the call fails.
+    Questions and contexts are cut to the shorter of the two; the answers must then stand at the same
+    positions, otherwise the call fails. Positions with gaps or repeats are told too, not dropped.
     """
     prompts = (questions.select("pos", F.col("value").alias("q"))
                .join(contexts.select("pos", F.col("value").alias("c")), "pos")
                .select("pos", question_prompt(F.col("q"), F.col("c")).alias("prompt")))
     if validate:
         paired, answered = min(questions.count(), contexts.count()), answers.count()
-        if paired != answered:
-            raise ValueError(f"{paired} prompts but {answered} answers")
+        met = prompts.join(answers.select("pos"), "pos").count()
+        if not paired == answered == met:
+            raise ValueError(f"{paired} prompts but {answered} answers, {met} of them at the same positions")
     return prompts.join(answers.select("pos", F.col("value").alias("response")), "pos")
 
 

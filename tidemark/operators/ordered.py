@@ -20,8 +20,6 @@ from tidemark.session import checkpointed
 SEGMENT = "_segment"
 # Carried tables up to this many rows (some MB) are broadcast; larger ones join by shuffle.
 BROADCAST_ROWS = 100_000
-# Count tables up to this many distinct values (some 100 MB) may meet in one task.
-SMALL_COUNTS = 2_000_000
 
 
 def _same_group(left: DataFrame, right: DataFrame, group: Sequence[str]) -> Column:
@@ -144,16 +142,11 @@ def percentiles_of_counts(counts: DataFrame, group: Sequence[str], probs: dict[s
                           fixed: bool = False) -> DataFrame:
     """Percentiles from a (group..., value, n) table; see :func:`exact_percentiles`.
 
-    The table is written once (unless ``fixed`` says it already is) and counted:
-    up to ``SMALL_COUNTS`` rows fit any task, so the built-in aggregate is used;
-    beyond that the values are ranked across range segments.
+    The values are ranked across range segments, whatever the table's size. The ranges are staged, so
+    ``counts`` is computed once for its bounds and once for its rows unless it is ``fixed`` (already written).
     """
     written = counts if fixed else checkpointed(counts)
-    if written.count() > SMALL_COUNTS:
-        return percentiles_of_staged(stage_in_order(written, group, ["value"]), group, probs)
-    wanted = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("n"))
-    found = written.groupBy(*group).agg(wanted.alias("_p"))
-    return found.select(*group, *[F.col("_p")[i].alias(name) for i, name in enumerate(probs)])
+    return percentiles_of_staged(stage_in_order(written, group, ["value"]), group, probs)
 
 
 def percentiles_of_staged(staged: DataFrame, group: Sequence[str], probs: dict[str, float]) -> DataFrame:

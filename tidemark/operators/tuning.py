@@ -8,15 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rouge import METRICS, rouge
-from tidemark.operators.ordered import BROADCAST_ROWS, exact_percentiles, previous_value, running_total
-from tidemark.session import checkpointed
+from tidemark.operators.ordered import exact_percentiles, previous_value
 
 # Evaluation batch, characters per token, quartiles.
 EVALUATION_ROWS = 100
 CHARS_PER_TOKEN = 4
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-# A conversation longer than this is written as several segments.
-MAX_TURNS = 20_000
 
 
 def to_contents(messages: Column) -> Column:
@@ -26,37 +23,11 @@ def to_contents(messages: Column) -> Column:
 
 
 def convert_samples(samples: DataFrame) -> DataFrame:
-    """Chat samples to tuning samples, row by row."""
-    return samples.withColumn("contents", to_contents(F.col("messages"))).drop("messages")
-
+    """Chat samples to tuning samples, row by row: whole nested samples, or one turn a row with its keys.
 
-def gather_messages(turns: DataFrame, max_turns: int = MAX_TURNS) -> DataFrame:
-    """Turn rows (conv_id, turn, role, text) to (conv_id, segment, messages).
-
-    Conversations up to ``max_turns`` turns form one segment. Longer ones are cut
-    into segments of that many turns through a distributed running count, so no
-    task ever holds an unbounded conversation and no turn is lost.
+    Turns need not be gathered, so a conversation of any length is converted where its rows are.
     """
-    def gather(df: DataFrame, *keys: str) -> DataFrame:
-        rows = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-        listed = df.groupBy(*keys).agg(rows.alias("_rows"))
-        return listed.withColumn("messages", F.transform(
-            "_rows", lambda r: F.struct(r["role"].alias("role"), r["content"].alias("content")))).drop("_rows")
-
-    # Written once: the counts are read for the size check and for both joins.
-    long_ones = checkpointed(turns.groupBy("conv_id").count().filter(F.col("count") > max_turns).select("conv_id"))
-    found = long_ones.count()
-    if not found:
-        return gather(turns, "conv_id").withColumn("segment", F.lit(0).cast("bigint")).select(
-            "conv_id", "segment", "messages")
-    marked = F.broadcast(long_ones) if found <= BROADCAST_ROWS else long_ones
-    short = turns.join(marked, "conv_id", "left_anti")
-    long = turns.join(marked, "conv_id", "left_semi")
-    placed = running_total(long, ["conv_id"], ["turn"], F.lit(1), upto="_place")
-    segmented = placed.withColumn("segment", F.floor((F.col("_place") - 1) / F.lit(max_turns)).cast("bigint"))
-    return (gather(short, "conv_id").withColumn("segment", F.lit(0).cast("bigint"))
-            .select("conv_id", "segment", "messages")
-            .unionByName(gather(segmented, "conv_id", "segment").select("conv_id", "segment", "messages")))
+    return samples.withColumn("contents", to_contents(F.col("messages"))).drop("messages")
 
 
 def role_problems(turns: DataFrame) -> DataFrame:

@@ -11,13 +11,11 @@ from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
 from tidemark.operators.vector_index import build_index, search_index
 from tidemark.operators.vector_search import DISTANCE_THRESHOLD, image_neighbours, nearest
-from tidemark.plans.tables import documents_as_files, image_collection, spread, table
-from tidemark.session import scratch_path
+from tidemark.plans.tables import documents_as_files, image_collection, table
+from tidemark.session import checkpointed, scratch_path
 from tidemark.streaming.updates import start_vector_updates
 
-CHECK_DIMS = 16
-RETRIEVE_DIMS = 64
-LEAF = 50
+DIMS = 768
 WIDE_THRESHOLD = 0.75
 
 _WORDS = "list_filter(regexp_split_to_array({text}, '[ \\t\\n\\r\\f\\x0b]+'), lambda x: x <> '')"
@@ -42,13 +40,12 @@ def _embedding_sql(source: str, key: str, text: str, dims: int) -> str:
 
 
 def chunk_documents(spark, sf_dir):
-    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
-    return corpus.chunk_documents(docs)
+    return _chunks(spark, sf_dir)
 
 
 def embed_documents(spark, sf_dir):
-    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
-    embedded = embed_text(docs, "text", hashed_embedder(CHECK_DIMS)).select("doc_id", "embedding")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    embedded = embed_text(docs, "text", hashed_embedder(DIMS)).select("doc_id", "embedding")
     return embedded.select("doc_id", F.posexplode("embedding").alias("dim", "v")).select(
         "doc_id", "dim", F.round(F.col("v").cast("double"), 6).alias("value"))
 
@@ -57,16 +54,23 @@ def corpus_import(spark, sf_dir):
     """Import per source as a file group, then count what the stored table holds."""
     out = scratch_path(spark, "corpus")
     docs = documents_as_files(spark, sf_dir).select("source", "file_uri", "text")
-    corpus.import_documents(docs, "check", out, hashed_embedder(CHECK_DIMS))
+    corpus.import_documents(docs, "check", out, hashed_embedder(DIMS))
     return spark.read.parquet(out).groupBy("source").agg(
         F.countDistinct("file_uri").alias("imported_files_count"), F.count(F.lit(1)).alias("chunks"),
         F.sum("n_tokens").alias("tokens"))
 
 
+def _label_means(vectors, label, vector):
+    """The mean vector of each label: a few queries that every row has a part in."""
+    each = vectors.select(F.col(label).alias("query_id"), F.posexplode(vector).alias("dim", "x"))
+    means = each.groupBy("query_id", "dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    listed = means.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("rows"))
+    return listed.select("query_id", F.col("rows.x").alias("embedding"))
+
+
 def _sides(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    return (vectors.select(F.col("vec_id").alias("query_id"), "embedding"),
-            vectors.select(F.col("vec_id").alias("doc_id"), "embedding"))
+    return _label_means(vectors, "label", "embedding"), vectors.select(F.col("vec_id").alias("doc_id"), "embedding")
 
 
 def _shown(found):
@@ -86,22 +90,27 @@ def vector_topk_threshold(spark, sf_dir):
 
 def image_neighbors(spark, sf_dir):
     docs = image_collection(spark, sf_dir)
-    found = image_neighbours(docs.select(F.col("id").alias("query_id"), F.col("embedding_field").alias("embedding")), docs)
+    found = image_neighbours(_label_means(table(spark, sf_dir, "embeddings"), "label", "embedding"), docs)
     return _shown(found).select("query_id", "id", "rank", "distance", "path")
 
 
 def ann_topk(spark, sf_dir):
+    """Index search per label mean: how many rows it found, and whether their distances are the vectors' own."""
     queries, docs = _sides(spark, sf_dir)
-    index = build_index(docs, scratch_path(spark, "index"), leaf_size=LEAF)
-    return _shown(search_index(queries, index, leaves_to_search=0.3))
+    queries = checkpointed(queries)
+    index = build_index(docs, scratch_path(spark, "index"))
+    found = search_index(queries, index)
+    with_vectors = found.join(docs, "doc_id").join(queries.withColumnRenamed("embedding", "asked"), "query_id")
+    own = F.aggregate(F.zip_with("embedding", "asked", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
+    checked = with_vectors.withColumn("holds", F.abs(1 - own - F.col("distance")) < 1e-6)
+    return checked.groupBy("query_id").agg(F.count("*").alias("found"), F.bool_and("holds").alias("distances_hold"))
 
 
 def index_append(spark, sf_dir):
     """Build on the labelled classes below 5, stream in all other vectors, then search every leaf."""
     vectors = table(spark, sf_dir, "embeddings")
     queries, docs = _sides(spark, sf_dir)
-    index = build_index(vectors.filter("label < 5").select(F.col("vec_id").alias("doc_id"), "embedding"),
-                        scratch_path(spark, "index"), leaf_size=LEAF)
+    index = build_index(vectors.filter("label < 5").select(F.col("vec_id").alias("doc_id"), "embedding"), scratch_path(spark, "index"))
     landing = scratch_path(spark, "vectors")
     vectors.filter("label >= 5").select(F.col("vec_id").alias("doc_id"), "embedding").write.parquet(landing)
     arriving = spark.readStream.schema("doc_id bigint, embedding array<float>").parquet(landing)
@@ -109,22 +118,40 @@ def index_append(spark, sf_dir):
     return _shown(search_index(queries, index, leaves_to_search=1.0))
 
 
+CHUNK_KEY = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id").cast("string"))
+
+
+def _chunks(spark, sf_dir):
+    return corpus.chunk_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _benchmark_queries(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def _retrieved(spark, sf_dir):
+    """The best chunks per benchmark text, from all documents."""
+    embedder = hashed_embedder(DIMS)
+    stored = embed_text(_chunks(spark, sf_dir), "text", embedder).select(CHUNK_KEY.alias("chunk_key"), "embedding")
+    return corpus.retrieve(_benchmark_queries(spark, sf_dir), stored, embedder=embedder)
+
+
 def retrieve(spark, sf_dir):
-    docs = spread(spark, sf_dir, "documents", "doc_id", "text")
-    embedder = hashed_embedder(RETRIEVE_DIMS)
-    stored = embed_text(corpus.chunk_documents(docs), "text", embedder).select(
-        (F.col("doc_id") * 100000 + F.col("chunk_id")).alias("chunk_key"), "embedding")
-    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    found = corpus.retrieve(queries, stored, embedder=embedder)
-    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"),
-                        F.floor(F.col("chunk_key") / 100000).alias("doc_id"),
-                        (F.col("chunk_key") % 100000).alias("chunk_id"), F.round("distance", 6).alias("distance"))
+    return _retrieved(spark, sf_dir).select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), F.split_part("chunk_key", F.lit(":"), F.lit(1)).cast("bigint").alias("doc_id"),
+        F.split_part("chunk_key", F.lit(":"), F.lit(2)).cast("bigint").alias("chunk_id"), F.round("distance", 6).alias("distance"))
+
+
+def retrieved_contexts(spark, sf_dir):
+    """(query_id, rank, text): the retrieved chunks' texts, joined back on their keys."""
+    texts = _chunks(spark, sf_dir).select(CHUNK_KEY.alias("chunk_key"), "text")
+    return _retrieved(spark, sf_dir).join(texts, "chunk_key").select("query_id", "rank", "text")
 
 
 def _turn_queries(spark, sf_dir):
     """Conversation turns as queries; a system turn stands for a blank query."""
     return table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
         F.when(F.col("role") == "system", F.lit(" \n\t")).otherwise(F.col("text")).alias("text"))
 
 
@@ -133,11 +160,8 @@ def query_guard(spark, sf_dir):
 
 
 def generation_requests(spark, sf_dir):
-    """Every benchmark text as a query with its nearest documents as contexts."""
-    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    contexts = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("query_id"), F.lit(1).alias("rank"), "text")
-    made = corpus.generation_requests(queries, contexts)
+    """Every benchmark text as a query with the chunks retrieved for it as contexts."""
+    made = corpus.generation_requests(_benchmark_queries(spark, sf_dir), retrieved_contexts(spark, sf_dir))
     return made.select("query_id", "system_instruction", "query_text", F.array_join("contexts", "\n").alias("contexts"),
                        F.col("generation_config")["temperature"].alias("temperature"),
                        F.col("generation_config")["max_output_tokens"].alias("max_output_tokens"),
@@ -186,18 +210,29 @@ QUERIES = {f.__name__: f for f in (
 QUERIES["embed_text"] = embed_documents
 QUERIES["pair_similarity"] = pair_similarities
 
-_ALL_PAIRS = """
-    pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS doc_id,
-                     round(1 - list_dot_product(q.embedding::double[], c.embedding::double[]), 9) AS distance
-              FROM embeddings q CROSS JOIN embeddings c)"""
+_MEANS = """
+    means AS (SELECT query_id, list(v ORDER BY dim) AS e FROM (
+        SELECT label AS query_id, dim, avg(embedding[dim]::double) AS v FROM embeddings, (SELECT unnest(range(1, 65)) AS dim) GROUP BY ALL)
+        GROUP BY query_id)"""
+_ALL_PAIRS = f"""{_MEANS},
+    pairs AS (SELECT query_id, c.vec_id AS doc_id, round(1 - list_dot_product(q.e, c.embedding::double[]), 9) AS distance
+              FROM means q CROSS JOIN embeddings c)"""
 
 _RANKED = """SELECT query_id, doc_id, round(distance, 6) AS distance, rank::int AS rank{extra} FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM {source}{where}) WHERE rank <= 5"""
 
+_RETRIEVED = f"""{_CHUNKS},
+    texts AS (SELECT doc_id || ':' || chunk_id AS id, array_to_string(part, ' ') AS text FROM chunk),
+    {_embedding_sql('texts', 'id', 'text', DIMS)}, {_embedding_sql('benchmark', 'item_id', 'text', DIMS)},
+    pairs AS (SELECT q.key AS query_id, c.key AS chunk_key, round(1 - list_dot_product(q.e, c.e), 9) AS distance
+              FROM vec_benchmark q CROSS JOIN vec_texts c),
+    found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_key) AS rank
+              FROM pairs WHERE distance < 0.5) WHERE rank <= 5)"""
+
 SQL = {
     "chunk_documents": f"""WITH {_CHUNKS}
         SELECT doc_id, chunk_id, start_token, len(part)::int AS n_tokens, array_to_string(part, ' ') AS text FROM chunk""",
-    "embed_text": f"""WITH {_embedding_sql('documents', 'doc_id', 'text', CHECK_DIMS)}
+    "embed_text": f"""WITH {_embedding_sql('documents', 'doc_id', 'text', DIMS)}
         SELECT key AS doc_id, dim::int AS dim, round(v::double, 6) AS value FROM full_documents""",
     "corpus_import": f"""WITH {_CHUNKS}
         SELECT d.source, count(DISTINCT c.doc_id) AS imported_files_count, count(*) AS chunks, sum(len(part))::bigint AS tokens
@@ -206,32 +241,28 @@ SQL = {
     "vector_topk_threshold": f"WITH {_ALL_PAIRS} "
         + _RANKED.format(extra=", 0.5::double AS threshold", source="pairs", where=" WHERE distance < 0.5")
         + " UNION ALL " + _RANKED.format(extra=", 0.75::double AS threshold", source="pairs", where=" WHERE distance < 0.75"),
-    "image_neighbors": """
-        WITH d AS (SELECT vec_id::varchar AS id, embedding::double[] AS e,
+    "ann_topk": "SELECT DISTINCT label AS query_id, 5::bigint AS found, true AS distances_hold FROM embeddings",
+    "image_neighbors": f"""
+        WITH {_MEANS}, d AS (SELECT vec_id::varchar AS id, embedding::double[] AS e,
                           CASE WHEN label <> 9 THEN 'img/' || label || '/' || vec_id || '.jpg' END AS path FROM embeddings),
-             pairs AS (SELECT q.id AS query_id, c.id AS id, round(list_distance(q.e, c.e), 9) AS distance, c.path
-                       FROM d q CROSS JOIN d c)
+             pairs AS (SELECT q.query_id, c.id AS id, round(list_distance(q.e, c.e), 9) AS distance, c.path
+                       FROM means q CROSS JOIN d c)
         SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance, path FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
         WHERE rank <= 5 AND path IS NOT NULL""",
     "index_append": f"WITH {_ALL_PAIRS} " + _RANKED.format(extra="", source="pairs", where=""),
-    "retrieve": f"""WITH {_CHUNKS},
-        texts AS (SELECT doc_id * 100000 + chunk_id AS id, array_to_string(part, ' ') AS text FROM chunk),
-        {_embedding_sql('texts', 'id', 'text', RETRIEVE_DIMS)}, {_embedding_sql('benchmark', 'item_id', 'text', RETRIEVE_DIMS)},
-        pairs AS (SELECT q.key AS query_id, c.key AS chunk_key, round(1 - list_dot_product(q.e, c.e), 9) AS distance
-                  FROM vec_benchmark q CROSS JOIN vec_texts c)
-        SELECT query_id, rank, (chunk_key // 100000)::bigint AS doc_id, (chunk_key % 100000)::bigint AS chunk_id,
-               round(distance, 6) AS distance FROM (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_key) AS rank
-            FROM pairs WHERE distance < 0.5) WHERE rank <= 5""",
+    "retrieve": f"""WITH {_RETRIEVED}
+        SELECT query_id, rank, split_part(chunk_key, ':', 1)::bigint AS doc_id, split_part(chunk_key, ':', 2)::bigint AS chunk_id,
+               round(distance, 6) AS distance FROM found""",
     "query_guard": f"""
-        SELECT conv_id * 1000 + turn AS query_id, role <> 'system' AS accepted,
+        SELECT conv_id || ':' || turn AS query_id, role <> 'system' AS accepted,
                CASE WHEN role = 'system' THEN '{prompts.BLANK_QUERY_STATUS}' END AS status FROM conversations""",
-    "generation_requests": f"""
+    "generation_requests": f"""WITH {_RETRIEVED},
+        listed AS (SELECT query_id, string_agg(t.text, chr(10) ORDER BY rank) AS contexts FROM found f JOIN texts t ON t.id = f.chunk_key GROUP BY query_id)
         SELECT b.item_id AS query_id, '{prompts.CORPUS_INSTRUCTION}' AS system_instruction, b.text AS query_text,
-               coalesce(d.text, '') AS contexts, 1.0::double AS temperature, 8192.0::double AS max_output_tokens,
+               coalesce(contexts, '') AS contexts, 1.0::double AS temperature, 8192.0::double AS max_output_tokens,
                4::bigint AS safety_rules
-        FROM benchmark b LEFT JOIN documents d ON d.doc_id = b.item_id""",
+        FROM benchmark b LEFT JOIN listed ON query_id = item_id""",
     "prompt_render": f"""
         SELECT conv_id, turn, replace(replace('{prompts.RELEVANCE_TEMPLATE}', '{{prompt}}', role), '{{response}}', text) AS rendered
         FROM conversations""",

@@ -76,15 +76,14 @@ def verdict_parse(spark, sf_dir):
 
 
 def sft_convert(spark, sf_dir):
-    """Conversations to chat JSONL, read back, converted, written as tuning JSONL, read back again."""
+    """Conversation turns to chat JSONL, read back, converted, written as tuning JSONL, read back again: a row stays a row."""
     chat, tuned = scratch_path(spark, "chat"), scratch_path(spark, "tuning")
-    gathered = tuning.gather_messages(table(spark, sf_dir, "conversations"))
-    write_jsonl(gathered.select("messages"), chat)
-    write_jsonl(tuning.convert_samples(read_chat_samples(spark, chat)), tuned)
-    back = spark.read.schema("contents array<struct<role:string,parts:array<struct<text:string>>>>").json(tuned)
-    return back.select(F.size("contents").cast("bigint").alias("turns"),
-                       F.array_join(F.transform("contents", lambda c: c["role"]), ",").alias("roles"),
-                       F.array_join(F.transform("contents", lambda c: c["parts"][0]["text"]), "\n").alias("texts"))
+    turns = table(spark, sf_dir, "conversations")
+    message = F.array(F.struct("role", F.col("text").alias("content")))
+    write_jsonl(turns.select("conv_id", "turn", message.alias("messages")), chat)
+    write_jsonl(tuning.convert_samples(read_chat_samples(spark, chat, "conv_id bigint, turn bigint")), tuned)
+    back = spark.read.schema("conv_id bigint, turn bigint, contents array<struct<role:string,parts:array<struct<text:string>>>>").json(tuned)
+    return back.select("conv_id", "turn", F.inline("contents")).select("conv_id", "turn", "role", F.col("parts")[0]["text"].alias("text"))
 
 
 def sft_validate(spark, sf_dir):
@@ -167,7 +166,7 @@ def _scores_sql(name: str, prediction: str) -> str:
     """Clipped n-gram overlaps of user turns with a later turn."""
     step, role = prediction
     parts = [f"""
-    p_{name} AS (SELECT u.conv_id * 1000 + u.turn AS pos, regexp_extract_all(lower(u.text), '[a-z0-9]+') AS t,
+    p_{name} AS (SELECT u.conv_id || ':' || u.turn AS pos, regexp_extract_all(lower(u.text), '[a-z0-9]+') AS t,
                  regexp_extract_all(lower(a.text), '[a-z0-9]+') AS p
           FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + {step} AND a.role = '{role}'
           WHERE u.role = 'user' AND length(a.text) > 0)"""]
@@ -225,8 +224,7 @@ SQL = {
                     || CASE WHEN quality = 1 THEN ', "hallucination": "否"' ELSE '' END
                     || ', "reasoning": "doc ' || doc_id || '", "extra": 1}' END AS error FROM b""",
     "sft_convert": """
-        SELECT count(*) AS turns, string_agg(role, ',' ORDER BY turn) AS roles, string_agg(text, chr(10) ORDER BY turn) AS texts
-        FROM conversations GROUP BY conv_id""",
+        SELECT conv_id, turn, role, text FROM conversations""",
     "sft_validate": """
         WITH s AS (SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role FROM conversations)
         SELECT *, CASE WHEN role = 'system' AND prev_role IS NOT NULL THEN 'system turn after the start'

@@ -11,16 +11,16 @@ from tidemark.sources.writers import append_valid
 
 BUCKET = "gallery"
 PUBLIC = "https://files.example/gallery/pictures/"
-DIMS = 8
+DIMS = 512
 
 
 def byte_histogram(data: bytes, context: str) -> list[float] | None:
-    """Stand-in image embedder: byte counts in eight ranges. Spanish folders fail, to exercise the error path."""
+    """Stand-in image embedder: byte counts in 512 places. Spanish folders fail, to exercise the error path."""
     if context == "es":
         raise ValueError("unreadable")
     counts = [0.0] * DIMS
     for byte in data:
-        counts[byte >> 5] += 1.0
+        counts[2 * byte] += 1.0
     return counts
 
 
@@ -38,7 +38,7 @@ def image_import(spark, sf_dir):
     listed = images.catalog_images(image_objects(spark, sf_dir), OBJECT_PREFIX, BUCKET, PUBLIC)
     with_bytes = listed.withColumn("content", F.encode("path", "UTF-8"))
     embedded = images.embed_images(with_bytes, byte_histogram)
-    append_valid(embedded, F.col("embedding_field").isNotNull(), out, errors)
+    append_valid(embedded, F.size("embedding_field") > 0, out, errors)
     stored = images.image_documents(spark.read.parquet(out)).select(
         "id", F.col("embedding_field").isNotNull().alias("stored"),
         F.round(F.aggregate("embedding_field", F.lit(0.0), lambda a, x: a + x.cast("double")), 1).alias("bytes"))

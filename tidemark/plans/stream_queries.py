@@ -14,14 +14,15 @@ from tidemark.streaming.imports import start_import
 from tidemark.streaming.updates import start_customer_updates
 
 CORPUS = "stream-check"
-DIMS = 16
+DIMS = 768
+PATCH_RUNS = 3
 
 
 def _run_import(spark, sf_dir):
     """Write one event per document as JSON lines and import them.
 
     The language decides how the event is damaged: German ones are not base64,
-    Spanish ones not JSON, French ones lack the bucket.
+    Spanish ones not JSON, French ones lack the bucket. Objects of one source are not there.
     """
     events, out = scratch_path(spark, "events"), scratch_path(spark, "import")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
@@ -31,7 +32,7 @@ def _run_import(spark, sf_dir):
     payload = F.when(F.col("lang") == "es", name).when(F.col("lang") == "fr", part).otherwise(whole)
     data = F.when(F.col("lang") == "de", F.concat(F.lit("!!"), name)).otherwise(F.base64(F.encode(payload, "UTF-8")))
     docs.select(F.struct(data.alias("data")).alias("message")).write.json(events)
-    files = documents_as_files(spark, sf_dir).select("file_uri", "text")
+    files = documents_as_files(spark, sf_dir).filter("source <> 'src0'").select("file_uri", "text")
     query = start_import(read_upload_events(spark, events), lambda uris: uris.join(files, "file_uri"), CORPUS, out,
                          hashed_embedder(DIMS))
     query.awaitTermination()
@@ -57,13 +58,15 @@ def stream_chunks(spark, sf_dir):
 
 
 def customer_feed(spark, sf_dir):
-    """The customer table after the whole patch feed has been streamed in."""
+    """The customer table after the patch feed has been streamed in, in several batches."""
     base, landing = scratch_path(spark, "customers"), scratch_path(spark, "patches")
     options = {"ignoreNullFields": "false"}
     write_version(customer_records(spark, sf_dir).withColumn("fields", F.to_json("fields", options)), base)
-    customer_patches(spark, sf_dir).write.parquet(landing)
-    feed = spark.readStream.schema("customer_id bigint, patch string, event_ts timestamp_ntz, event_no bigint").parquet(landing)
-    start_customer_updates(feed, base, scratch_path(spark, "offsets"), ["event_ts", "event_no"]).awaitTermination()
+    patches, offsets = customer_patches(spark, sf_dir), scratch_path(spark, "offsets")
+    for run in range(PATCH_RUNS):  # patches of all times arrive in each batch, so older ones come late
+        patches.filter(F.pmod(F.xxhash64("event_no"), F.lit(PATCH_RUNS)) == run).write.mode("append").parquet(landing)
+        feed = spark.readStream.schema("customer_id bigint, patch string, event_ts timestamp_ntz, event_no bigint").parquet(landing)
+        start_customer_updates(feed, base, offsets, ["event_ts", "event_no"]).awaitTermination()
 
     def field(name):
         return F.get_json_object("fields", f"$.{name}")
@@ -77,8 +80,9 @@ QUERIES = {f.__name__: f for f in (stream_import, stream_quarantine, stream_chun
 
 SQL = {
     "stream_import": f"""
-        SELECT 'success' AS status, 'File doc-' || doc_id || '.txt imported to RAG corpus successfully' AS message,
-               1::bigint AS imported_files_count, '{CORPUS}' AS corpus_name, 'gs://' || source || '/doc-' || doc_id || '.txt' AS file_uri
+        SELECT CASE WHEN source = 'src0' THEN 'error' ELSE 'success' END AS status,
+               'File doc-' || doc_id || CASE WHEN source = 'src0' THEN '.txt was not found' ELSE '.txt imported to RAG corpus successfully' END AS message,
+               CASE WHEN source = 'src0' THEN 0 ELSE 1 END::bigint AS imported_files_count, '{CORPUS}' AS corpus_name, 'gs://' || source || '/doc-' || doc_id || '.txt' AS file_uri
         FROM documents WHERE lang = 'en'""",
     "stream_quarantine": """
         SELECT CASE lang WHEN 'de' THEN '!!doc-' || doc_id || '.txt' WHEN 'es' THEN base64(('doc-' || doc_id || '.txt')::blob)
@@ -87,7 +91,7 @@ SQL = {
         FROM documents WHERE lang <> 'en'""",
     "stream_chunks": """
         WITH w AS (SELECT source, doc_id, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f\\x0b]+'), lambda x: x <> '')) AS n
-                   FROM documents WHERE lang = 'en'),
+                   FROM documents WHERE lang = 'en' AND source <> 'src0'),
              c AS (SELECT *, greatest(1, ceil((n - 100) / 412.0))::int AS k FROM w WHERE n > 0)
         SELECT source, count(*) AS files, sum(n + (k - 1) * 100)::bigint AS tokens FROM c GROUP BY source""",
     "customer_feed": """

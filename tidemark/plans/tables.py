@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.readers import CUSTOMER_TYPE, spread_small_scan
+from tidemark.sources.readers import CUSTOMER_TYPE
 
 OBJECT_PREFIX = "pictures/"
 
@@ -14,11 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table or some columns of it, over all cores, for work that is heavy per row."""
-    return spread_small_scan(table(spark, sf_dir, name).select(*columns or "*"))
-
-
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` as raw catalog rows, with every kind of specification, image and price text."""
     kind, size, price = F.col("p_type"), F.col("p_size").cast("string"), F.col("p_retailprice")
@@ -40,7 +35,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = (F.when(kind == "SMALL", F.concat(F.lit('"'), picture, F.lit('.jpg"')))
              .when(kind == "LARGE", picture)
              .otherwise(F.concat(F.lit('["'), picture, F.lit('-1.jpg", "'), picture, F.lit('-2.jpg"]'))))
-    parts = spread(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     return parts.select(
         F.col("p_partkey").cast("string").alias("uniq_id"), F.col("p_name").alias("product_name"),
         F.when(kind == "MEDIUM", F.lit("")).otherwise(F.col("p_brand")).alias("brand"),
@@ -55,7 +50,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as files: (doc_id, source, file_uri, text)."""
-    return spread(spark, sf_dir, "documents", "doc_id", "source", "text").select(
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "text").select(
         "doc_id", "source",
         F.concat(F.lit("gs://"), "source", F.lit("/doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_uri"),
         "text")
@@ -76,13 +71,13 @@ def image_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(label != 9, F.concat(F.lit("img/"), label.cast("string"), F.lit("/"), vec, F.lit(".jpg"))).alias("path"))
 
 
-def trips(spark: SparkSession, sf_dir: str, for_training: bool = False) -> DataFrame:
-    """``events`` as taxi trips, over all cores when they are read again and again by a training run."""
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as taxi trips."""
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     payment = (F.when(kind.isin("purchase", "view"), F.lit("Credit Card")).when(kind == "click", F.lit("Cash"))
                .when(kind == "signup", F.lit("Mobile")))
-    events = (spread if for_training else table)(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     return events.select(
         "event_id", F.col("value").alias("fare"), (F.col("value") + k * F.lit(0.25)).alias("trip_total"),
         (k / F.lit(4.0)).alias("trip_miles"), (F.col("user_id") * 60).alias("trip_seconds"),
@@ -91,17 +86,17 @@ def trips(spark: SparkSession, sf_dir: str, for_training: bool = False) -> DataF
         (F.col("user_id").cast("int") + 1).alias("pickup_community_area"), (k + 1).alias("dropoff_community_area"))
 
 
-def priced_trips(spark: SparkSession, sf_dir: str, for_training: bool = False) -> DataFrame:
+def priced_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with a fare that follows distance and time, plus a remainder from the event value."""
     fare = F.lit(3.25) + F.col("trip_miles") * 1.8 + F.col("trip_seconds") * 0.004 + F.col("fare") * 0.02
-    return trips(spark, sf_dir, for_training).withColumn("fare", fare)
+    return trips(spark, sf_dir).withColumn("fare", fare)
 
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as keyed customer records (pos, key, customer, fields)."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name"))
     number = F.substring_index("c_name", "#", -1)
-    customers = spread(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     c = customers.join(nation, "c_nationkey", "left")
     record = F.struct(
         F.col("c_custkey").alias("customer_id"), F.substring_index("c_name", "#", 1).alias("firstName"),
@@ -128,7 +123,7 @@ def customer_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("o_orderpriority").alias("street")).alias("address"), F.lit(None).cast("string").alias("phone"))
     other = F.struct(F.col("o_orderkey").alias("lastOrder"), (F.col("o_totalprice") > 250000).alias("teletransmission"))
     options = {"ignoreNullFields": "false"}
-    orders = spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                     "o_orderpriority")
     return orders.select(
         (F.col("o_custkey") + F.when(status == "P", F.lit(1_000_000_000)).otherwise(F.lit(0))).alias("customer_id"),
@@ -150,7 +145,7 @@ def summary_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (first.join(later(1, "assistant", "base"), ["conv_id", "turn"], "left")
             .join(later(2, "user", "tuned"), ["conv_id", "turn"], "left")
-            .select((F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), F.col("text").alias("input_text"),
+            .select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("pos"), F.col("text").alias("input_text"),
                     F.col("text").alias("output_text"), "base", "tuned"))
 
 

@@ -58,6 +58,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise a frame in the shared folder and cut its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame as Parquet to the shared folder and read it back: lineage is cut, columns can be pruned."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

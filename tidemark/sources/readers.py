@@ -42,9 +42,9 @@ def read_summary_tests(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, ("input_text", "output_text"))
 
 
-def read_chat_samples(spark: SparkSession, path: str) -> DataFrame:
-    """One chat sample per JSONL line."""
-    return spark.read.schema(CHAT_SCHEMA).json(path)
+def read_chat_samples(spark: SparkSession, path: str, keys: str = "") -> DataFrame:
+    """One chat sample per JSONL line, with the key columns named in ``keys`` (a schema) if there are any."""
+    return spark.read.schema(f"{keys}, {CHAT_SCHEMA}" if keys else CHAT_SCHEMA).json(path)
 
 
 def read_json_array(spark: SparkSession, path: str, value: str = "value", file_rows: int = ARRAY_ROWS) -> DataFrame:
@@ -99,14 +99,3 @@ def read_table(spark: SparkSession, name_or_path: str, predicate: Column | None
     is_path = "/" in name_or_path or name_or_path.endswith(".parquet")
     df = spark.read.parquet(name_or_path) if is_path else spark.table(name_or_path)
     return df if predicate is None else df.filter(predicate)
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Repartition a plain scan that has fewer splits than the session has cores.
-
-    A small file with one row group is read by one task, and row-local work on it
-    would stay there. A scan with enough splits is returned as it is, so a large
-    table is never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.catalog import number_batches
+from tidemark.session import checkpointed
 from tidemark.sources.readers import ARRAY_ROWS
 
 
@@ -35,9 +36,13 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
 
 
 def append_valid(df: DataFrame, valid, path: str, errors_path: str) -> None:
-    """Append valid rows; rejected rows go to the errors path instead of stopping the run."""
-    df.filter(valid).write.mode("append").parquet(path)
-    df.filter(~F.coalesce(valid, F.lit(False))).write.mode("append").parquet(errors_path)
+    """Append valid rows; rejected rows go to the errors path instead of stopping the run.
+
+    The rows are staged once, so an embedder runs once a row and a row is in exactly one output.
+    """
+    once = checkpointed(df.withColumn("_valid", F.coalesce(valid, F.lit(False))))
+    once.filter("_valid").drop("_valid").write.mode("append").parquet(path)
+    once.filter("not _valid").drop("_valid").write.mode("append").parquet(errors_path)
 
 
 def write_small_json(summary: DataFrame, path: str) -> None:
@@ -72,6 +77,10 @@ def write_version(df: DataFrame, path: str) -> int:
     return version
 
 
+def has_version(spark: SparkSession, path: str) -> bool:
+    return bool(_versions(spark, path))
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The latest finished version of a table, or the one asked for."""
     return spark.read.parquet(f"{path}/version={version or _versions(spark, path)[-1]}")

@@ -16,6 +16,10 @@ from tidemark.operators.corpus import import_documents
 
 Loader = Callable[[DataFrame], DataFrame]
 
+# Fixed value: the end of the status message of an imported file.
+IMPORTED = " imported to RAG corpus successfully"
+NOT_FOUND = " was not found"
+
 
 def object_loader(read_text: Callable[[str], str]) -> Loader:
     """A loader that reads each named object inside the tasks through a client function.
@@ -41,12 +45,13 @@ def decode_events(envelopes: DataFrame) -> DataFrame:
 
 
 def status_rows(events: DataFrame, loaded: DataFrame, corpus: str) -> DataFrame:
-    """One status row per event; the count is 1 when its file was loaded, else 0."""
+    """One status row per event: success with one imported file, or error where the object was not found."""
     found = loaded.select("file_uri").distinct().withColumn("_found", F.lit(1).cast("bigint"))
     joined = events.join(found, "file_uri", "left")
+    there = F.col("_found").isNotNull()
     return joined.select(
-        F.lit("success").alias("status"),
-        F.concat(F.lit("File "), "name", F.lit(" imported to RAG corpus successfully")).alias("message"),
+        F.when(there, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(there, F.concat(F.lit("File "), "name", F.lit(IMPORTED))).otherwise(F.concat(F.lit("File "), "name", F.lit(NOT_FOUND))).alias("message"),
         F.coalesce("_found", F.lit(0).cast("bigint")).alias("imported_files_count"),
         F.lit(corpus).alias("corpus_name"), "file_uri")
 
@@ -82,7 +87,10 @@ def start_import(envelopes: DataFrame, loader: Loader, corpus: str, out: str, em
                     raise ValueError(f"Missing or malformed event {first[0]['data']}: {first[0]['problem']}")
             _write(bad, f"{out}/quarantine", batch_id)
             good = events.filter(F.col("problem").isNull()).select("name", "bucket", "file_uri")
-            docs = loader(good.select("file_uri").distinct())
+            # Loaded once into a table of the batch; chunks and status both read that.
+            loaded = f"{out}/loaded/batch-{batch_id}"
+            loader(good.select("file_uri").distinct()).select("file_uri", "text").write.mode("overwrite").parquet(loaded)
+            docs = batch.sparkSession.read.schema("file_uri string, text string").parquet(loaded)
             import_documents(docs, corpus, f"{out}/chunks", embedder, size, overlap, batch_id)
             _write(status_rows(good, docs.select("file_uri"), corpus), f"{out}/status", batch_id)
         finally:

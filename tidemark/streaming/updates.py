@@ -9,10 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.embed import Embedder, embed_text
 from tidemark.functions.text import IMPORT_CHUNKING
 from tidemark.operators.corpus import chunk_documents
-from tidemark.operators.customers import apply_patches, as_records, latest_patches
+from tidemark.operators.customers import apply_patches, as_records, latest_fields, latest_patches
 from tidemark.operators.vector_index import VectorIndex, append_to_index
 from tidemark.sources.readers import CUSTOMER_TYPE
-from tidemark.sources.writers import read_version, write_version
+from tidemark.sources.writers import has_version, read_version, write_version
 
 
 def start_index_updates(docs: DataFrame, index: VectorIndex, checkpoint: str, embedder: Embedder | None = None,
@@ -43,13 +43,20 @@ def start_customer_updates(patches: DataFrame, table: str, checkpoint: str, orde
                            available_now: bool = True) -> StreamingQuery:
     """Patches are merged into the latest table version; each batch writes a new one.
 
-    Applying a batch a second time changes nothing, so replays are harmless.
+    The latest patch of each customer and field stays in a table beside it (``<table>-patches``), so a patch that comes
+    late but is older by ``order`` changes nothing. Applying a batch a second time changes nothing either, so replays are harmless.
     """
+    kept = f"{table}-patches"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         current = read_version(batch.sparkSession, table)
         current = current.withColumn("fields", F.from_json("fields", "map<string,variant>"))
-        merged = as_records(apply_patches(current, latest_patches(batch, order)), CUSTOMER_TYPE)
+        fresh = batch.select("customer_id", "patch", *order)
+        if has_version(batch.sparkSession, kept):
+            fresh = fresh.unionByName(read_version(batch.sparkSession, kept))
+        write_version(latest_fields(fresh, order), kept)
+        last = read_version(batch.sparkSession, kept)
+        merged = as_records(apply_patches(current, latest_patches(last, order)), CUSTOMER_TYPE)
         write_version(merged.withColumn("fields", F.to_json("fields")), table)
 
     writer = patches.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
