@@ -10,13 +10,13 @@ from tidemark.functions.uris import uri_bucket, uri_object, uri_valid
 from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
 from tidemark.operators.vector_index import build_index, search_index
-from tidemark.operators.vector_search import DISTANCE_THRESHOLD, image_neighbours, nearest
+from tidemark.operators.vector_search import image_neighbours, nearest
 from tidemark.plans.tables import documents_as_files, image_collection, table
 from tidemark.session import checkpointed, scratch_path
 from tidemark.streaming.updates import start_vector_updates
 
 DIMS = 768
-WIDE_THRESHOLD = 0.75
+NARROW_THRESHOLD, WIDE_THRESHOLD = 0.95, 0.97
 
 _WORDS = "list_filter(regexp_split_to_array({text}, '[ \\t\\n\\r\\f\\x0b]+'), lambda x: x <> '')"
 _CHUNKS = f"""
@@ -84,7 +84,7 @@ def vector_topk(spark, sf_dir):
 def vector_topk_threshold(spark, sf_dir):
     queries, docs = _sides(spark, sf_dir)
     runs = [nearest(queries, docs, threshold=t).withColumn("threshold", F.lit(t))
-            for t in (DISTANCE_THRESHOLD, WIDE_THRESHOLD)]
+            for t in (NARROW_THRESHOLD, WIDE_THRESHOLD)]
     return _shown(runs[0].unionByName(runs[1]))
 
 
@@ -118,7 +118,8 @@ def index_append(spark, sf_dir):
     return _shown(search_index(queries, index, leaves_to_search=1.0))
 
 
-CHUNK_KEY = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id").cast("string"))
+def _chunk_key():
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id").cast("string")).alias("chunk_key")
 
 
 def _chunks(spark, sf_dir):
@@ -132,7 +133,7 @@ def _benchmark_queries(spark, sf_dir):
 def _retrieved(spark, sf_dir):
     """The best chunks per benchmark text, from all documents."""
     embedder = hashed_embedder(DIMS)
-    stored = embed_text(_chunks(spark, sf_dir), "text", embedder).select(CHUNK_KEY.alias("chunk_key"), "embedding")
+    stored = embed_text(_chunks(spark, sf_dir), "text", embedder).select(_chunk_key(), "embedding")
     return corpus.retrieve(_benchmark_queries(spark, sf_dir), stored, embedder=embedder)
 
 
@@ -144,7 +145,7 @@ def retrieve(spark, sf_dir):
 
 def retrieved_contexts(spark, sf_dir):
     """(query_id, rank, text): the retrieved chunks' texts, joined back on their keys."""
-    texts = _chunks(spark, sf_dir).select(CHUNK_KEY.alias("chunk_key"), "text")
+    texts = _chunks(spark, sf_dir).select(_chunk_key(), "text")
     return _retrieved(spark, sf_dir).join(texts, "chunk_key").select("query_id", "rank", "text")
 
 
@@ -239,8 +240,8 @@ SQL = {
         FROM chunk c JOIN documents d USING (doc_id) GROUP BY d.source""",
     "vector_topk": f"WITH {_ALL_PAIRS} " + _RANKED.format(extra="", source="pairs", where=""),
     "vector_topk_threshold": f"WITH {_ALL_PAIRS} "
-        + _RANKED.format(extra=", 0.5::double AS threshold", source="pairs", where=" WHERE distance < 0.5")
-        + " UNION ALL " + _RANKED.format(extra=", 0.75::double AS threshold", source="pairs", where=" WHERE distance < 0.75"),
+        + _RANKED.format(extra=", 0.95::double AS threshold", source="pairs", where=" WHERE distance < 0.95")
+        + " UNION ALL " + _RANKED.format(extra=", 0.97::double AS threshold", source="pairs", where=" WHERE distance < 0.97"),
     "ann_topk": "SELECT DISTINCT label AS query_id, 5::bigint AS found, true AS distances_hold FROM embeddings",
     "image_neighbors": f"""
         WITH {_MEANS}, d AS (SELECT vec_id::varchar AS id, embedding::double[] AS e,

@@ -11,7 +11,7 @@ from tidemark.operators.ordered import global_row_number
 from tidemark.plans.tables import label_scores, positions, summary_pairs, table
 from tidemark.session import checkpointed, scratch_path
 from tidemark.sources.readers import read_chat_samples, read_json_array
-from tidemark.sources.writers import write_json_array, write_jsonl
+from tidemark.sources.writers import write_json_array, write_jsonl, write_small_json
 
 EXPERIMENT = "evaluation-1"
 EVENT_METRICS = ("click", "error", "purchase", "signup", "view")
@@ -121,6 +121,33 @@ def rouge_full_scores(spark, sf_dir):
     return scored.select("pos", *[F.round(m, 6).alias(m) for m in METRICS])
 
 
+def rouge_stemming(spark, sf_dir):
+    """Per pair: merging word forms can only add overlap, so no stemmed score is below the plain one."""
+    plain = _evaluated(spark, sf_dir, "base", False).select("pos", *(F.col(m).alias(f"plain_{m}") for m in METRICS))
+    both = _evaluated(spark, sf_dir, "base", True).join(plain, "pos")
+    holds = [F.col(m) >= F.col(f"plain_{m}") - 1e-12 for m in METRICS]
+    return both.select("pos", *(h.alias(m) for h, m in zip(holds, METRICS)))
+
+
+def first_tests(spark, sf_dir):
+    """The evaluation batch: the first 100 summary tests by conversation and turn."""
+    pairs = summary_pairs(spark, sf_dir).select(
+        F.split_part("pos", F.lit(":"), F.lit(1)).cast("bigint").alias("conv_id"), F.split_part("pos", F.lit(":"), F.lit(2)).cast("bigint").alias("turn"), "input_text")
+    return tuning.first_tests(pairs.withColumn("place", F.struct("conv_id", "turn")), "place").drop("place")
+
+
+def summary_file(spark, sf_dir):
+    """The evaluation summary written as one JSON file, and what its fields read as."""
+    path = scratch_path(spark, "summary")
+    result = evaluation.evaluation_result(label_scores(spark, sf_dir), EXPERIMENT)
+    write_small_json(result.select("experiment", "dataset_size", "summary_metrics", "metadata", "metrics_table_sample"), path)
+    text = spark.read.text(path, wholetext=True).select(F.from_json("value", (
+        "experiment string, dataset_size bigint, summary_metrics map<string,double>, metadata map<string,string>, "
+        "metrics_table_sample array<struct<pos:bigint,metric:string,score:double>>")).alias("r"))
+    return text.select("r.experiment", "r.dataset_size", F.round(F.col("r.summary_metrics")["quality/mean"], 6).alias("quality_mean"),
+                       F.size("r.metadata").cast("bigint").alias("metadata"), F.size("r.metrics_table_sample").cast("bigint").alias("sample"))
+
+
 def rouge_stats(spark, sf_dir):
     scored = checkpointed(_evaluated(spark, sf_dir, "base", False).select(*NGRAM_METRICS))
     stats = tuning.describe(scored, NGRAM_METRICS)
@@ -155,7 +182,7 @@ def loss_metric(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     eval_dataset, first_context, joined_contexts, eval_summary, eval_result, verdict_parse, sft_convert, sft_validate,
-    length_stats, rouge_scores, rouge_l_scores, rouge_full_scores, rouge_stats, rouge_improvement, loss_series, loss_metric)}
+    length_stats, rouge_scores, rouge_l_scores, rouge_full_scores, rouge_stemming, first_tests, summary_file, rouge_stats, rouge_improvement, loss_series, loss_metric)}
 
 _CONTEXTS = """
     c AS (SELECT doc_id - r + 1 AS query_id, r AS rank, text FROM documents, (SELECT unnest([1, 2, 3]) AS r)
@@ -246,6 +273,11 @@ SQL = {
         SELECT pos, CASE WHEN p > 0 THEN round(o / p, 6) ELSE 0 END AS "rougeL_precision",
                CASE WHEN t > 0 THEN round(o / t, 6) ELSE 0 END AS "rougeL_recall",
                CASE WHEN o > 0 THEN round(2 * (o / p) * (o / t) / (o / p + o / t), 6) ELSE 0 END AS "rougeL_fmeasure" FROM l""",
+    "rouge_stemming": f"WITH {_BASE} SELECT pos, " + ", ".join(f'true AS "{m}"' for m in METRICS) + " FROM s_base",
+    "first_tests": "SELECT conv_id, turn, text AS input_text FROM conversations WHERE role = 'user' ORDER BY conv_id, turn LIMIT 100",
+    "summary_file": f"""
+        SELECT '{EXPERIMENT}' AS experiment, count(DISTINCT doc_id) AS dataset_size, round(avg(quality), 6) AS quality_mean,
+               0::bigint AS metadata, 5::bigint AS sample FROM labels""",
     "rouge_stats": f"WITH {_BASE} " + " UNION ALL ".join(
         f"SELECT '{m}' AS metric, {_DESCRIBE.format(c=m)} FROM s_base" for m in NGRAM_METRICS),
     "rouge_improvement": f"WITH {_BASE}, {_TUNED} " + " UNION ALL ".join(f"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -58,14 +58,19 @@ def read_json_array(spark: SparkSession, path: str, value: str = "value", file_r
 def read_keyed_customers(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object keyed by string, as rows (pos, key, customer, fields).
 
-    ``pos`` is the place in the file and ``fields`` keeps every field as VARIANT
+    ``pos`` counts through all files in the order of their paths, and ``fields`` keeps every field as VARIANT
     for merge updates. A missing file gives an empty table.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame(
-            [], f"pos int, key string, customer {CUSTOMER_TYPE}, fields map<string,variant>")
-    text = spark.read.text(path, wholetext=True)
-    keyed = text.select(F.posexplode(F.from_json("value", "map<string,variant>")).alias("pos", "key", "record"))
+            [], f"pos bigint, key string, customer {CUSTOMER_TYPE}, fields map<string,variant>")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    sizes = text.select("file", F.size(F.from_json("value", "map<string,string>")).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    offsets = sizes.select(F.col("file").alias("of_file"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    placed = text.join(F.broadcast(offsets), F.col("file") == F.col("of_file"))
+    keyed = placed.select("offset", F.posexplode(F.from_json("value", "map<string,variant>")).alias("place", "key", "record"))
+    keyed = keyed.select((F.col("offset") + F.col("place")).alias("pos"), "key", "record")
     record = F.to_json("record")
     return keyed.select("pos", "key", F.from_json(record, CUSTOMER_TYPE).alias("customer"),
                         F.from_json(record, "map<string,variant>").alias("fields"))
