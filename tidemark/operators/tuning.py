@@ -95,6 +95,16 @@ def evaluate_summaries(tests: DataFrame, responses: DataFrame, use_stemmer: bool
                          "generated_summary", *[F.col(f"_scores.{m}").alias(m) for m in METRICS])
 
 
+def evaluate_runs(pairs: DataFrame, runs: Sequence[str], use_stemmer: bool = True) -> DataFrame:
+    """Score several response columns of one table in one pass: (pos, run, <metrics>).
+
+    ``pairs`` has (pos, output_text) and a column for each run. Blocked responses are left out.
+    """
+    long = pairs.select("pos", "output_text", *runs).unpivot(["pos", "output_text"], list(runs), "run", "response")
+    scored = long.filter(answered(long)).withColumn("_scores", rouge(F.col("output_text"), F.col("response"), use_stemmer))
+    return scored.select("pos", "run", *[F.col(f"_scores.{m}").alias(m) for m in METRICS])
+
+
 def blocked_responses(responses: DataFrame) -> DataFrame:
     """Count of blocked responses, the side output of an evaluation."""
     return responses.agg(F.count_if(~answered(responses)).alias("blocked"))
@@ -105,9 +115,13 @@ def improvement(base: DataFrame, tuned: DataFrame, metrics: Sequence[str] = ("ro
 
     Both runs go through one aggregate; a zero base gives null.
     """
-    both = (base.select(F.lit("base").alias("run"), *metrics)
-            .unionByName(tuned.select(F.lit("tuned").alias("run"), *metrics)))
-    long = both.na.drop("any").unpivot(["run"], list(metrics), "metric", "value")
+    return change_of_runs(base.select(F.lit("base").alias("run"), *metrics)
+                          .unionByName(tuned.select(F.lit("tuned").alias("run"), *metrics)), metrics)
+
+
+def change_of_runs(scored: DataFrame, metrics: Sequence[str] = ("rougeL_precision",)) -> DataFrame:
+    """As ``improvement``, from one table of scores whose ``run`` is base or tuned."""
+    long = scored.select("run", *metrics).na.drop("any").unpivot(["run"], list(metrics), "metric", "value")
     means = long.groupBy("metric").agg(
         F.avg(F.when(F.col("run") == "base", F.col("value"))).alias("base_mean"),
         F.avg(F.when(F.col("run") == "tuned", F.col("value"))).alias("tuned_mean"))

@@ -98,9 +98,7 @@ def length_stats(spark, sf_dir):
 
 
 def _evaluated(spark, sf_dir, model, use_stemmer):
-    pairs = summary_pairs(spark, sf_dir)
-    responses = pairs.select("pos", F.col(model).alias("response"))
-    return tuning.evaluate_summaries(pairs.select("pos", "input_text", "output_text"), responses, use_stemmer)
+    return tuning.evaluate_runs(summary_pairs(spark, sf_dir), [model], use_stemmer)
 
 
 def rouge_scores(spark, sf_dir):
@@ -155,8 +153,8 @@ def rouge_stats(spark, sf_dir):
 
 
 def rouge_improvement(spark, sf_dir):
-    change = tuning.improvement(_evaluated(spark, sf_dir, "base", False), _evaluated(spark, sf_dir, "tuned", False),
-                                ["rouge1_precision", "rouge2_recall"])
+    scored = tuning.evaluate_runs(summary_pairs(spark, sf_dir), ["base", "tuned"], use_stemmer=False)
+    change = tuning.change_of_runs(scored, ["rouge1_precision", "rouge2_recall"])
     return change.select("metric", F.round("base_mean", 6).alias("base_mean"), F.round("tuned_mean", 6).alias("tuned_mean"),
                          "improvement_pct")
 
