@@ -128,14 +128,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def linear_attributions(model: PipelineModel, rows: DataFrame, key: str) -> DataFrame:
+def linear_attributions(model: PipelineModel, rows: DataFrame, key: str, baseline: DataFrame | None = None) -> DataFrame:
     """Feature attributions of a linear model: (key, feature_no, attribution).
 
-    Each is coefficient x (value - mean value); their sum is the prediction minus
-    the prediction at the mean. Only the means, one row, come to the driver.
+    Each is coefficient x (value - mean value over ``baseline``, as a rule the training rows; the rows themselves
+    without one); their sum is the prediction minus the prediction at the mean. Only the means, one row, come to the driver.
     """
     scored = model.transform(rows).select(key, "features")
-    means = scored.agg(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
+    means = (scored if baseline is None else model.transform(baseline)).agg(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
     coefficients = model.stages[-1].coefficients.toArray()
     terms = F.array(*[F.struct(F.lit(float(c)).alias("c"), F.lit(float(m)).alias("m"))
                       for c, m in zip(coefficients, means)])

@@ -152,11 +152,11 @@ def fare_predict(spark, sf_dir):
 
 
 def fare_attributions(spark, sf_dir):
-    """Attributions of distance, time and payment for all trips."""
+    """Attributions of distance, time and payment for all trips, against the training part's means."""
     rows = _tariff_trips(spark, sf_dir).withColumn("card", (F.col("payment_type") == "Credit Card").cast("int"))
     train = rows.filter("split = 'train'")
     model = models.fit_linear(train, numeric=["trip_miles", "trip_seconds", "card"], categorical=[])
-    return models.linear_attributions(model, rows, "event_id").withColumn("attribution", F.round("attribution", 4))
+    return models.linear_attributions(model, rows, "event_id", baseline=train).withColumn("attribution", F.round("attribution", 4))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -254,8 +254,8 @@ SQL = {
                + CASE WHEN payment_type = 'Credit Card' THEN 0.75 ELSE 0 END, 4) AS prediction
         FROM x JOIN t USING (event_id)""",
     "fare_attributions": f"""WITH {_priced(80)},
-        v AS (SELECT x.event_id, x.trip_miles AS m, x.trip_seconds AS s, (payment_type = 'Credit Card')::int AS c FROM x JOIN t USING (event_id)),
-        a AS (SELECT avg(m) AS am, avg(s) AS ars, avg(c) AS ac FROM v)
+        v AS (SELECT x.event_id, split, x.trip_miles AS m, x.trip_seconds AS s, (payment_type = 'Credit Card')::int AS c FROM x JOIN t USING (event_id)),
+        a AS (SELECT avg(m) AS am, avg(s) AS ars, avg(c) AS ac FROM v WHERE split = 'train')
         SELECT event_id, 0 AS feature_no, round(1.8 * (m - am), 4) AS attribution FROM v, a
         UNION ALL SELECT event_id, 1, round(0.004 * (s - ars), 4) FROM v, a
         UNION ALL SELECT event_id, 2, round(0.75 * (c - ac), 4) FROM v, a""",

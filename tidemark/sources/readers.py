@@ -8,7 +8,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 CATALOG_COLUMNS = ("uniq_id", "product_name", "brand", "product_category_tree", "description",
                    "product_specifications", "retail_price", "discounted_price", "image", "product_url")
-ARRAY_ROWS = 10_000
 CHAT_SCHEMA = "messages array<struct<role:string,content:string>>"
 CUSTOMER_TYPE = ("struct<customer_id:bigint,firstName:string,lastName:string,email:string,phone:string,"
                  "address:struct<street:string,city:string,state:string,postalCode:string,country:string>,"
@@ -47,12 +46,12 @@ def read_chat_samples(spark: SparkSession, path: str, keys: str = "") -> DataFra
     return spark.read.schema(f"{keys}, {CHAT_SCHEMA}" if keys else CHAT_SCHEMA).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, value: str = "value", file_rows: int = ARRAY_ROWS) -> DataFrame:
-    """JSON arrays of strings as rows (pos, value): one file, or numbered folders ``batch=n`` of full arrays."""
+def read_json_array(spark: SparkSession, path: str, value: str = "value") -> DataFrame:
+    """JSON arrays of strings as rows (pos, value): one file, or folders ``first=n`` named by the place of their first element."""
     text = spark.read.text(path, wholetext=True)
-    batch = F.col("batch").cast("bigint") if "batch" in text.columns else F.lit(1).cast("bigint")
-    rows = text.select(batch.alias("batch"), F.posexplode(F.from_json("value", "array<string>")).alias("place", value))
-    return rows.select(((F.col("batch") - 1) * file_rows + F.col("place")).alias("pos"), value)
+    first = F.col("first").cast("bigint") if "first" in text.columns else F.lit(0).cast("bigint")
+    rows = text.select(first.alias("first"), F.posexplode(F.from_json("value", "array<string>")).alias("place", value))
+    return rows.select((F.col("first") + F.col("place")).alias("pos"), value)
 
 
 def read_keyed_customers(spark: SparkSession, path: str) -> DataFrame:

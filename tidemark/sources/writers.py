@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.catalog import number_batches
 from tidemark.session import checkpointed
-from tidemark.sources.readers import ARRAY_ROWS
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -45,6 +44,10 @@ def append_valid(df: DataFrame, valid, path: str, errors_path: str) -> None:
     once.filter("not _valid").drop("_valid").write.mode("append").parquet(errors_path)
 
 
+# Elements of one JSON array file.
+ARRAY_ROWS = 10_000
+
+
 def write_small_json(summary: DataFrame, path: str) -> None:
     """A one-row summary as a pretty JSON object in one file, non-ASCII kept as it is."""
     rows = summary.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).limit(1)
@@ -55,12 +58,13 @@ def write_json_array(df: DataFrame, order: str, value: str, path: str, file_rows
     """Texts in order as pretty JSON arrays of at most ``file_rows`` elements per file.
 
     An evaluation set of usual size is one array. A larger one goes to numbered
-    folders ``batch=n``, and ``read_json_array`` counts the positions on.
+    folders named by the place of their first element (``first=n``, from 0), which ``read_json_array`` counts on from.
     """
     numbered = number_batches(df.select(order, value), [order], file_rows)
     listed = numbered.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("row_no", value))).alias("rows"))
-    text = listed.select("batch", F.to_json(F.col("rows").getField(value), {"pretty": "true"}).alias("value"))
-    text.repartition(F.col("batch")).write.mode("error").partitionBy("batch").text(path)
+    text = listed.select((F.col("rows")[0]["row_no"] - 1).alias("first"),
+                         F.to_json(F.col("rows").getField(value), {"pretty": "true"}).alias("value"))
+    text.repartition(F.col("first")).write.mode("error").partitionBy("first").text(path)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
