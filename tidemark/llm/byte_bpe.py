@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items
+from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items, no_collection
 from tidemark.llm.staging import column, id_and_text, lists, pieces, text_column
 
 #: A cut that no match can cross: before a space that follows a character other than white space.
@@ -78,13 +78,16 @@ class Encoder:
         return encode_items(self.tokenizer, shown, np.dtype(np.int32), whole_words=True)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        with no_collection():
+            return self._encode_texts(texts)
+
+    def _encode_texts(self, texts: list[str]) -> list[bytes]:
         split = [_CUT.split(t) if _RUN.search(t) else None for t in texts]
         plain = [t.split(" ") if s is None else [""] for t, s in zip(texts, split)]
         self.whole.learn([s or p[:1] for s, p in zip(split, plain)])
         self.spaced.learn([p[1:] for p in plain])
-        whole, spaced = self.whole, self.spaced
-        return [b"".join([whole[x] for x in s]) if s else whole[p[0]] + b"".join([spaced[x] for x in p[1:]])
-                for s, p in zip(split, plain)]
+        whole, spaced = self.whole.__getitem__, self.spaced.__getitem__
+        return [b"".join(map(whole, s)) if s else whole(p[0]) + b"".join(map(spaced, p[1:])) for s, p in zip(split, plain)]
 
 
 @lru_cache(maxsize=2)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -10,6 +12,16 @@ import numpy as np
 MOST, MOST_PIECES = 300_000, 700_000
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """No search for reference cycles meanwhile: encoding makes very many lists and no cycles."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Memory(dict):
     """Stretches of text and their encoded bytes; ``encode`` gives those of new ones."""
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items
+from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items, no_collection
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column
 
@@ -99,16 +99,17 @@ class TextEncoder:
         for whole in stretches:
             core = whole.rstrip(".,")
             # Western letters only: lower-cased they are still one letter, in every table of characters.
-            cut.append((core, whole[len(core):]) if core and core != whole and core[-1] < "\u0100" and core[-1].isalpha() else (whole, ""))
+            cut.append((core, whole[len(core):]) if core and core != whole and core[-1] < "\u0100" and core[-1].isalpha() else (whole,))
         self.parts.learn(cut)
         known = self.parts
-        return [known[core] + known[marks] for core, marks in cut]
+        return [known[c[0]] + known[c[1]] if len(c) == 2 else known[c[0]] for c in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.stretches.learn(split)
-        known = self.stretches
-        return [b"".join([known[x] for x in s]) for s in split]
+        with no_collection():
+            split = [t.replace("\n", " ").split(" ") for t in texts]
+            self.stretches.learn(split)
+            known = self.stretches.__getitem__
+            return [b"".join(map(known, s)) for s in split]
 
 
 @lru_cache(maxsize=2)
