@@ -36,7 +36,9 @@ def test_byte_bpe_equals_whole_text_encoding(spark):
 def test_digests_of_ids_and_bytes(spark):
     own = tiktoken.Encoding("own", pat_str=BYTE_PATTERN, mergeable_ranks=byte_bpe.read_ranks(BYTE_RANKS), special_tokens={})
     encoded = byte_bpe.encode(frame(spark), BYTE_RANKS, BYTE_PATTERN)
-    for r in byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS)).collect():
+    rows = byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS)).collect()
+    assert sorted(rows) == sorted(byte_bpe.digests(byte_bpe.encode(frame(spark), BYTE_RANKS, BYTE_PATTERN, decoded=True)).collect())
+    for r in rows:
         text = dict(documents())[r.doc_id] or ""
         ids = own.encode_ordinary(text)
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())

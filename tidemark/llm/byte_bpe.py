@@ -114,7 +114,7 @@ def token_spans(ids: list[int], table: list[bytes]) -> tuple[np.ndarray, np.ndar
     return character[np.concatenate([[0], ends[:-1]])], character[ends - 1] + 1
 
 
-def _encode(spec: str, pattern: str, offsets: bool):
+def _encode(spec: str, pattern: str, offsets: bool, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec, pattern)
         for batch in batches:
@@ -123,6 +123,9 @@ def _encode(spec: str, pattern: str, offsets: bool):
                 values = np.frombuffer(b"".join(coded), np.int32)
                 ends = np.cumsum([len(c) // 4 for c in coded])
                 out = {"id": column(part, "id"), "ids": lists(values, ends, pa.int32())}
+                if decoded:
+                    bytes_of = _byte_table(spec).__getitem__
+                    out["decoded"] = pa.array([b"".join(map(bytes_of, own.tolist())) for own in np.split(values, ends[:-1])], pa.binary())
                 if offsets:
                     table = _byte_table(spec)
                     each = [token_spans(own.tolist(), table) if len(own) else (own, own)
@@ -134,19 +137,22 @@ def _encode(spec: str, pattern: str, offsets: bool):
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False,
+           decoded: bool = False) -> DataFrame:
     """(id, ids): the tokens of each whole text, without special tokens.
 
     ``ranks_path`` is a file of base64 tokens and ranks, read on the driver. Its merges are rebuilt for the
     tokenizers library over byte characters. Each match of ``pattern`` is encoded by
     itself; texts are cut only where no match can cross, and each distinct stretch
     is encoded once per batch. With ``offsets``, ``starts`` and ``ends`` give each token's
-    characters; tokens that share a character each cover it.
+    characters; tokens that share a character each cover it. With ``decoded`` the ids' bytes come along, as from
+    ``decode`` but without a second pass through Python.
 
     Null is empty and has no ids. Null and repeated ids are returned as they are. Other columns are ignored.
     """
-    kinds = "id bigint, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
-    return id_and_text(docs, id_col, text_col).mapInArrow(_encode(tokenizer_json(ranks_path), pattern, offsets), kinds).withColumnRenamed("id", id_col)
+    kinds = "id bigint, ids array<int>" + (", decoded binary" if decoded else "") + (", starts array<int>, ends array<int>" if offsets else "")
+    run = _encode(tokenizer_json(ranks_path), pattern, offsets, decoded)
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, kinds).withColumnRenamed("id", id_col)
 
 
 def _decode(spec: str):

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 import numpy as np
 
 #: Stretches and the pieces they are made of, remembered before a memory starts again.
-MOST, MOST_PIECES = 300_000, 700_000
+MOST, MOST_PIECES = 150_000, 350_000
 
 
 @contextmanager

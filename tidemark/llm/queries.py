@@ -63,8 +63,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe_digests(docs: DataFrame) -> DataFrame:
-    encoded = byte_bpe.encode(docs, BYTE_RANKS, BYTE_PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS))
+    return byte_bpe.digests(byte_bpe.encode(docs, BYTE_RANKS, BYTE_PATTERN, decoded=True))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items, no_collection
+from tidemark.llm.chunks import Memory, encode_items, no_collection
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column
 
 #: Fixed values of the format: the mark at a shard's end, and the footer's numbers (documents, ids, null keys, id width, mark).
 MARK = 0x31534449
 _FOOTER = 5 * 8
+#: Stretches and pieces remembered by a worker that writes shards, which runs beside no other Python stage.
+MOST, MOST_PIECES = 300_000, 700_000
 #: The normaliser that lower-cases ASCII letters and does nothing else to them.
 _LOWER_CASING = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -84,7 +86,7 @@ class TextEncoder:
             self.plain = Tokenizer.from_file(path)
             self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self.parts = Memory(self._encode_parts, MOST_PIECES)
-        self.stretches = Memory(self._join)
+        self.stretches = Memory(self._join, MOST)
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         if not self.plain:
