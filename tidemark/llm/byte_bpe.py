@@ -77,6 +77,11 @@ class Encoder:
         shown = [p.encode().decode("latin-1").translate(self.shown) for p in parts]
         return encode_items(self.tokenizer, shown, np.dtype(np.int32), whole_words=True)
 
+    def forget(self) -> None:
+        """Free the memories: a worker lives on after its task, beside those of later stages."""
+        for memory in (self.parts, self.whole, self.spaced):
+            memory.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         with no_collection():
             return self._encode_texts(texts)
@@ -133,6 +138,7 @@ def _encode(spec: str, pattern: str, offsets: bool, decoded: bool):
                     for k, name in enumerate(("starts", "ends")):
                         out[name] = lists(np.concatenate([e[k] for e in each]).astype(np.int32), ends, pa.int32())
                 yield pa.record_batch(out)
+        encoder.forget()
 
     return run
 
