@@ -96,6 +96,13 @@ def test_broken_markup_does_not_crash(source):
     html_text.main_text(html_text.read_page(source), [])
 
 
+@pytest.mark.parametrize("tag", ["head", *html_text.HIDDEN])
+def test_an_element_left_open_does_not_hide_the_article(tag):
+    page = f"<html><{tag}><title>x</title><body><article><p>One</p><{tag}>left open<p>Two</p><{tag}>gone</{tag}><p>Three</article>"
+    got = html_text.main_text(html_text.read_page(page), []).split("\n")
+    assert {"One", "Two", "Three"} <= set(got) and "x" not in got and (tag == "head" or "gone" not in got)
+
+
 def test_the_host_decides_where_a_page_is_unsure(spark, monkeypatch):
     page = "<body><div class=story>{}</div><div class=extra>{}</div></body>"
     long, short = "word " * 80, "tiny"

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.staging import column, pieces, staged, text_column
 
 # What HTML elements are, and the words by which sites name what is not the article.
-#: Their content is not text.
-RAW = "script style title textarea template noscript iframe svg math object canvas select button head xmp".split()
+#: Their content is not text, up to the page's end if they stay open.
+RAW = "script style title textarea".split()
+#: Their content is not text if they are closed; left open they hide nothing.
+HIDDEN = "template noscript iframe svg math object canvas select button xmp".split()
 #: They may hold the article, and form paths.
 CONTAINERS = ("html body div section article main nav header footer aside form ul ol dl table tbody thead tfoot tr td th blockquote figure "
               "details fieldset dialog center").split()
@@ -35,9 +37,10 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
+_HIDDEN_TAG = {t: re.compile(rf"<(/?){t}(?=[\s/>])[^>]*>", re.I) for t in HIDDEN}
 _PART = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
-_RAW_SET, _CONTAINER_SET, _BLOCK_SET, _SPACED_SET = set(RAW), set(CONTAINERS), set(BLOCKS), set(SPACED)
+_RAW_SET, _HIDDEN_SET, _CONTAINER_SET, _BLOCK_SET, _SPACED_SET = set(RAW), set(HIDDEN), set(CONTAINERS), set(BLOCKS), set(SPACED)
 _OUTSIDE_TAGS, _OUTSIDE_WORDS, _OUTSIDE_ROLES, _MAIN_WORDS = set(OUTSIDE_TAGS), set(OUTSIDE_WORDS), set(OUTSIDE_ROLES), set(MAIN_WORDS)
 
 #: A share of a page's text that makes a container its main one, and a share of a host's pages that makes a path a winner.
@@ -88,10 +91,23 @@ def _element(tag: str, attributes: str, parent: Element | None) -> Element:
                    in_main or (main and not outside and not (parent is not None and parent.outside)))
 
 
+def _closed(source: str, tag: str) -> dict[int, int]:
+    """Where each element of a tag begins, and where its own end tag ends; elements left open are not listed."""
+    opened, closed = [], {}
+    for token in _HIDDEN_TAG[tag].finditer(source):
+        if token[1]:
+            if opened:
+                closed[opened.pop()] = token.end()
+        elif not token[0].endswith("/>"):
+            opened.append(token.start())
+    return closed
+
+
 def read_page(source: str) -> Page:
-    """Blocks of text with their containers. Unclosed and stray tags do no harm."""
+    """Blocks of text with their containers. Unclosed and stray tags do no harm, but for an open script, style, title or
+    textarea, which takes the rest of the page as in browsers. ``head`` needs no end tag: what it may hold is not text anyway."""
     page, stack, text, links, link_from, at = Page(), [], [], 0, None, 0
-    size = 0
+    size, closed = 0, {}
 
     def flush() -> None:
         nonlocal links, link_from, size
@@ -129,6 +145,12 @@ def read_page(source: str) -> Page:
             end = _RAW_END[tag].search(source, at)
             if not (attributes or "").endswith("/"):
                 at = end.end() if end else len(source)
+        elif tag in _HIDDEN_SET:
+            flush()
+            if not closing:
+                if tag not in closed:
+                    closed[tag] = _closed(source, tag)
+                at = closed[tag].get(token.start(), at)
         elif tag in _CONTAINER_SET:
             flush()
             link_from = None
