@@ -103,6 +103,25 @@ def test_an_element_left_open_does_not_hide_the_article(tag):
     assert {"One", "Two", "Three"} <= set(got) and "x" not in got and (tag == "head" or "gone" not in got)
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<div id=x><h1>Title of it</h1><p>An introduction<ul><li>{0}<li>{0}</ul></div>", ["Title of it", "An introduction", "{0}", "{0}"]),
+    ("<div><section class=a><p>{0}{0}{0}</section><section class=b><p>{0}</section></div>", ["{0}{0}{0}", "{0}"]),
+    ("<div><div class=a><p>{0}{0}{0}</div><div class=b><blockquote>{0}</blockquote></div></div><div class=c>tiny</div>", ["{0}{0}{0}", "{0}"])])
+def test_the_vote_holds_all_parts_of_an_article_without_a_name(body, want):
+    text = "many words of it " * 9
+    page = html_text.read_page(f"<body>{body.format(text)}</body>")
+    assert html_text.main_text(page, []).split("\n") == [x.format(text).strip() for x in want]
+
+
+def test_lists_do_not_win_a_host(spark):
+    text = "many words of it " * 9
+    lists = f"<body><div class=a><h1>Title</h1><ul><li>{text}<li>{text}</ul></div>"
+    prose = f"<body><div class=a><p>{text}<p>{text}<ul><li>short</ul></div>"
+    rows = [(i, "https://h.example/", prose if i == 9 else lists) for i in range(10)]
+    got = {r.page_id: r.main_text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[9] == "\n".join([text.strip(), text.strip(), "short"]) and got[0].startswith("Title\n")
+
+
 def test_the_host_decides_where_a_page_is_unsure(spark, monkeypatch):
     page = "<body><div class=story>{}</div><div class=extra>{}</div></body>"
     long, short = "word " * 80, "tiny"

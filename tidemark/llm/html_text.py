@@ -25,6 +25,8 @@ CONTAINERS = ("html body div section article main nav header footer aside form u
 #: They begin and end a block of text.
 BLOCKS = "p h1 h2 h3 h4 h5 h6 li dt dd pre address figcaption caption summary legend hr option".split()
 SPACED = "br img wbr input".split()
+#: They may be the article's container; lists, tables and quotes are parts of an article.
+VOTED = "html body div section article main td center".split()
 OUTSIDE_TAGS = "nav header footer aside form dialog".split()
 OUTSIDE_WORDS = ("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navigation navbar menu breadcrumb "
                  "breadcrumbs header masthead footer sidebar aside widget cookie cookies consent gdpr notice notices banner alert popup modal "
@@ -45,6 +47,8 @@ _OUTSIDE_TAGS, _OUTSIDE_WORDS, _OUTSIDE_ROLES, _MAIN_WORDS = set(OUTSIDE_TAGS),
 
 #: A share of a page's text that makes a container its main one, and a share of a host's pages that makes a path a winner.
 MOST_TEXT, LEAST_VOTES = 0.7, 0.1
+#: Characters, without links, that make what stands directly in a container a part of the article.
+LEAST_PART = 20
 #: Winners are broadcast up to this many bytes, at about WINNER_BYTES each; beyond, pages and winners meet by shuffle.
 MOST_BROADCAST, WINNER_BYTES, SALTS = 32 << 20, 400, 16
 
@@ -181,7 +185,11 @@ def _within(path: str, container: str) -> bool:
 
 
 def best_path(page: Page) -> str | None:
-    """The page's own vote: the named main container with the most text, else the deepest one with most of the page's text."""
+    """The page's own vote: the named main container with the most text, else the deepest one of VOTED with most of the page's
+    text (one with a main word in its name first), or the smallest around it that holds every part of the article.
+
+    A hinting name is not climbed out of.
+    """
     weights: Counter = Counter()
     for block in page.blocks:
         if not block.outside:
@@ -200,7 +208,9 @@ def best_path(page: Page) -> str | None:
     hinted = [p for p in held if held[p] >= MOST_TEXT * total and set(_PART.split(p.rsplit("/", 1)[-1].lower())[1:]) & _MAIN_WORDS]
     if hinted:
         return max(hinted, key=lambda p: (p.count("/"), p))
-    return max((p for p in held if held[p] >= MOST_TEXT * total), key=lambda p: (p.count("/"), p), default="")
+    parts = [p for p, weight in weights.items() if weight >= LEAST_PART]
+    whole = [p for p in held if held[p] >= MOST_TEXT * total and p.rsplit("/", 1)[-1].split(".")[0] in VOTED and all(_within(x, p) for x in parts)]
+    return max(whole, key=lambda p: (p.count("/"), p), default="")
 
 
 def main_text(page: Page, winners: list[str]) -> str:
