@@ -8,7 +8,7 @@ from tidemark.functions import vectors
 from tidemark.functions.embed import embed_text, embedding_of_payload, hashed_embedder, token_cell
 from tidemark.operators import vector_search
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
-from tidemark.operators.vector_index import append_to_index, build_index, compact_index, leaf_centroids, read_leaves, search_index
+from tidemark.operators.vector_index import append_to_index, build_index, compact_index, leaf_centroids, read_leaves, recall, search_index
 from tidemark.session import scratch_path
 
 Q = vector_search.VectorColumns("query_id", "embedding")
@@ -113,6 +113,21 @@ def test_index_probing_all_leaves_is_exact_and_few_leaves_recall_most(spark, poi
     assert recall > 0.7
 
 
+@pytest.mark.parametrize("measure", vector_search.MEASURES)
+def test_index_finds_nine_tenths_at_its_own_settings(spark, measure):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v / np.linalg.norm(v) * rng.uniform(0.8, 1.2)]) for i, v in enumerate(rng.normal(size=(1200, 16)))]
+    docs = spark.createDataFrame(rows, "doc_id int, embedding array<float>")
+    index = build_index(docs, scratch_path(spark, "index"), leaf_size=60)
+    stored = docs.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    means = spark.createDataFrame([(i, [float(x) for x in np.mean([v for _, v in rows[i::40]], axis=0)]) for i in range(40)], stored.schema)
+    # Only stored vectors are asked for euclidean: a mean is nearly as far from all of them, and its length counts.
+    for queries in (stored,) if measure == "euclidean" else (stored, means):
+        assert recall(search_index(queries, index, measure=measure), vector_search.nearest(queries, docs, measure=measure)) >= 0.9
+    few = search_index(stored, index, measure=measure, leaves_to_search=0.07)
+    assert recall(few, vector_search.nearest(stored, docs, measure=measure)) < 0.9
+
+
 def test_index_append_is_repeatable(spark, points):
     docs = spark.createDataFrame(points, "doc_id int, embedding array<float>")
     index = build_index(docs.filter("doc_id < 250"), scratch_path(spark, "index"), leaf_size=50)

@@ -2,7 +2,8 @@
 
 The leaf count follows the rows. A leaf is a pair of a coarse centroid and a centroid of what is left
 after it, so leaves need only about twice the square root of their number in centroids: 200 million leaves
-take 28,000. A search probes a fixed share of the leaves in use.
+take 28,000. A search probes the share of the leaves in use that finds enough of the true neighbours; it is
+measured when the index is built.
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
 from tidemark.operators.ordered import top_k
-from tidemark.operators.vector_search import (BROADCAST_LIMIT, TOP_K, VectorColumns, common_dtype, nearest, pack_vectors,
+from tidemark.operators.vector_search import (BROADCAST_LIMIT, MEASURES, TOP_K, VectorColumns, common_dtype, nearest, pack_vectors,
                                               query_side, row_bytes, score_blocks, usual_length)
 from tidemark.session import checkpointed
 
@@ -26,10 +27,15 @@ LEAF_SIZE = 500
 LEAVES_TO_SEARCH = 0.07
 CANDIDATES = 150
 
+#: The share of the true neighbours that a search must find. The probed share is set for the higher one, as it's measured on some vectors only.
+LEAST_RECALL, RECALL_AIMED, MEASURED_VECTORS = 0.9, 0.95, 256
+
 #: A leaf in a broadcast list of leaves.
 LEAF_BYTES = 32
 
 _CENTROIDS = StructType([StructField("centroid", IntegerType()), StructField("embedding", ArrayType(FloatType()))])
+_PROBING = StructType([StructField("measure", StringType()), StructField("k", IntegerType()), StructField("share", DoubleType()),
+                       StructField("length", DoubleType())])
 
 
 @dataclass(frozen=True)
@@ -48,6 +54,10 @@ class VectorIndex:
     def leaves_path(self) -> str:
         return f"{self.path}/leaves"
 
+    @property
+    def probing_path(self) -> str:
+        return f"{self.path}/probing"
+
 
 def _centers(spark: SparkSession, path: str, key: str, vector: str) -> DataFrame:
     """A level's centroids; about the square root of the leaf count, so small enough to broadcast."""
@@ -113,9 +123,64 @@ def build_index(vectors: DataFrame, path: str, vector: str = "embedding", leaf_s
     coarse = fit(distinct, "v", "coarse")
     fit(_with_rest(_nearest_center(distinct, coarse, "v", "coarse"), index, "v"), "_rest", "fine")
     write_leaves(assign_leaves(usable, index, vector), index, batch_id=-1)
+    _measure_probing(distinct, index, vector)
     return index
 
 
+def _length(vector: str) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+
+
+def _aimed(queries: DataFrame, vector: str, measure: str, length: float) -> DataFrame:
+    """Queries as they meet the centroids. Only ``euclidean`` depends on a query's length; for the others it gets the stored vectors'
+    usual one, as short queries (means, for one) would otherwise be nearest to the centroids of least length."""
+    if measure == "euclidean":
+        return queries
+    scaled = F.transform(vector, lambda x: x.cast("double") * (F.lit(length) / _length(vector)))
+    return queries.withColumn(vector, F.when(_length(vector) > 0, scaled).otherwise(F.col(vector).cast("array<double>")))
+
+
+def _measure_probing(distinct: DataFrame, index: VectorIndex, vector: str) -> None:
+    """Save the share of the leaves that finds RECALL_AIMED of the true neighbours, for each measure and for short and long results.
+
+    Some stored vectors, chosen by hash, are searched exactly; the place of each neighbour's leaf among the leaves by
+    nearness says how many leaves a search must probe. LEAVES_TO_SEARCH is the least share.
+    """
+    spark = distinct.sparkSession
+    some = max(1, distinct.count() // MEASURED_VECTORS)
+    sample = checkpointed(distinct.filter(F.pmod(F.xxhash64("v"), F.lit(some)) == 0).select(
+        F.monotonically_increasing_id().alias("query_id"), F.col("v").alias("embedding")))
+    length = distinct.agg(F.sqrt(F.avg(_length("v") ** 2))).first()[0] or 1.0
+    leaf = VectorColumns("centroid", "embedding")
+    stored = read_leaves(spark, index).select("centroid", F.col(vector).alias("embedding"))
+    centroids = checkpointed(leaf_centroids(spark, index))
+    count, rows = centroids.count(), []
+    for measure in MEASURES:
+        true = nearest(sample, stored, CANDIDATES, measure, doc=leaf).select("query_id", "centroid", "rank")
+        places = nearest(_aimed(sample, "embedding", measure, length), centroids, count, "euclidean", doc=leaf)
+        met = true.join(places.select("query_id", "centroid", F.col("rank").alias("place")), ["query_id", "centroid"])
+        held = met.groupBy("place").agg(F.count_if(F.col("rank") <= TOP_K), F.count("*")).orderBy("place").collect()
+        least = LEAVES_TO_SEARCH
+        for k, at in ((TOP_K, 1), (CANDIDATES, 2)):
+            total, found, place = sum(row[at] for row in held), 0, count
+            for row in held:
+                found += row[at]
+                if found >= RECALL_AIMED * total > 0:
+                    place = row["place"]
+                    break
+            least = max(least, place / count)
+            rows.append((measure, k, least, length))
+    spark.createDataFrame(rows, _PROBING).write.mode("overwrite").parquet(index.probing_path)
+
+
+def recall(found: DataFrame, exact: DataFrame, query_id: str = "query_id") -> float:
+    """The share of the exact results that a search found; a row counts if it's as near as the last exact one, whichever of equals it is."""
+    last = exact.groupBy(query_id).agg(F.max("distance").alias("last"), F.count("*").alias("n"))
+    hits = found.join(last.select(query_id, "last"), query_id).filter(F.col("distance") <= F.col("last") + 1e-6)
+    total = last.agg(F.sum("n")).first()[0]
+    return hits.count() / total if total else 1.0
+
+
 def append_to_index(vectors: DataFrame, index: VectorIndex, batch_id: int, vector: str = "embedding") -> None:
     """Assign new vectors to the existing centroids and append them; those of another length than the index's are left out."""
     dims = len(vectors.sparkSession.read.schema(_CENTROIDS).parquet(index.coarse_path).first()["embedding"])
@@ -128,6 +193,7 @@ def compact_index(spark: SparkSession, index: VectorIndex, path: str) -> VectorI
     for name in ("coarse", "fine"):
         KMeansModel.load(f"{index.path}/{name}-model").write().overwrite().save(f"{path}/{name}-model")
         spark.read.parquet(f"{index.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
+    spark.read.parquet(index.probing_path).write.mode("overwrite").parquet(merged.probing_path)
     write_leaves(read_leaves(spark, index).drop("batch_id"), merged, batch_id=-1)
     return merged
 
@@ -147,23 +213,30 @@ def read_leaves(spark: SparkSession, index: VectorIndex) -> DataFrame:
 
 
 def search_index(queries: DataFrame, index: VectorIndex, k: int = TOP_K, measure: str = "dot",
-                 threshold: float | None = None, leaves_to_search: float = LEAVES_TO_SEARCH,
+                 threshold: float | None = None, leaves_to_search: float | None = None,
                  candidates: int = CANDIDATES, query: VectorColumns = VectorColumns("query_id", "embedding"),
                  doc: VectorColumns = VectorColumns("doc_id", "embedding"),
                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Approximate k nearest rows: probe the best leaves and rank their rows exactly.
 
     Distances inside a leaf are exact, so each block gives its best k rather than
-    a longer list to re-rank; ``candidates`` is the upper limit for k.
+    a longer list to re-rank; ``candidates`` is the upper limit for k. The share of the
+    leaves to probe is the one measured when the index was built, unless it's given.
     """
     if not 1 <= k <= candidates:
         raise ValueError("k must lie between 1 and the number of candidates")
+    if measure not in MEASURES:
+        raise ValueError(f"measure must be one of {MEASURES}")
     spark = queries.sparkSession
     queries = checkpointed(queries.select(query.id, query.vector))  # used three times, embedded once
     centroids = checkpointed(leaf_centroids(spark, index))
     count = centroids.count()
+    asked = spark.read.schema(_PROBING).parquet(index.probing_path).filter(F.col("measure") == measure).orderBy("k").collect()
+    if leaves_to_search is None:
+        leaves_to_search = next((row["share"] for row in asked if row["k"] >= k), 1.0)
+    aimed = _aimed(queries, query.vector, measure, asked[0]["length"])
     probes_per_query = max(1, math.ceil(leaves_to_search * count))
-    probes = checkpointed(nearest(queries, centroids, probes_per_query, "euclidean", query=query,
+    probes = checkpointed(nearest(aimed, centroids, probes_per_query, "euclidean", query=query,
                                   doc=VectorColumns("centroid", "embedding"),
                                   broadcast_limit=broadcast_limit).select(query.id, "centroid"))
     leaves = read_leaves(spark, index)

@@ -9,7 +9,7 @@ from tidemark.functions.embed import embed_text, embedding_of_payload, hashed_em
 from tidemark.functions.uris import uri_bucket, uri_object, uri_valid
 from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
-from tidemark.operators.vector_index import build_index, search_index
+from tidemark.operators.vector_index import LEAST_RECALL, build_index, recall, search_index
 from tidemark.operators.vector_search import image_neighbours, nearest
 from tidemark.plans.tables import documents_as_files, image_collection, table
 from tidemark.session import checkpointed, scratch_path
@@ -95,14 +95,17 @@ def image_neighbors(spark, sf_dir):
 
 
 def ann_topk(spark, sf_dir):
-    """Index search per label mean: how many rows it found, and whether their distances are the vectors' own."""
+    """Index search per label mean: how many rows it found, and whether their distances hold: they are the vectors' own, and
+    with the same settings the index finds LEAST_RECALL of the exact neighbours of the vectors whose id is divisible by 50."""
     queries, docs = _sides(spark, sf_dir)
     queries = checkpointed(queries)
     index = build_index(docs, scratch_path(spark, "index"))
     found = search_index(queries, index)
+    asked = checkpointed(docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "embedding"))
+    enough = recall(search_index(asked, index), nearest(asked, docs)) >= LEAST_RECALL
     with_vectors = found.join(docs, "doc_id").join(queries.withColumnRenamed("embedding", "asked"), "query_id")
     own = F.aggregate(F.zip_with("embedding", "asked", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
-    checked = with_vectors.withColumn("holds", F.abs(1 - own - F.col("distance")) < 1e-6)
+    checked = with_vectors.withColumn("holds", (F.abs(1 - own - F.col("distance")) < 1e-6) & F.lit(enough))
     return checked.groupBy("query_id").agg(F.count("*").alias("found"), F.bool_and("holds").alias("distances_hold"))
 
 
