@@ -1,3 +1,8 @@
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -31,3 +36,14 @@ def test_query_matches_its_sql(spark, name):
     want = db.sql(contract.oracle_sql()[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(want.columns, want.fetchall())
+
+
+@pytest.mark.parametrize("with_pipeline", [True, False])
+def test_entry_imports_without_the_llm_folders(tmp_path, with_pipeline):
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    shutil.copytree(root, tmp_path / "copy", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", "*.json", "*.md"))
+    if not with_pipeline and (pipeline := tmp_path / "copy" / "corpus_pipeline.py").exists():
+        pipeline.unlink()
+    code = "import __spark_entry__ as e; print(sorted(n for n in e.queries() if n == 'pipeline' or n.startswith('op')), len(e.queries()) > 50)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120, check=False)
+    assert out.stdout.strip() == "[] True", out.stderr
