@@ -45,6 +45,15 @@ def test_words_longer_than_a_stretch_hash_whole():
     assert h[0] != h[1] and h[1] == again[0]
 
 
+def test_long_words_that_collide_modulo_two_to_the_64_stay_apart(spark):
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    tail = " ".join(prose(5, 12).split())
+    rows = [(1, f"{words[0]} {tail}"), (2, f"{words[1]} {tail}"), (3, f"{words[1]} {tail}")]
+    got = substring.remove_repeated_windows(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_substring(rows, 13)
+
+
 @pytest.mark.parametrize("cells", [exact.MAX_CELLS, 2])
 def test_exact_matches_brute_force_with_any_filter(spark, cells):
     rows = documents() + [(None, "one"), (40, "o n e"), (5, "")]

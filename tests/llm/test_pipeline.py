@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tests.llm.data import prose
 from tests.llm.test_dedup import brute_components, brute_print, words_of
 from tidemark.llm import queries, toxicity
 
@@ -40,6 +41,47 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, docs.limit(0), DIR).columns == list(corpus_pipeline.COLUMNS)
 
 
+def odd_rows(spark, texts):
+    """Rows with null and repeated ids, and columns whose names the stages use inside."""
+    rows = [(i, t, "en", None, 1, 7, "x") for i, t in texts]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, row_number bigint, component_id string")
+
+
+def test_decontamination_judges_each_row_by_its_own_text(spark):
+    leak = spark.read.parquet(f"{DIR}/benchmark.parquet").orderBy("item_id").first().text
+    texts = [(None, leak), (None, "clean one"), (None, None), (5, leak), (5, "clean two"), (5, ""), (6, "x " + leak)]
+    got = corpus_pipeline.drop_contaminated(spark, odd_rows(spark, texts), DIR)
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(None, "clean one"), (None, None), (5, "clean two"), (5, "")], key=repr)
+
+
+def test_one_row_of_each_near_group_stays(spark):
+    long = prose(8, 80)
+    texts = [(None, long), (None, long), (5, long), (5, prose(9, 90)), (None, prose(10, 90)), (7, None), (8, " "), (5, long)]
+    got = corpus_pipeline.drop_near_copies(spark, odd_rows(spark, texts), DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(5, long), (5, prose(9, 90)), (None, prose(10, 90)), (7, None)], key=repr)
+
+
+def test_exact_copies_and_toxic_rows_with_odd_ids(spark):
+    texts = [(None, "a b"), (None, "a  b"), (5, "ab"), (5, "c"), (None, "c"), (6, None), (7, " ")]
+    got = corpus_pipeline.drop_exact_copies(spark, odd_rows(spark, texts), DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(None, "a  b"), (5, "c"), (7, " ")], key=repr)
+    docs, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = toxicity.classify(docs, labels).filter("toxic").select("doc_id")
+    bad = docs.join(toxic, "doc_id").first().text
+    mixed = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(
+        odd_rows(spark, [(None, bad), (None, None), (-1, bad), (-1, "")]).select(*corpus_pipeline.COLUMNS))
+    got = corpus_pipeline.drop_toxic(spark, mixed, DIR).filter("doc_id is null or doc_id = -1").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == [(-1, ""), (None, None)]
+
+
+def test_encoding_keeps_rows_with_odd_ids(spark):
+    got = corpus_pipeline.encode_bytes(spark, odd_rows(spark, [(None, "a"), (5, "b c d"), (5, None)]), DIR).collect()
+    assert sorted(((r.doc_id, r.n_tokens > 0) for r in got), key=repr) == [(5, False), (5, True), (None, True)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_its_sql(spark, name):
     from tools.check_queries import rows_of
@@ -52,4 +94,4 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} and "pipeline" in contract.queries()
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} and "pipeline" in contract.queries()

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm.data import SCHEMA, documents, frame
-from tidemark.llm import byte_bpe, chat, token_files
+from tidemark.llm import byte_bpe, chat, queries, token_files
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.queries import BYTE_PATTERN, BYTE_RANKS, PLANTED, WORD_BPE
 
@@ -125,3 +125,14 @@ def test_conversations_digest_their_written_output(spark):
     assert got[-7].loss_chars == len(PLANTED) and got[-7].formatted_chars == sum(len(chat.format_turn(r, PLANTED)) for r in ("user", "assistant"))
     assert got[1].n_turns == 4 and got[1].loss_chars == len(PLANTED) + 5 and got[None].loss_sha256 == hashlib.sha256(b"").hexdigest()
     assert chat.conversation_digests(chat.format_conversations(df.limit(0))).count() == 0
+
+
+def test_token_query_returns_rows_with_null_ids(spark, tmp_path):
+    rows = [(3, "one two"), (None, "a b"), (None, None), (1, "z"), (3, "one two")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.start, r.n_tokens) for r in queries.op2_token_files(spark, str(tmp_path)).collect()]
+    assert sorted((d is not None, d or 0) for d, *_ in got) == [(False, 0), (False, 0), (True, 1), (True, 3), (True, 3)]
+    at = 0
+    for _, start, n in sorted(got, key=lambda r: r[1]):  # nulls first, nothing between
+        assert start == at
+        at += n

@@ -26,10 +26,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token shards of all documents, looked up by document key through the index."""
+    """Token shards of all documents, looked up by document key through the index; rows without key are scanned."""
     docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
     token_files.write_token_files(docs, folder, WORD_BPE, END_ID)
-    found = token_files.read_token_files(docs, folder)
+    found = token_files.read_token_files(docs, folder).unionByName(token_files.scan_token_files(spark, folder, null_keys_only=True))
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

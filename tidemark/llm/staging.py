@@ -73,3 +73,18 @@ def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.ListArr
     """Rows of lists, where ends[i] is the end of row i in values."""
     at = np.concatenate([[0], ends]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
+
+
+#: A list of numbers is broadcast up to so many counted rows: 16 MB of numbers, some 64 MB in a join's table.
+MOST_NUMBERS = 2_000_000
+
+
+def numbered(df: DataFrame, columns: tuple[str, ...], name: str, label: str) -> DataFrame:
+    """The columns with a number of its own for each row, whatever ids repeat or are null; written, so that numbers stay."""
+    return staged(df.select(*columns, F.monotonically_increasing_id().alias(name)), label)
+
+
+def without(rows: DataFrame, gone: DataFrame, name: str, most: int = MOST_NUMBERS) -> DataFrame:
+    """Rows whose number isn't in ``gone`` (one column of that name, staged). Few numbers go to the rows, many are shuffled."""
+    few = gone.limit(most + 1).count() <= most
+    return rows.join(F.broadcast(gone) if few else gone, name, "left_anti")

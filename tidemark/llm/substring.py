@@ -15,20 +15,20 @@ from tidemark.llm.words import mix, spaced_table, window_hashes, window_rows, wo
 
 WINDOW = 13
 _BASE, _BUCKET_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
-_SECOND = np.uint64(0x8EBC6AF09C88C6E3)
 #: Pairs packed before they are handed on.
 _PACK = 1 << 19
-#: Documents of a cell, at about this many: their hashes to go are in memory together.
-CELL = 8192
+#: Documents and bytes of text of a cell, at about this many: their hashes to go are in memory together, 16 bytes a word.
+CELL, CELL_BYTES = 8192, 32 << 20
 
 
-def _hashed(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words' hashes, rows' first words, and window hashes with their start words and rows."""
+def _hashed(texts: pa.Array, window: int, with_side: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray, np.ndarray]:
+    """Window hashes (and independent second ones) with their start words and rows, and the rows' first words."""
     data, at = utf8(texts)
     starts, ends, first = word_spans(data, at, spaced_table())
-    words = word_hashes(data, starts, ends)
     begin, row = window_rows(first, window)
-    return words, first, window_hashes(words, window, _BASE)[begin], begin, row
+    h = window_hashes(word_hashes(data, starts, ends), window, _BASE)[begin]
+    side = window_hashes(word_hashes(data, starts, ends, 1), window, _BUCKET_BASE)[begin] if with_side else None
+    return h, side, first, begin, row
 
 
 def _packed(kind: int, bucket: np.ndarray, width: int, h: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
@@ -50,10 +50,9 @@ def _collector(window: int, width: int):
         for batch in batches:
             for part in pieces(batch.filter(column(batch, "id").is_valid())):
                 ids = column(part, "id").to_numpy()
-                words, _, h, begin, row = _hashed(text_column(part), window)
+                h, side, _, _, row = _hashed(text_column(part), window, with_side=True)
                 if not len(h):
                     continue
-                side = window_hashes(mix(words ^ _SECOND), window, _BUCKET_BASE)[begin]
                 d = ids[row]
                 order = np.argsort(h, kind="stable")
                 hs, ds, ss = h[order], d[order], side[order]
@@ -130,7 +129,7 @@ def _repeated(cells: int):
 def _stripped(part: pa.RecordBatch, gone_d: np.ndarray, gone_h: np.ndarray, window: int) -> pa.RecordBatch:
     """Documents without the words in their windows to go; those are given in the order of ids."""
     texts, ids = text_column(part), column(part, "id")
-    _, first, h, begin, row = _hashed(texts, window)
+    h, _, first, begin, row = _hashed(texts, window, with_side=False)
     bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
     own_ids, known = ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
     low, high = np.searchsorted(gone_d, own_ids, side="left"), np.searchsorted(gone_d, own_ids, side="right")
@@ -198,10 +197,10 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     How: each batch of texts is hashed at once and gives one entry for each
     distinct window, so a passage in very many documents costs one entry a batch.
     Entries are packed by bucket and shuffled; Spark sorts each partition by
-    hash and id, and all but the smallest id lose the window. Bucket and hash are
-    independent polynomial hashes, so windows are told apart by 64 bits and the
-    bucket's. The hashes to go are packed by cells of documents; each cell's hashes are
-    sorted in front of its texts, which stream past them.
+    hash and id, and all but the smallest id lose the window. Bucket and hash come
+    from independent hashes of the words' bytes, so windows are told apart by 64 bits and the
+    bucket's; ``window`` is at most 512. The hashes to go are packed by cells of documents, as many as the texts'
+    number and bytes ask for; each cell's hashes are sorted in front of its texts, which stream past them.
 
     Null text is empty; a text of fewer words than a window stays whole. A row
     with null id is returned as it is and takes nothing from others. Rows with
@@ -215,7 +214,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = (entries.repartitionById(width, "bucket")
              .select("kind", F.inline(F.arrays_zip("h", "d")))
              .sortWithinPartitions("h", "d"))
-    cells = max(width, docs.count() // CELL)
+    size = own.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    cells = max(width, size[0] // CELL, (size[1] or 0) // CELL_BYTES)
     gone = pairs.mapInArrow(_repeated(cells), "cell bigint, d array<bigint>, gone array<bigint>")
     both = own.select(_cell(cells).alias("cell"), F.lit(True).alias("is_text"), "id", "text").unionByName(
         gone.withColumn("is_text", F.lit(False)), allowMissingColumns=True)

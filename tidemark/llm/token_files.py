@@ -293,13 +293,14 @@ def _payloads(folder: str):
     return run
 
 
-def _scanner(folder: str):
+def _scanner(folder: str, null_keys_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number in column(batch, "shard").to_pylist():
                 shard = Shard(shard_path(folder, number))
-                for low in range(0, shard.n, 256):
-                    yield _rows(shard, number, list(range(low, min(shard.n, low + 256))))
+                last = shard.nulls if null_keys_only else shard.n  # null keys come first
+                for low in range(0, last, 256):
+                    yield _rows(shard, number, list(range(low, min(last, low + 256))))
 
     return run
 
@@ -332,7 +333,7 @@ def read_token_files(keys: DataFrame, folder: str, key_col: str = "doc_id") -> D
     return _with_starts(spark, folder, found, key_col)
 
 
-def scan_token_files(spark: SparkSession, folder: str, key_name: str = "doc_id") -> DataFrame:
-    """Every document of the shards, those with null key too, with the columns of ``read_token_files``."""
+def scan_token_files(spark: SparkSession, folder: str, key_name: str = "doc_id", null_keys_only: bool = False) -> DataFrame:
+    """Every document of the shards, those with null key too (or only those), with the columns of ``read_token_files``."""
     shards = spark.read.parquet(f"{folder}/manifest").select("shard").repartition(shuffle_width(spark), "shard")
-    return _with_starts(spark, folder, shards.mapInArrow(_scanner(folder), _FOUND), key_name)
+    return _with_starts(spark, folder, shards.mapInArrow(_scanner(folder, null_keys_only), _FOUND), key_name)

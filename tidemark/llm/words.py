@@ -2,7 +2,9 @@
 
 Everything here works on the bytes of a whole Arrow column at once. Hash
 arithmetic is modulo 2**64, where an odd base has an inverse, so the hash of any
-stretch is a difference of running sums.
+stretch is a difference of running sums. Strings of 1,024 and more terms exist that
+collide under every base there; longer words than ``LONG`` are hashed by XXH64
+instead, and windows have at most ``MOST_WINDOW`` words.
 """
 
 from __future__ import annotations
@@ -10,13 +12,19 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 #: The white space that separates words.
 SPACES = b" \t\n\x0b\x0c\r"
 #: Bytes hashed with one table of powers.
 STRETCH = 1 << 20
 
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 1
+#: Longest word, in bytes, that the polynomial hashes.
+LONG = 128
+MOST_WINDOW = 512
+
+#: Odd bases; hashes of the two families are independent.
+_BYTE_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -70,44 +78,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _powers(family: int) -> tuple[np.ndarray, np.ndarray]:
     def table(base: int) -> np.ndarray:
         out = np.full(STRETCH + 1, base, np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
-    return table(_BYTE_BASE), table(pow(_BYTE_BASE, -1, 1 << 64))
+    return table(_BYTE_BASES[family]), table(pow(_BYTE_BASES[family], -1, 1 << 64))
 
 
-def _stretch_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = _powers()
+def _stretch_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int) -> np.ndarray:
+    power, inverse = _powers(family)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
     return (sums[ends] - sums[starts]) * inverse[starts]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes. Words of any length are hashed whole."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, of one of two independent families. Words of any length are hashed whole."""
     out = np.zeros(len(starts), np.uint64)
+    long = np.flatnonzero(ends - starts > LONG)
+    for k in long:
+        out[k] = xxhash.xxh64_intdigest(data[starts[k]:ends[k]].tobytes(), seed=family)
     low = 0
-    while low < len(starts):
-        origin = starts[low]
-        high = int(np.searchsorted(ends, origin + STRETCH, side="right"))
-        if high > low:
-            out[low:high] = _stretch_hash(data[origin:ends[high - 1]], starts[low:high] - origin, ends[low:high] - origin)
-        else:
-            high, total = low + 1, 0
-            for k, cut in enumerate(range(int(origin), int(ends[low]), STRETCH)):
-                part = data[cut:min(cut + STRETCH, int(ends[low]))]
-                piece = _stretch_hash(part, np.array([0]), np.array([len(part)]))
-                total += int(piece[0]) * pow(_BYTE_BASE, k * STRETCH, 1 << 64)
-            out[low] = total % (1 << 64)
-        low = high
+    for stop in (*long.tolist(), len(starts)):
+        while low < stop:
+            origin = starts[low]
+            high = min(stop, int(np.searchsorted(ends, origin + STRETCH, side="right")))
+            out[low:high] = _stretch_hash(data[origin:ends[high - 1]], starts[low:high] - origin, ends[low:high] - origin, family)
+            low = high
+        low = stop + 1
     return mix(out ^ ((ends - starts).astype(np.uint64) * _LENGTH))
 
 
 def window_hashes(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
     """The polynomial hash of every ``width`` consecutive word hashes (rows are not looked at)."""
+    if width > MOST_WINDOW:
+        raise ValueError(f"a window has at most {MOST_WINDOW} words")
     count = len(hashes) - width + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
