@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, chat, decontaminate, exact, html_text, quality, simhash, substring, token_files,
-                          toxicity)
+from tidemark.llm import (byte_bpe, chat, collocation, conversation_repair, decontaminate, exact, html_text, quality, simhash,
+                          substring, syncmers, token_files, toxicity)
 from tidemark.llm.staging import staged
 from tidemark.session import scratch_path
 
@@ -87,9 +87,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of two and three words that hold together best, for each language."""
+    return collocation.mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults, and the cheapest edits that mend them."""
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_digests(turns, conversation_repair.repair_conversations(conversation_repair.damage_turns(turns)))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and how like they are to each other and the next document's."""
+    found = syncmers.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_token_files, op3_quality, op4_chat_format, op5_toxicity, op6_html_text, op7_byte_bpe,
-    op8_simhash_dedup, op9_exact_dedup, op10_decontamination)}
+    op8_simhash_dedup, op9_exact_dedup, op10_decontamination, op11_collocations, op12_conversation_repair, op13_fingerprints)}
 
 SQL = {
     "op1_substring_dedup": r"""
@@ -131,6 +148,28 @@ SQL = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_collocations": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)),
+        counts AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+        sizes AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+        cuts AS (SELECT c.lang, c.k, phrase, f AS a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS lp,
+                        array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rp
+                 FROM counts c, (VALUES (1), (2)) AS s(j) WHERE f >= 10 AND j < c.k),
+        scored AS (SELECT cuts.lang, cuts.k, cuts.phrase, a, j, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score
+                   FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = lp JOIN counts y ON y.lang = cuts.lang AND y.phrase = rp),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inner_ones AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') AS phrase, max(f) AS longest
+                       FROM counts, (VALUES (1), (2)) AS s(i) WHERE k = 3 AND f >= 10 GROUP BY ALL),
+        left_over AS (SELECT w.* FROM weakest w LEFT JOIN inner_ones o ON o.lang = w.lang AND o.phrase = w.phrase
+                      WHERE longest IS NULL OR 100 * longest < 50 * a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM left_over)
+        SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
     "op9_exact_dedup": r"""
         WITH base AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                              regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
