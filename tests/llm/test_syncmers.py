@@ -48,7 +48,7 @@ def brute(rows, k=syncmers.K, s=syncmers.S):
         q = len(t) // 4
         edited = t[:len(t) - q] + rows[j][1][:q]
         other = brute_anchors(edited, k, s)
-        out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *("".join(f"{h & 0xFFFFFFFF:08x}" for _, h in m) for m in (marks[i], other)),
+        out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *("".join(f"{h & 0x7FFFFFFF | 0x80000000:08x}" for _, h in m) for m in (marks[i], other)),
                     brute_likeness(marks[i], other), brute_likeness(marks[i], marks[j])))
     return sorted(out, key=repr)
 
@@ -62,7 +62,7 @@ def made(df):
 def test_fingerprints_match_brute_force(spark, monkeypatch, stretch):
     monkeypatch.setattr(syncmers, "STRETCH", stretch)
     rows = documents() + [(None, prose(2, 60)), (None, None), (3, prose(1, 40)), (3, prose(1, 40)), (-5, prose(5, 9000)), (99, "x" * 24), (98, "y" * 23)]
-    df = frame(spark, rows, clashing=True).withColumns({c: F.lit("x") for c in ("at", "guest", "range", "next_text", "anchors", "edited")})
+    df = frame(spark, rows, clashing=True).withColumns({c: F.lit("x") for c in ("at", "guest", "range", "next_text", "kept", "head", "edited")})
     assert made(syncmers.fingerprint_neighbours(df.repartition(6))) == brute(rows)
 
 
