@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.staging import shuffle_width
 
-#: Bytes of a k-mer and of its inner stretches: 2 of 23 k-mers are kept on average.
-K, S = 28, 6
+#: Bytes of a k-mer and of its inner stretches: 2 of 17 k-mers are kept on average.
+K, S = 24, 8
 #: Bytes of a text whose stretches are hashed together.
 STRETCH = 1 << 14
 #: Ranges of ids that a task gets, on average.
