@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import prompts
 from tidemark.functions.embed import Embedder, embed_text
 from tidemark.functions.text import IMPORT_CHUNKING, chunks, strip, tokens
+from tidemark.operators.vector_index import Searched, VectorIndex, search_within
 from tidemark.operators.vector_search import DISTANCE_THRESHOLD, TOP_K, VectorColumns, nearest
 from tidemark.session import checkpointed
 
@@ -60,6 +61,14 @@ def retrieve(queries: DataFrame, chunk_table: DataFrame, k: int = TOP_K, thresho
     return nearest(asked, chunk_table, k, "dot", threshold, doc=VectorColumns(chunk_key, "embedding"))
 
 
+def retrieve_within(queries: DataFrame, index: VectorIndex, k: int = TOP_K, threshold: float | None = DISTANCE_THRESHOLD,
+                    embedder: Embedder | None = None, chunk_key: str = "chunk_key") -> Searched:
+    """``retrieve`` through an index of the chunks: the same rows, read from the leaves that can hold chunks within the threshold
+    and the k-th distance, and how many leaves that were."""
+    asked = checkpointed(embed_text(queries.select("query_id", "text"), "text", embedder).select("query_id", "embedding"))
+    return search_within(asked, index, k, "dot", threshold, doc=VectorColumns(chunk_key, "embedding"))
+
+
 def guard_queries(queries: DataFrame, text: str = "text") -> DataFrame:
     """Add (accepted, status): blank queries are rejected with a message."""
     accepted = F.length(strip(F.coalesce(F.col(text), F.lit("")))) > 0

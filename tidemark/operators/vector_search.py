@@ -133,7 +133,13 @@ def _distances(queries: np.ndarray, corpus: np.ndarray, measure: str) -> np.ndar
     return 1.0 - queries @ corpus.T
 
 
-def _best(distances: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray]:
+def id_order(ids: pa.Array) -> np.ndarray:
+    """Places of ids in ascending order."""
+    names = ids.to_numpy(zero_copy_only=False)
+    return np.argsort(names.astype(str) if names.dtype == object else names, kind="stable")
+
+
+def best_places(distances: np.ndarray, k: int, threshold: float | None) -> tuple[np.ndarray, np.ndarray]:
     """Positions (row, column) of the k smallest distances per row, the lower column first among equals.
 
     Rows are only ever cut to k: with many copies in a block most distances are
@@ -171,10 +177,9 @@ def score_blocks(pairs: DataFrame, k: int, measure: str, threshold: float | None
                 left, right = q_ids[i].values, c_ids[i].values
                 q = np.frombuffer(q_vectors[i].as_buffer(), dtype=dtype).reshape(len(left), -1)
                 c = np.frombuffer(c_vectors[i].as_buffer(), dtype=dtype).reshape(len(right), -1)
-                names = right.to_numpy(zero_copy_only=False)
-                by_id = np.argsort(names.astype(str) if names.dtype == object else names, kind="stable")
+                by_id = id_order(right)
                 d = np.round(_distances(q, c[by_id], measure), DISTANCE_DECIMALS)
-                rows, columns = _best(d, k, threshold)
+                rows, columns = best_places(d, k, threshold)
                 if len(rows):
                     yield pa.RecordBatch.from_arrays(
                         [left.take(pa.array(rows)), right.take(pa.array(by_id[columns])), pa.array(d[rows, columns])],
@@ -183,6 +188,28 @@ def score_blocks(pairs: DataFrame, k: int, measure: str, threshold: float | None
     return pairs.select("q_ids", "q_vectors", "c_ids", "c_vectors").mapInArrow(score, schema)
 
 
+def paired_distances(pairs: DataFrame, measure: str, dtype: str = "float32") -> DataFrame:
+    """Add the distance of each row's two vectors. The columns are (query id, doc id, query vector, doc vector)."""
+    schema = StructType([*pairs.schema.fields[:2], StructField("distance", DoubleType())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q, c = (np.stack([np.asarray(v, dtype) for v in batch.column(i).to_pylist()]).astype(np.float64) for i in (2, 3))
+            if measure == "euclidean":
+                d = np.sqrt(((q - c) ** 2).sum(axis=1))
+            else:
+                if measure == "cosine":
+                    for side in (q, c):
+                        lengths = np.sqrt((side ** 2).sum(axis=1, keepdims=True))
+                        np.divide(side, lengths, out=side, where=lengths > 0)
+                d = 1.0 - (q * c).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.round(d, DISTANCE_DECIMALS))], names=schema.names)
+
+    return pairs.mapInArrow(score, schema)
+
+
 def query_side(queries: DataFrame, columns: VectorColumns) -> tuple[int, int]:
     """(row count, largest vector length) of the query side, measured in one small job."""
     row = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(columns.vector)).alias("dims")).first()

@@ -9,13 +9,16 @@ from tidemark.functions.embed import embed_text, embedding_of_payload, hashed_em
 from tidemark.functions.uris import uri_bucket, uri_object, uri_valid
 from tidemark.operators import corpus
 from tidemark.operators.evaluation import align_embeddings, pair_similarity
-from tidemark.operators.vector_index import LEAST_RECALL, build_index, recall, search_index
+from tidemark.operators.vector_index import (FIRST_RANKED, LEAST_RECALL, MOST_EXACT, OVERFULL, TOP_K, build_index, leaf_table, recall, search_by_codes,
+                                             search_within)
 from tidemark.operators.vector_search import image_neighbours, nearest
 from tidemark.plans.tables import documents_as_files, image_collection, table
 from tidemark.session import checkpointed, scratch_path
 from tidemark.streaming.updates import start_vector_updates
 
 DIMS = 768
+#: Leaf size of the index that vectors are streamed into: small, so that leaves get overfull.
+APPEND_LEAF = 50
 NARROW_THRESHOLD, WIDE_THRESHOLD = 0.95, 0.97
 
 _WORDS = "list_filter(regexp_split_to_array({text}, '[ \\t\\n\\r\\f\\x0b]+'), lambda x: x <> '')"
@@ -95,30 +98,41 @@ def image_neighbors(spark, sf_dir):
 
 
 def ann_topk(spark, sf_dir):
-    """Index search per label mean: how many rows it found, and whether their distances hold: they are the vectors' own, and
-    with the same settings the index finds LEAST_RECALL of the exact neighbours of the vectors whose id is divisible by 50."""
+    """Index search per label mean: how many rows it found, whether their distances are the vectors' own, and whether it keeps what
+    it promises: with the same settings it finds LEAST_RECALL of the exact neighbours, of the means and of the vectors whose id
+    is divisible by 50, and compares few rows by their vectors (at most MOST_EXACT of all, but four for each row asked for, and as
+    many again for a first bound)."""
     queries, docs = _sides(spark, sf_dir)
     queries = checkpointed(queries)
     index = build_index(docs, scratch_path(spark, "index"))
-    found = search_index(queries, index)
+    searched = search_by_codes(queries, index)
+    found = checkpointed(searched.found)
     asked = checkpointed(docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "embedding"))
-    enough = recall(search_index(asked, index), nearest(asked, docs)) >= LEAST_RECALL
+    again = search_by_codes(asked, index)
+    enough = recall(again.found, nearest(asked, docs)) >= LEAST_RECALL and recall(found, nearest(queries, docs)) >= LEAST_RECALL
+    most = FIRST_RANKED * TOP_K + max(FIRST_RANKED * TOP_K, MOST_EXACT * docs.count())
+    few = searched.exact.unionByName(again.exact).agg(F.max("rows")).first()[0] <= most
     with_vectors = found.join(docs, "doc_id").join(queries.withColumnRenamed("embedding", "asked"), "query_id")
     own = F.aggregate(F.zip_with("embedding", "asked", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
-    checked = with_vectors.withColumn("holds", (F.abs(1 - own - F.col("distance")) < 1e-6) & F.lit(enough))
-    return checked.groupBy("query_id").agg(F.count("*").alias("found"), F.bool_and("holds").alias("distances_hold"))
+    checked = with_vectors.withColumn("holds", F.abs(1 - own - F.col("distance")) < 1e-6)
+    return checked.groupBy("query_id").agg(F.count("*").alias("found"), F.bool_and("holds").alias("distances_hold")).withColumns(
+        {"recall_holds": F.lit(enough), "few_compared": F.lit(few)})
 
 
 def index_append(spark, sf_dir):
-    """Build on the labelled classes below 5, stream in all other vectors, then search every leaf."""
+    """Build on the labelled classes below 5, stream in all other vectors, then search within bounds: the rows of an exact search,
+    whether no leaf is larger than it may be, and whether every query was told how many leaves it read."""
     vectors = table(spark, sf_dir, "embeddings")
     queries, docs = _sides(spark, sf_dir)
-    index = build_index(vectors.filter("label < 5").select(F.col("vec_id").alias("doc_id"), "embedding"), scratch_path(spark, "index"))
+    index = build_index(vectors.filter("label < 5").select(F.col("vec_id").alias("doc_id"), "embedding"), scratch_path(spark, "index"), leaf_size=APPEND_LEAF)
     landing = scratch_path(spark, "vectors")
     vectors.filter("label >= 5").select(F.col("vec_id").alias("doc_id"), "embedding").write.parquet(landing)
     arriving = spark.readStream.schema("doc_id bigint, embedding array<float>").parquet(landing)
     start_vector_updates(arriving, index, scratch_path(spark, "offsets")).awaitTermination()
-    return _shown(search_index(queries, index, leaves_to_search=1.0))
+    searched = search_within(queries, index)
+    small = leaf_table(spark, index).agg(F.max("rows")).first()[0] <= OVERFULL * APPEND_LEAF
+    told = searched.leaves.select("query_id", F.col("read").between(1, F.col("of")).alias("leaves_told"))
+    return _shown(searched.found).join(told, "query_id").withColumn("leaves_small", F.lit(small))
 
 
 def _chunk_key():
@@ -140,12 +154,26 @@ def _retrieved(spark, sf_dir):
     return corpus.retrieve(_benchmark_queries(spark, sf_dir), stored, embedder=embedder)
 
 
-def retrieve(spark, sf_dir):
-    return _retrieved(spark, sf_dir).select(
+def _ranked_chunks(found):
+    return found.select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), F.split_part("chunk_key", F.lit(":"), F.lit(1)).cast("bigint").alias("doc_id"),
         F.split_part("chunk_key", F.lit(":"), F.lit(2)).cast("bigint").alias("chunk_id"), F.round("distance", 6).alias("distance"))
 
 
+def retrieve(spark, sf_dir):
+    return _ranked_chunks(_retrieved(spark, sf_dir))
+
+
+def retrieve_indexed(spark, sf_dir):
+    """As ``retrieve``, through an index of all chunks, with the share of its leaves that the queries read."""
+    embedder = hashed_embedder(DIMS)
+    stored = checkpointed(embed_text(_chunks(spark, sf_dir), "text", embedder).select(_chunk_key(), "embedding"))
+    index = build_index(stored, scratch_path(spark, "chunk-index"))
+    searched = corpus.retrieve_within(_benchmark_queries(spark, sf_dir), index, embedder=embedder)
+    told = searched.leaves.select("query_id", (F.col("read") / F.col("of")).between(0, 1).alias("share_told"))
+    return _ranked_chunks(searched.found).join(told, "query_id")
+
+
 def retrieved_contexts(spark, sf_dir):
     """(query_id, rank, text): the retrieved chunks' texts, joined back on their keys."""
     texts = _chunks(spark, sf_dir).select(_chunk_key(), "text")
@@ -210,7 +238,7 @@ def embedding_payload(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     chunk_documents, corpus_import, vector_topk, vector_topk_threshold, image_neighbors, ann_topk,
-    index_append, retrieve, query_guard, generation_requests, prompt_render, uri_parts, embedding_payload)}
+    index_append, retrieve, retrieve_indexed, query_guard, generation_requests, prompt_render, uri_parts, embedding_payload)}
 QUERIES["embed_text"] = embed_documents
 QUERIES["pair_similarity"] = pair_similarities
 
@@ -225,7 +253,8 @@ _ALL_PAIRS = f"""{_MEANS},
 _RANKED = """SELECT query_id, doc_id, round(distance, 6) AS distance, rank::int AS rank{extra} FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM {source}{where}) WHERE rank <= 5"""
 
-_RETRIEVED = f"""{_CHUNKS},
+#: The rows of ``retrieve`` in SQL, also for queries over the contexts it finds.
+RETRIEVED_SQL = f"""{_CHUNKS},
     texts AS (SELECT doc_id || ':' || chunk_id AS id, array_to_string(part, ' ') AS text FROM chunk),
     {_embedding_sql('texts', 'id', 'text', DIMS)}, {_embedding_sql('benchmark', 'item_id', 'text', DIMS)},
     pairs AS (SELECT q.key AS query_id, c.key AS chunk_key, round(1 - list_dot_product(q.e, c.e), 9) AS distance
@@ -245,7 +274,7 @@ SQL = {
     "vector_topk_threshold": f"WITH {_ALL_PAIRS} "
         + _RANKED.format(extra=", 0.95::double AS threshold", source="pairs", where=" WHERE distance < 0.95")
         + " UNION ALL " + _RANKED.format(extra=", 0.97::double AS threshold", source="pairs", where=" WHERE distance < 0.97"),
-    "ann_topk": "SELECT DISTINCT label AS query_id, 5::bigint AS found, true AS distances_hold FROM embeddings",
+    "ann_topk": "SELECT DISTINCT label AS query_id, 5::bigint AS found, true AS distances_hold, true AS recall_holds, true AS few_compared FROM embeddings",
     "image_neighbors": f"""
         WITH {_MEANS}, d AS (SELECT vec_id::varchar AS id, embedding::double[] AS e,
                           CASE WHEN label <> 9 THEN 'img/' || label || '/' || vec_id || '.jpg' END AS path FROM embeddings),
@@ -254,14 +283,17 @@ SQL = {
         SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance, path FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs)
         WHERE rank <= 5 AND path IS NOT NULL""",
-    "index_append": f"WITH {_ALL_PAIRS} " + _RANKED.format(extra="", source="pairs", where=""),
-    "retrieve": f"""WITH {_RETRIEVED}
+    "index_append": f"WITH {_ALL_PAIRS} " + _RANKED.format(extra=", true AS leaves_told, true AS leaves_small", source="pairs", where=""),
+    "retrieve": f"""WITH {RETRIEVED_SQL}
         SELECT query_id, rank, split_part(chunk_key, ':', 1)::bigint AS doc_id, split_part(chunk_key, ':', 2)::bigint AS chunk_id,
                round(distance, 6) AS distance FROM found""",
+    "retrieve_indexed": f"""WITH {RETRIEVED_SQL}
+        SELECT query_id, rank, split_part(chunk_key, ':', 1)::bigint AS doc_id, split_part(chunk_key, ':', 2)::bigint AS chunk_id,
+               round(distance, 6) AS distance, true AS share_told FROM found""",
     "query_guard": f"""
         SELECT conv_id || ':' || turn AS query_id, role <> 'system' AS accepted,
                CASE WHEN role = 'system' THEN '{prompts.BLANK_QUERY_STATUS}' END AS status FROM conversations""",
-    "generation_requests": f"""WITH {_RETRIEVED},
+    "generation_requests": f"""WITH {RETRIEVED_SQL},
         listed AS (SELECT query_id, string_agg(t.text, chr(10) ORDER BY rank) AS contexts FROM found f JOIN texts t ON t.id = f.chunk_key GROUP BY query_id)
         SELECT b.item_id AS query_id, '{prompts.CORPUS_INSTRUCTION}' AS system_instruction, b.text AS query_text,
                coalesce(contexts, '') AS contexts, 1.0::double AS temperature, 8192.0::double AS max_output_tokens,

@@ -8,6 +8,7 @@ from tidemark.functions import prompts
 from tidemark.functions.rouge import METRICS
 from tidemark.operators import evaluation, tuning
 from tidemark.operators.ordered import global_row_number
+from tidemark.plans.corpus_queries import RETRIEVED_SQL, retrieved_contexts
 from tidemark.plans.tables import label_scores, positions, summary_pairs, table
 from tidemark.session import checkpointed, scratch_path
 from tidemark.sources.readers import read_chat_samples, read_json_array
@@ -30,22 +31,15 @@ def eval_dataset(spark, sf_dir):
     return aligned
 
 
-def _source_contexts(spark, sf_dir):
-    """Each benchmark text with the documents of its id and the next two as ranked contexts, where labelled."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ranked = docs.withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(3)))).select(
-        (F.col("doc_id") - F.col("rank") + 1).alias("query_id"), "rank", "text", "doc_id")
-    labelled = table(spark, sf_dir, "labels").select("doc_id")
-    return ranked.join(labelled, "doc_id", "left_semi")
-
-
 def first_context(spark, sf_dir):
+    """The best retrieved context of each benchmark text."""
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"))
-    return evaluation.first_context(queries, _source_contexts(spark, sf_dir))
+    return evaluation.first_context(queries, retrieved_contexts(spark, sf_dir))
 
 
 def joined_contexts(spark, sf_dir):
-    return evaluation.joined_contexts(_source_contexts(spark, sf_dir))
+    """All retrieved contexts of each benchmark text that has any."""
+    return evaluation.joined_contexts(retrieved_contexts(spark, sf_dir))
 
 
 def eval_summary(spark, sf_dir):
@@ -182,9 +176,8 @@ QUERIES = {f.__name__: f for f in (
     eval_dataset, first_context, joined_contexts, eval_summary, eval_result, verdict_parse, sft_convert, sft_validate,
     length_stats, rouge_scores, rouge_l_scores, rouge_full_scores, rouge_stemming, first_tests, summary_file, rouge_stats, rouge_improvement, loss_series, loss_metric)}
 
-_CONTEXTS = """
-    c AS (SELECT doc_id - r + 1 AS query_id, r AS rank, text FROM documents, (SELECT unnest([1, 2, 3]) AS r)
-          WHERE doc_id IN (SELECT doc_id FROM labels))"""
+_CONTEXTS = f"""{RETRIEVED_SQL},
+    c AS (SELECT query_id, rank, t.text FROM found f JOIN texts t ON t.id = f.chunk_key)"""
 
 
 def _scores_sql(name: str, prediction: str) -> str:

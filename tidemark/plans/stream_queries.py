@@ -9,9 +9,8 @@ from tidemark.functions.uris import uri_bucket
 from tidemark.plans.tables import customer_patches, customer_records, documents_as_files, table
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_upload_events
-from tidemark.sources.writers import read_version, write_version
 from tidemark.streaming.imports import start_import
-from tidemark.streaming.updates import start_customer_updates
+from tidemark.streaming.updates import CustomerTable, start_customer_merges
 
 CORPUS = "stream-check"
 DIMS = 768
@@ -58,22 +57,28 @@ def stream_chunks(spark, sf_dir):
 
 
 def customer_feed(spark, sf_dir):
-    """The customer table after the patch feed has been streamed in, in several batches."""
-    base, landing = scratch_path(spark, "customers"), scratch_path(spark, "patches")
+    """The customer table after the patch feed has been streamed in, in several batches that each rewrite what they touch.
+    Every tenth order sends a patch that is no JSON beside it: those are told as rows without a customer."""
+    table, landing = CustomerTable(scratch_path(spark, "customers")), scratch_path(spark, "patches")
     options = {"ignoreNullFields": "false"}
-    write_version(customer_records(spark, sf_dir).withColumn("fields", F.to_json("fields", options)), base)
+    table.create(customer_records(spark, sf_dir).withColumn("fields", F.to_json("fields", options)),
+                 [("event_ts", "timestamp_ntz"), ("event_no", "bigint")])
     patches, offsets = customer_patches(spark, sf_dir), scratch_path(spark, "offsets")
+    broken = patches.filter("event_no % 10 = 0").withColumn("patch", F.concat(F.lit("no JSON "), F.col("event_no").cast("string")))
+    sent = patches.unionByName(broken)
     for run in range(PATCH_RUNS):  # patches of all times arrive in each batch, so older ones come late
-        patches.filter(F.pmod(F.xxhash64("event_no"), F.lit(PATCH_RUNS)) == run).write.mode("append").parquet(landing)
+        sent.filter(F.pmod(F.xxhash64("event_no"), F.lit(PATCH_RUNS)) == run).write.mode("append").parquet(landing)
         feed = spark.readStream.schema("customer_id bigint, patch string, event_ts timestamp_ntz, event_no bigint").parquet(landing)
-        start_customer_updates(feed, base, offsets, ["event_ts", "event_no"]).awaitTermination()
+        start_customer_merges(feed, table, offsets, ["event_ts", "event_no"]).awaitTermination()
 
     def field(name):
         return F.get_json_object("fields", f"$.{name}")
 
-    return read_version(spark, base).select(
+    stored = table.records.read(spark).select(
         F.col("customer.customer_id").alias("customer_id"), field("lastOrder").alias("last_order"),
         field("lastPriority").alias("last_priority"), field("address.street").alias("street"))
+    told = spark.read.parquet(f"{table.path}/rejected").select(F.col("patch").alias("street"))
+    return stored.unionByName(told, allowMissingColumns=True)
 
 
 QUERIES = {f.__name__: f for f in (stream_import, stream_quarantine, stream_chunks, customer_feed)}
@@ -99,5 +104,6 @@ SQL = {
              o AS (SELECT o_custkey AS id, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS ord FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
         SELECT c_custkey AS customer_id, ord::varchar AS last_order, prio AS last_priority,
                coalesce(prio, split_part(c_name, '#', 2) || ' Main Street') AS street
-        FROM customer LEFT JOIN f ON f.id = c_custkey LEFT JOIN o ON o.id = c_custkey""",
+        FROM customer LEFT JOIN f ON f.id = c_custkey LEFT JOIN o ON o.id = c_custkey
+        UNION ALL SELECT NULL, NULL, NULL, 'no JSON ' || o_orderkey FROM orders WHERE o_orderkey % 10 = 0""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.catalog import number_batches
 from tidemark.session import checkpointed
+from tidemark.sources.commits import CommitLog
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -34,14 +35,19 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def append_valid(df: DataFrame, valid, path: str, errors_path: str) -> None:
+def append_valid(df: DataFrame, valid, path: str, errors_path: str, batch_id: int | None = None) -> None:
     """Append valid rows; rejected rows go to the errors path instead of stopping the run.
 
-    The rows are staged once, so an embedder runs once a row and a row is in exactly one output.
+    The rows are staged once, so an embedder runs once a row and a row is in exactly one output. With a ``batch_id`` both
+    outputs are keyed by it (a partition column of that name), and a repeated call replaces what it wrote before.
     """
     once = checkpointed(df.withColumn("_valid", F.coalesce(valid, F.lit(False))))
-    once.filter("_valid").drop("_valid").write.mode("append").parquet(path)
-    once.filter("not _valid").drop("_valid").write.mode("append").parquet(errors_path)
+    for rows, target in ((once.filter("_valid"), path), (once.filter("not _valid"), errors_path)):
+        writer = rows.drop("_valid").write
+        if batch_id is None:
+            writer.mode("append").parquet(target)
+        else:
+            writer.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
 
 # Elements of one JSON array file.
@@ -75,12 +81,29 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Rewrite a whole table as a new version. Readers switch when the write has finished."""
-    version = (_versions(df.sparkSession, path) or [0])[-1] + 1
+    """Rewrite a whole table as a new version. Readers switch when the write has finished.
+
+    The number is claimed in a commit log first, so two writers never write to one version.
+    """
+    spark = df.sparkSession
+
+    def claim(state: dict | None) -> dict:
+        return {"version": max((state or {"version": 0})["version"], (_versions(spark, path) or [0])[-1]) + 1}
+
+    version = CommitLog(spark, f"{path}/_claims").update(claim)[1]["version"]
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
     return version
 
 
+def remove_versions(spark: SparkSession, path: str, keep: int = 1) -> list[int]:
+    """Remove all finished versions but the last ``keep``; returns their numbers. Call it where nobody reads them."""
+    versions = _versions(spark, path)
+    kept = {f"version={v}" for v in versions[-keep:]}
+    unfinished = max(versions, default=0)
+    CommitLog(spark, f"{path}/_claims").remove_folders(path, kept | {"_claims"} | {f"version={v}" for v in range(unfinished + 1, unfinished + 1000)})
+    return versions[:-keep]
+
+
 def has_version(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path))
 
