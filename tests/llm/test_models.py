@@ -131,11 +131,48 @@ def test_the_host_decides_where_a_page_is_unsure(spark, monkeypatch):
     for most in (html_text.MOST_BROADCAST, -1):
         monkeypatch.setattr(html_text, "MOST_BROADCAST", most)
         got = sorted((r.page_id, r.main_text) for r in html_text.extract_main_text(df).collect())
-        assert (8, "tiny") in got and (8, "") in got and (9, long.strip()) in got and (10, "") in got and (11, "no container") in got
+        # A winner that holds little of a page doesn't count for it.
+        assert (8, long.strip()) in got and (8, "") in got and (9, long.strip()) in got and (10, "") in got and (11, "no container") in got
         assert len(got) == len(rows)
     assert html_text.extract_main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("body, want", [
+    # An article's own header, and sections whose class holds a word of the site's parts.
+    ("<article><header class=entry-header><h1>Title</h1></header><p>Text</article>", "Title\nText"),
+    ("<article><div class=article-header><h1>Title</h1></div><section class=social-history><p>Text</section></article>", "Title\nText"),
+    ("<article><h1>Title</h1><p>Text<div class=comments><p>No</div><div class=ad-slot>No</div><form>No</form><footer>No</footer></article>", "Title\nText"),
+    # Blocks and inline elements judged by their names; hidden ones.
+    ("<article><p>One<p class=advert>No<p>Two <span class=ad>no</span>end<p role=alert class=cookie-notice>No</p><p hidden>No</p></article>", "One\nTwo end"),
+    ("<article><p>One<div hidden>No</div><p>Two <a class=skip-link href=x>no</a>end<p data-x='hidden'>Three</article>", "One\nTwo end\nThree"),
+    ("<article><p>One <span class=ad>left open<p>Two</article>", "One left open\nTwo"),
+    # Several articles, with and without classes of their own; a reader's comment is none.
+    ("<article class=a><p>One</article><article class=b><p>Two</article><div class=comments><article><p>No</article></div>", "One\nTwo"),
+    ("<div class=x><main><h1>T</h1><article class=a><p>One</article></main></div><article class=related><p>No</article>", "T\nOne"),
+    # A short title beside the container that wins.
+    ("<div class=wrap><h1>Short</h1><div class=story><p>" + "many words of it " * 9 + "</div></div>", "Short\n" + ("many words of it " * 9).strip()),
+    ("<div class=wrap><h1>Short</h1><div class=x><p>" + "many words of it " * 9 + "<p>b</div></div>", "Short\n" + ("many words of it " * 9).strip() + "\nb"),
+    ("<h1>Site</h1><article><h2>Own</h2><p>Text</article>", "Own\nText"),
+    ("<article><p><a href=x>All of it is a link</a></article>", "All of it is a link")])
+def test_what_belongs_to_the_article(body, want):
+    assert html_text.main_text(html_text.read_page(f"<html><head><title>t</title></head><body>{body}</body></html>"), []) == want
+
+
+def test_a_winner_counts_where_it_holds_most_of_a_page(spark):
+    long = "many words of it " * 9
+    rows = [(i, f"https://h.example/{i}", f"<body><div class=story><p>{long}</div><div class=rest><p>end {i}</div>") for i in range(9)]
+    rows.append((9, "https://h.example/9", f"<body><div class=story>tiny</div><div class=long><p>{long}</div>"))
+    got = {r.page_id: r.main_text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert long.strip() in got[9] and all(long.strip() in got[i] for i in range(9))
+
+
+def test_a_very_long_page(spark):
+    body = "".join(f"<p>paragraph {i} of a long page</p>" for i in range(60_000))
+    df = spark.createDataFrame([(1, "https://h.example/", f"<body><article>{body}</article></body>")], "page_id bigint, url string, html string")
+    text = html_text.extract_main_text(df).first().main_text
+    assert text.count("\n") == 59_999 and text.endswith("paragraph 59999 of a long page")
+
+
 def test_given_pages_give_their_articles(spark):
     import html
     import re
