@@ -18,13 +18,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from tidemark.llm.chunks import Memory, encode_items, no_collection
+from tidemark.llm.chunks import IdMemory, encode_flat, gathered, no_collection
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column
 
@@ -70,11 +71,12 @@ def index_path(folder: str, part: int) -> str:
 
 
 class TextEncoder:
-    """Texts to id bytes. The tokenizer drops white space, so a text is cut at plain spaces and line breaks.
+    """Texts to ids. The tokenizer drops white space, so a text is cut at plain spaces and line breaks.
 
     A stretch that ends in a letter and then full stops or commas is cut there too, as the tokenizer never joins a letter and a
-    mark. Each distinct piece is encoded once by the library. Pieces of ASCII letters only, which normalising merely
-    lower-cases, go to the same model without the normaliser and the splitting pattern.
+    mark. Arrow tells the distinct stretches of a batch; each new piece is encoded once by the library, and the texts' ids are
+    gathered from one array. Pieces of ASCII letters only, which normalising merely lower-cases, go to the same model without the
+    normaliser and the splitting pattern.
     """
 
     def __init__(self, path: str):
@@ -85,33 +87,55 @@ class TextEncoder:
         if json.loads(self.tokenizer.to_str())["normalizer"] == _LOWER_CASING:
             self.plain = Tokenizer.from_file(path)
             self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
-        self.parts = Memory(self._encode_parts, MOST_PIECES)
-        self.stretches = Memory(self._join, MOST)
+        self.parts = IdMemory(self._encode_parts, MOST_PIECES, self.kind)
+        self.stretches = IdMemory(self._encode_stretches, MOST, self.kind)
 
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+    def _encode_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.plain:
-            return encode_items(self.tokenizer, parts, self.kind)
-        letters = [p.isascii() and p.isalpha() for p in parts]
-        plain = iter(encode_items(self.plain, [p.lower() for p, own in zip(parts, letters) if own], self.kind, whole_words=True))
-        other = iter(encode_items(self.tokenizer, [p for p, own in zip(parts, letters) if not own], self.kind))
-        return [next(plain) if own else next(other) for own in letters]
-
-    def _join(self, stretches: list[str]) -> list[bytes]:
-        cut = []
-        for whole in stretches:
-            core = whole.rstrip(".,")
-            # Western letters only: lower-cased they are still one letter, in every table of characters.
-            cut.append((core, whole[len(core):]) if core and core != whole and core[-1] < "\u0100" and core[-1].isalpha() else (whole,))
-        self.parts.learn(cut)
-        known = self.parts
-        return [known[c[0]] + known[c[1]] if len(c) == 2 else known[c[0]] for c in cut]
+            return encode_flat(self.tokenizer, parts.to_pylist(), self.kind)
+        letters = pc.ascii_is_alpha(parts)
+        own = letters.to_numpy(zero_copy_only=False)
+        plain, plain_lengths = encode_flat(self.plain, pc.ascii_lower(parts.filter(letters)).to_pylist(), self.kind, whole_words=True)
+        other, other_lengths = encode_flat(self.tokenizer, parts.filter(pc.invert(letters)).to_pylist(), self.kind)
+        lengths, starts = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        lengths[own], lengths[~own] = plain_lengths, other_lengths
+        starts[own], starts[~own] = np.cumsum(plain_lengths) - plain_lengths, len(plain) + np.cumsum(other_lengths) - other_lengths
+        return gathered(np.concatenate([plain, other]), starts, lengths), lengths
+
+    def _encode_stretches(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        core = pc.utf8_rtrim(stretches, ".,")
+        last = pc.utf8_slice_codeunits(core, -1, 1 << 30)
+        # Western letters only: lower-cased they are still one letter, in every table of characters.
+        cut = pc.and_(pc.not_equal(core, stretches), pc.and_(pc.utf8_is_alpha(last), pc.less(last, "\u0100")))
+        heads = pc.if_else(cut, core, stretches)
+        own = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        marks = [whole[len(head):] for whole, head in zip(stretches.take(pa.array(own)).to_pylist(), core.take(pa.array(own)).to_pylist())]
+        coded = pa.concat_arrays([heads, pa.array(marks, pa.string())]).dictionary_encode()
+        starts, lengths = self.parts.find(coded.dictionary)
+        piece = coded.indices.to_numpy()
+        # A stretch's pieces side by side: its head, then its marks.
+        order = np.argsort(np.concatenate([np.arange(len(heads)), own]), kind="stable")
+        starts, lengths = starts[piece], lengths[piece]
+        whole = lengths[:len(heads)].copy()
+        whole[own] += lengths[len(heads):]
+        return gathered(self.parts.ids, starts[order], lengths[order]), whole
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids side by side, and how many each text has."""
+        with no_collection():
+            split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            coded = split.flatten().dictionary_encode()
+            starts, lengths = self.stretches.find(coded.dictionary)
+            at = coded.indices.to_numpy()
+            lengths = lengths[at]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            bounds = split.offsets.to_numpy()
+            return gathered(self.stretches.ids, starts[at], lengths), np.diff(ends[bounds - bounds[0]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        with no_collection():
-            split = [t.replace("\n", " ").split(" ") for t in texts]
-            self.stretches.learn(split)
-            known = self.stretches.__getitem__
-            return [b"".join(map(known, s)) for s in split]
+        """Each text's ids as bytes."""
+        ids, lengths = self.encode_array(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(lengths)[:-1])] if len(texts) else []
 
 
 @lru_cache(maxsize=2)
@@ -122,22 +146,22 @@ def _text_encoder(path: str) -> TextEncoder:
 def _shard_writer(folder: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = _text_encoder(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], encoder.kind).tobytes()
         sizes, keys, nulls, listed = [], [], 0, []
 
         def payload() -> Iterator[bytes]:
             nonlocal nulls
             for batch in batches:
-                for part in pieces(batch, most_bytes=2 << 20):
+                for part in pieces(batch):
                     ids, first = column(part, "id"), sum(map(len, sizes))
                     nulls += ids.null_count
-                    coded = [c + end for c in encoder.encode(text_column(part).to_pylist())]
-                    sizes.append(np.array([len(c) // encoder.kind.itemsize for c in coded], np.int64))
+                    coded, size = encoder.encode_array(text_column(part))
+                    coded = np.insert(coded, np.cumsum(size), end_id)
+                    sizes.append(size + 1)
                     keys.append(ids.fill_null(0).to_numpy())
                     listed.append(pa.record_batch({
                         "id": ids, "shard": pa.array(np.full(len(ids), shard, np.int32)),
                         "place": pa.array(np.arange(first, first + len(ids))), "n_tokens": pa.array(sizes[-1])}))
-                    yield b"".join(coded)
+                    yield coded.tobytes()
             own = np.concatenate([np.zeros(0, np.int64), *sizes])
             yield np.concatenate([[0], np.cumsum(own)]).astype("<i8").tobytes()
             yield np.concatenate([np.zeros(0, np.int64), *keys]).astype("<i8").tobytes()
