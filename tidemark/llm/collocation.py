@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import column, pieces, shuffle_width, staged, text_column, utf8
+from tidemark.llm.staging import column, pieces, shuffle_width, staged, text_column, tidy, utf8
 from tidemark.llm.words import lower_ascii, mix, window_hashes, word_hashes, word_spans
 from tidemark.operators.ordered import top_k
 
@@ -22,7 +22,7 @@ BREAKS, BLANKS, NO_LANG = b".,;:!?\n\x0b\x0c\r", b" \t", "und"
 #: Text of a hash partition, at most about so many bytes: its summary takes about half as many.
 PARTITION_BYTES = 256 << 20
 #: Text looked at together, and phrases held by a task before they are handed on.
-_TEXT, _HELD = 4 << 20, 4 << 20
+_TEXT, _HELD = 2 << 20, 2 << 20
 #: Bits of the filter for each survivor, and at most in all: 2**27 bits are 16 MB, whatever the number of survivors.
 BITS_PER_SURVIVOR, MOST_BITS = 16, 1 << 27
 #: Parts of phrases are looked up in so many slices.
@@ -155,8 +155,8 @@ def _summarised(most_words: int, parts: int):
     """A task's phrases, counted in bounded portions: for each hash partition their mass, and packed keys with counts."""
 
     def portion(held: list[np.ndarray]) -> pa.RecordBatch:
-        bucket, key = partition_and_key(np.concatenate(held), parts)
-        both = np.sort((bucket.astype(np.uint64) << np.uint64(32)) | key)
+        both = np.concatenate([_dealt(h, parts) for h in held])
+        both.sort()
         first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
         counts = np.diff(np.append(first, len(both)))
         bucket, key = (both[first] >> np.uint64(32)).astype(np.int64), both[first].astype(np.uint32)
@@ -185,6 +185,12 @@ def _summarised(most_words: int, parts: int):
     return run
 
 
+def _dealt(h: np.ndarray, parts: int) -> np.ndarray:
+    """Partition and key in one number."""
+    bucket, key = partition_and_key(h, parts)
+    return (bucket.astype(np.uint64) << np.uint64(32)) | key
+
+
 def partition_and_key(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """The upper half of a hash deals it to its partition, the lower half is its key there."""
     upper = (h >> np.uint64(32)).astype(np.int64)
@@ -226,9 +232,9 @@ def possible_phrases(own: DataFrame, least: int, most_words: int) -> tuple[DataF
     width = shuffle_width(own.sparkSession)
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(width, size // PARTITION_BYTES)
-    packed = own.mapInArrow(_summarised(most_words, parts), "bucket int, mass bigint, once binary, often binary, counts binary")
+    packed = own.mapInArrow(tidy(_summarised(most_words, parts)), "bucket int, mass bigint, once binary, often binary, counts binary")
     dealt = packed.repartitionById(parts, "bucket").sortWithinPartitions("bucket", F.col("mass").isNull())
-    return staged(dealt.mapInArrow(_survivors(least), "bucket int, key bigint"), "collocation-possible"), parts
+    return staged(dealt.mapInArrow(tidy(_survivors(least)), "bucket int, key bigint"), "collocation-possible"), parts
 
 
 # ------------------------------------------------------------------------------------------------ exact counts
@@ -315,7 +321,7 @@ def count_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WO
     own = _own(docs, text_col, lang_col)
     possible, parts = possible_phrases(own, least, most_words)
     table, bits = _filter_bits(possible, most_bits)
-    counted = own.mapInArrow(_counted(most_words, parts, table, bits), "lang string, phrase string, words int, n bigint")
+    counted = own.mapInArrow(tidy(_counted(most_words, parts, table, bits)), "lang string, phrase string, words int, n bigint")
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("words") == 0))
 
 
