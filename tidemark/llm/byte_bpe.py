@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items, no_collection
-from tidemark.llm.staging import column, id_and_text, lists, pieces, text_column
+from tidemark.llm.staging import column, id_and_text, lists, pieces, text_column, tidy
 
 #: A cut that no match can cross: before a space that follows a character other than white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -158,7 +158,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     kinds = "id bigint, ids array<int>" + (", decoded binary" if decoded else "") + (", starts array<int>, ends array<int>" if offsets else "")
     run = _encode(tokenizer_json(ranks_path), pattern, offsets, decoded)
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, kinds).withColumnRenamed("id", id_col)
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run), kinds).withColumnRenamed("id", id_col)
 
 
 def _decode(spec: str):

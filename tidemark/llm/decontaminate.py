@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import column, id_and_text, lists, pieces, staged, text_column, utf8
+from tidemark.llm.staging import column, id_and_text, lists, pieces, staged, text_column, tidy, utf8
 from tidemark.llm.words import alphanumeric_table, lower_ascii, window_hashes, window_rows, word_hashes, word_spans
 
 WINDOW, SHINGLE = 10, 5
@@ -126,7 +126,7 @@ def prefixes(docs: DataFrame, shingles: DataFrame, widths: list[int]) -> DataFra
 
     An occurring window holds all its shingles, so a prefix of one token is enough.
     """
-    counts = docs.mapInArrow(_counts(widths, _sieve(shingles)), "h bigint, width int, n bigint").groupBy("h", "width").agg(
+    counts = docs.mapInArrow(tidy(_counts(widths, _sieve(shingles))), "h bigint, width int, n bigint").groupBy("h", "width").agg(
         F.sum("n").alias("n"))
     ranked = shingles.join(counts, ["h", "width"], "left")
     order = F.struct(F.coalesce("n", F.lit(0)), "h", "shift", "width").alias("rarest")
@@ -164,7 +164,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         _item_windows(window, shingle), "item bigint, win string, length int, shift int, width int, h bigint"), "benchmark")
     widths = sorted(r["width"] for r in shingles.select("width").distinct().collect())  # at most ``shingle`` of them
     tokens = staged(prefixes(own, shingles.drop("item").distinct(), widths), "prefixes")
-    places = own.mapInArrow(_candidates(widths, _sieve(tokens), window - 1, window), (
+    places = own.mapInArrow(tidy(_candidates(widths, _sieve(tokens), window - 1, window)), (
         "uid bigint, id bigint, n_words bigint, h array<bigint>, width array<int>, pos array<bigint>, lead array<bigint>, around array<string>"))
     each = places.select("uid", "id", "n_words", F.inline_outer(F.arrays_zip("h", "width", "pos", "lead", "around")))
     # A document without candidates meets no prefix; its own key keeps such rows apart.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column
+from tidemark.llm.staging import column, id_and_text, pieces, shuffle_width, staged, text_column, tidy
 
 BITS, SEED = 64, 42
 SHINGLE_WORDS, MOST_DIFFERENT = 3, 2
@@ -58,7 +58,7 @@ def _fingerprints(width: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
     """(id, print): 64-bit SimHash fingerprints as signed numbers. Null text is empty."""
-    return id_and_text(docs, id_col, text_col).mapInArrow(_fingerprints(width), "id bigint, print bigint")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(_fingerprints(width)), "id bigint, print bigint")
 
 
 def _bit_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.linear import fit_logistic, predict
-from tidemark.llm.staging import column, id_and_text, pieces, text_column
+from tidemark.llm.staging import column, id_and_text, pieces, text_column, tidy
 
 #: Words that place a toxic text in a category. A category's label is: labelled toxic, and one of its words occurs.
 CATEGORIES = {
@@ -88,7 +88,7 @@ def telling_words(rows: DataFrame, most: int = VOCABULARY) -> list[bytes]:
     n0, n1 = float(size.get(0, 0)), float(size.get(1, 0))
     if not n0 or not n1:
         return []
-    counts = rows.mapInArrow(_word_counts, "word binary, label int, n bigint").groupBy("word").agg(
+    counts = rows.mapInArrow(tidy(_word_counts), "word binary, label int, n bigint").groupBy("word").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b")).filter(F.col("a") + F.col("b") >= LEAST_ROWS)
 
@@ -149,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = usable.filter(~held_out("label_id")).orderBy(F.xxhash64("label_id"), "label_id").limit(most_labelled)
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "label")
     vocabulary = {w: i for i, w in enumerate(telling_words(rows))}
-    listed = rows.mapInArrow(_listed(vocabulary, categories), "id bigint, label int, found array<int>, marks array<boolean>")
+    listed = rows.mapInArrow(tidy(_listed(vocabulary, categories)), "id bigint, label int, found array<int>, marks array<boolean>")
     got = listed.orderBy(F.xxhash64("id"), "id").limit(most_labelled).collect()
     names = [*categories, LAST]
     if not got:
@@ -180,7 +180,7 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", keep: tuple[str
     own = docs.select(F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.lit(0).alias("one")).alias("row"),
                       F.col(text_col).cast("string").alias("text"))
     kind = own.schema["row"].dataType.simpleString()
-    got = own.mapInArrow(_scored(chain), f"row {kind}, " + ", ".join(f"`{n}` double" for n in chain.names))
+    got = own.mapInArrow(tidy(_scored(chain)), f"row {kind}, " + ", ".join(f"`{n}` double" for n in chain.names))
     return got.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)), *(F.col(n).alias(f"p_{n}") for n in chain.names))
 
 
