@@ -18,6 +18,8 @@ SPECS = [
     ('{"product_specification"=>[{"key"=>"only"}, "text", {"key"=>"", "value"=>"v"}, {"key"=>"k", "value"=>""}]}', "v"),
     ('{"other"=>1}', ""), ("nil", ""), ("null", ""), ("5", ""), ("", ""), ('{"product_specification"=>[]}', ""),
     ('{"product_specification"=>[{"key"=>"a=>b", "value"=>"c"}]}', "a:b: c"),
+    ("{'product_specification'=>({'key'=>'it\\'s', 'value'=>None}, {'key'=>'x', 'value'=>'\\x41'}, {'key'=>'n', 'value'=>(1, 2)})}", "x: A, n: [1,2]"),
+    ("[{'key'=>'a', 'value'=>True}, {'value'=>'t' 'wo'}]", "a: True, two"), ("{'product_specification'=>[b'x']}", ""), ("(1, 2", ""),
 ]
 CATEGORIES = [
     ('["A >> B >> C >> D >> E >> F"]', "A, B, C, D, E"), ("plain", "plain"), ('["Home, Garden >> Pots"]', "Home, Garden, Pots"),
@@ -85,3 +87,25 @@ def test_numbered_batches_have_exact_sizes(spark):
         F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).collect()}
     assert sizes == {1: (500, 0, 499), 2: (500, 500, 999), 3: (200, 1000, 1199)}
     assert len(set(r[0] for r in rows.select(F.input_file_name()).distinct().collect())) == 3
+
+
+def test_literals_equal_their_values(fixed):
+    import ast
+    import json
+    import random
+
+    from tidemark.functions.literals import json_of_literal, literal_json
+    rng = random.Random(3)
+
+    def value(depth):
+        kind = rng.randrange(9 if depth else 6)
+        if kind < 6:
+            return [None, True, rng.randrange(-9, 10**6), rng.uniform(-1, 1), "".join(rng.choices("ab'\"\\\n\t é漢😀\x07", k=rng.randrange(6))), ""][kind]
+        inner = [value(depth - 1) for _ in range(rng.randrange(4))]
+        return [inner, tuple(inner), {str(i): v for i, v in enumerate(inner)}][kind - 6]
+
+    texts = [repr(value(3)) for _ in range(300)]
+    got = [r[0] for r in fixed("no int, t string", *enumerate(texts)).orderBy("no").select(literal_json(F.col("t"))).collect()]
+    for text, found in zip(texts, got):
+        assert json.loads(found) == json.loads(json.dumps(ast.literal_eval(text)))
+    assert [json_of_literal(t) for t in ("f()", "1 +", "{1: {2}}", "1e999", None, "[" * 100_000)] == [None, None, '{"1": [2]}', None, None, None]

@@ -94,6 +94,17 @@ def test_samples_and_splits(spark):
     assert train.count() + test.count() == 5000 and train.join(test, "key").count() == 0
 
 
+def test_capped_samples_have_the_size_asked_for_and_are_even(spark):
+    df = spark.range(0, 40_000, 1, 16).withColumn("part", F.spark_partition_id())
+    sample = models.random_sample(df, 0.5, 4_000)
+    per_part = {r.part: r["count"] for r in sample.groupBy("part").count().collect()}
+    assert sum(per_part.values()) == 4_000 == sample.select("id").distinct().count()
+    assert len(per_part) == 16 and all(abs(n - 250) < 5 * 250 ** 0.5 for n in per_part.values())
+    assert 1_700 < models.random_sample(df, 0.05, 50_000).count() < 2_300  # the share is less than the cap
+    assert models.random_sample(df, 1.0, 50_000).count() == 40_000 and models.random_sample(df.limit(0), 0.5, 5).count() == 0
+    assert models.random_sample(df, 0.5, 0).count() == 0
+
+
 @pytest.fixture(scope="module")
 def fares(spark):
     rng = np.random.default_rng(5)

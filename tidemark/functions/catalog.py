@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import literal_json
 from tidemark.functions.text import strip
 
 # Fixed value: category levels kept.
@@ -12,8 +13,10 @@ CATEGORY_LEVELS = 5
 
 
 def parse_loose_json(c: Column) -> Column:
-    """JSON text as VARIANT; single-quoted text is accepted as well, anything else is null."""
-    return F.coalesce(F.try_parse_json(c), F.when(F.contains(c, F.lit("'")), F.from_json(c, "variant")))
+    """JSON text as VARIANT; single-quoted text and Python literals (tuples, None, escapes) are accepted as well, anything else is
+    null. Only texts that are no JSON meet Python."""
+    known = F.coalesce(F.try_parse_json(c), F.when(F.contains(c, F.lit("'")), F.from_json(c, "variant")))
+    return F.coalesce(known, F.try_parse_json(literal_json(F.when(known.isNull(), c))))
 
 
 def _path(variant: Column, path: str, kind: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bucket
+from tidemark.session import checkpointed
 
 # Sampling and training defaults.
 SAMPLE_SHARE = 0.05
@@ -30,9 +32,23 @@ CATEGORICAL = ("payment_type", "company")
 
 def random_sample(df: DataFrame, share: float = SAMPLE_SHARE, rows: int | None = SAMPLE_ROWS,
                   seed: int = SEED) -> DataFrame:
-    """A random share of the rows, capped at a row count (the sampling feature itself)."""
-    sampled = df.sample(share, seed)
-    return sampled.limit(rows) if rows is not None else sampled
+    """A random share of the rows, capped at a row count (the sampling feature itself).
+
+    Each row draws a number, and the rows with the smallest ones stay: as many as are asked for, or all below ``share`` if those are
+    fewer, evenly over all partitions. A capped sample first keeps what lies below a bound that leaves some more than ``rows``;
+    only those are ranked, so no task holds more.
+    """
+    if rows is None:
+        return df.sample(share, seed)
+    drawn = df.withColumn("_drawn", F.rand(seed))
+    bound = min(share, (rows + 6 * math.sqrt(rows) + 10) / max(1, df.count()))
+    while True:
+        some = checkpointed(drawn.filter(F.col("_drawn") < bound))
+        if some.count() >= rows:
+            return some.orderBy("_drawn").limit(rows).drop("_drawn")
+        if bound >= share:
+            return some.drop("_drawn")
+        bound = min(share, 2 * bound)
 
 
 def hash_sample(df: DataFrame, key: str, buckets: int = 100, chosen: int = 1) -> DataFrame:

@@ -15,6 +15,8 @@ LEVELS = ("payment_type", "pickup_community_area", "dropoff_community_area")
 ITEM_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 BINS = 10
 CHECK_TREES = 100
+#: Rows of the capped sample.
+CAPPED_ROWS = 200
 LEAST_R2 = 0.9
 FEATURE_TABLE = "tidemark_trip_features"
 
@@ -80,6 +82,17 @@ def sample_random(spark, sf_dir):
         "rows", (F.col("off") < models.SAMPLE_SHARE / 4).alias("share_holds"))
 
 
+def sample_capped(spark, sf_dir):
+    """What can be said of a capped sample: exactly as many rows as the cap, the table's own, and as many from its first half as
+    from its second, give or take five standard deviations."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    sample = models.random_sample(items, rows=CAPPED_ROWS)
+    half = items.agg(F.percentile_approx("l_orderkey", 0.5)).first()[0]
+    own = sample.join(items, ["l_orderkey", "l_linenumber"], "left_semi").distinct()
+    return own.agg(F.count("*").alias("rows"), F.count_if(F.col("l_orderkey") <= half).alias("low")).select(
+        "rows", (F.abs(F.col("low") - CAPPED_ROWS / 2) < 5 * CAPPED_ROWS ** 0.5 / 2).alias("even"))
+
+
 def sample_hash(spark, sf_dir):
     return models.hash_sample(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
@@ -161,7 +174,7 @@ def fare_attributions(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     trip_features, trip_feature_table, trip_outliers, trip_encode, trip_value_counts, trip_profile, trip_describe,
-    trip_histogram, trip_boxplot, trip_corr, sample_random, sample_hash, split_hash, fare_linear, regression_metrics,
+    trip_histogram, trip_boxplot, trip_corr, sample_random, sample_capped, sample_hash, split_hash, fare_linear, regression_metrics,
     fare_model, fare_gbt, fare_predict, fare_attributions)}
 
 _TRIPS = """
@@ -261,6 +274,8 @@ SQL = {
         UNION ALL SELECT event_id, 2, round(0.75 * (c - ac), 4) FROM v, a""",
     "fare_model": f"WITH {_priced(75)} SELECT split, count(*) AS n, true AS fits FROM x GROUP BY split",
     "fare_gbt": f"WITH {_priced(80)} SELECT split, count(*) AS n, true AS fits FROM x GROUP BY split",
+    "sample_capped": f"""SELECT least(count(*), {CAPPED_ROWS}) AS rows, true AS even
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "sample_random": "SELECT count(*) AS rows, true AS share_holds FROM orders",
     "regression_metrics": f"""WITH {_priced(80)}
         SELECT split, count(*) AS n, round(sqrt(avg(pow(target - 3 - 2 * trip_miles, 2))), 6) AS rmse,
