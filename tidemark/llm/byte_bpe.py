@@ -138,7 +138,10 @@ def _encode(spec: str, pattern: str, offsets: bool, decoded: bool):
                     for k, name in enumerate(("starts", "ends")):
                         out[name] = lists(np.concatenate([e[k] for e in each]).astype(np.int32), ends, pa.int32())
                 yield pa.record_batch(out)
+        # A worker lives on after its task, beside those of later stages: the tokenizer goes too, and is made again in a moment.
         encoder.forget()
+        _encoder.cache_clear()
+        _byte_table.cache_clear()
 
     return run
 
