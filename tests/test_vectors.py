@@ -210,3 +210,22 @@ def test_embedding_payload_shapes(fixed):
     df = fixed("embeddings struct<values:array<double>>, values array<double>", (([1.0],), None), (None, [2.0]), (None, None))
     got = [(r.embedding, r.error) for r in embedding_of_payload(df).collect()]
     assert got == [([1.0], None), ([2.0], None), (None, "Unknown embedding response format")]
+
+
+def test_embedder_works_on_bounded_parts_and_odd_texts(spark, monkeypatch):
+    import pyarrow as pa
+    from tidemark.functions import embed
+
+    texts = ["", "a  b\ta", "\x0bé  x\n", "long " * 400, None, "z", "  y\x1fy"]
+    monkeypatch.setattr(embed, "_BYTES_AT_ONCE", 30)
+    parts = list(embed._parts(pa.array([t or "" for t in texts])))
+    assert sum(map(len, parts)) == len(texts) and all(len(p) == 1 or sum(len(t.as_py().encode()) for t in p) <= 30 for p in parts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.e for r in rows.repartition(2).select("i", hashed_embedder(16)(F.col("t")).alias("e")).collect()}
+    for i, text in enumerate(texts):
+        want = np.zeros(16)
+        for token in (t for t in __import__("re").split(r"[ \t\n\r\f\x0b]+", (text or "").lower()) if t):
+            code = token_cell(token, 16)
+            want[code // 2] += -1 if code % 2 else 1
+        want = (want / (np.linalg.norm(want) or 1)).astype(np.float32)
+        assert np.allclose(got[i], want, atol=1e-7)

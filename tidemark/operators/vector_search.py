@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
 
+from tidemark.functions.memory import give_back
 from tidemark.operators.ordered import top_k
 
 # Retrieval defaults.
@@ -34,6 +35,8 @@ MAX_IMAGE_NEIGHBOURS = 10
 
 BLOCK_BYTES = 1 << 20
 BROADCAST_LIMIT = 64 << 20
+#: Blocks that leave a task at once hold about so many bytes.
+PACKED_BYTES = 4 << 20
 MEASURES = ("dot", "euclidean", "cosine")
 # Distances are compared at this many decimals so that the last bits of a
 # matrix product cannot change the order of equal rows.
@@ -63,6 +66,11 @@ def common_dtype(*sides: tuple[DataFrame, VectorColumns]) -> str:
     return "float64" if wide else "float32"
 
 
+def matrix_of(vectors: pa.Array, dtype: str) -> np.ndarray:
+    """Vectors of one length as rows of a matrix, without an object for each number."""
+    return pc.list_flatten(vectors).to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(len(vectors), -1)
+
+
 def unusable_vectors(df: DataFrame, columns: VectorColumns, dims: int) -> DataFrame:
     """Ids whose vector can't be searched with ``dims`` numbers, with the reason: (id, reason)."""
     size = F.size(columns.vector)
@@ -95,6 +103,16 @@ def pack_vectors(df: DataFrame, columns: VectorColumns, key: Column | None = Non
         StructField(ids_name, ArrayType(id_type)),
         StructField(vectors_name, BinaryType())])
 
+    def blocks(batch: pa.RecordBatch, order: np.ndarray, edges: list[int]) -> pa.RecordBatch:
+        """One block for each stretch of ``order`` between two edges."""
+        rows = batch.take(pa.array(order[edges[0]:edges[-1]]))
+        at = np.array(edges) - edges[0]
+        column = rows.column("vector")
+        packed = [pc.list_flatten(column.slice(a, b - a)).to_numpy(zero_copy_only=False).astype(dtype, copy=False).tobytes() for a, b in zip(at[:-1], at[1:])]
+        return pa.RecordBatch.from_arrays(
+            [rows.column("key").take(pa.array(at[:-1])), pa.ListArray.from_arrays(pa.array(at, pa.int32()), rows.column("id")), pa.array(packed, pa.binary())],
+            names=[key_name, ids_name, vectors_name])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -103,18 +121,20 @@ def pack_vectors(df: DataFrame, columns: VectorColumns, key: Column | None = Non
             order = np.argsort(keys, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
             ends = np.r_[starts[1:], len(order)]
-            rows, cuts, blocks = batch.take(pa.array(order)), [], []
-            for start, end in zip(starts, ends):
-                vectors = pc.list_flatten(rows.column("vector").slice(start, end - start)).to_numpy(zero_copy_only=False)
-                matrix = vectors.astype(dtype, copy=False).reshape(end - start, -1)
-                step = rows_per_block(matrix.shape[1])
-                for low in range(0, end - start, step):
-                    cuts.append(start + low)
-                    blocks.append(matrix[low:low + step].tobytes())
-            offsets = pa.array(cuts + [len(order)], type=pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("key").take(pa.array(cuts)), pa.ListArray.from_arrays(offsets, rows.column("id")), pa.array(blocks, type=pa.binary())],
-                names=[key_name, ids_name, vectors_name])
+            lengths = pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False)
+            edges, size = [0], 0
+            for start, end in zip(starts.tolist(), ends.tolist()):
+                dims = int(lengths[order[start]])
+                step = rows_per_block(dims)
+                for low in range(start, end, step):
+                    edges.append(min(low + step, end))
+                    size += (edges[-1] - low) * row_bytes(dims, dtype)
+                    if size >= PACKED_BYTES:
+                        yield blocks(batch, order, edges)
+                        edges, size = edges[-1:], 0
+            if len(edges) > 1:
+                yield blocks(batch, order, edges)
+            give_back()
 
     return source.mapInArrow(pack, schema)
 
@@ -184,6 +204,7 @@ def score_blocks(pairs: DataFrame, k: int, measure: str, threshold: float | None
                     yield pa.RecordBatch.from_arrays(
                         [left.take(pa.array(rows)), right.take(pa.array(by_id[columns])), pa.array(d[rows, columns])],
                         names=[query_id, corpus_id, "distance"])
+            give_back()
 
     return pairs.select("q_ids", "q_vectors", "c_ids", "c_vectors").mapInArrow(score, schema)
 
@@ -196,7 +217,7 @@ def paired_distances(pairs: DataFrame, measure: str, dtype: str = "float32") ->
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q, c = (np.stack([np.asarray(v, dtype) for v in batch.column(i).to_pylist()]).astype(np.float64) for i in (2, 3))
+            q, c = (matrix_of(batch.column(i), dtype).astype(np.float64) for i in (2, 3))
             if measure == "euclidean":
                 d = np.sqrt(((q - c) ** 2).sum(axis=1))
             else:
