@@ -150,3 +150,38 @@ def test_index_search_rejects_bad_arguments(clustered):
     for arguments in ({"k": 0}, {"measure": "manhattan"}, {"k": 200}):
         with pytest.raises(ValueError):
             search_index(queries, index, **arguments)
+
+
+def test_candidates_leave_a_task_in_bounded_batches():
+    """A task's batch holds hundreds of block pairs, each with many candidates: they must not pile up."""
+    import pyarrow as pa
+    from pyspark.sql.types import ArrayType, LongType, StructType
+
+    from tidemark.operators import residual_codes, vector_index
+
+    class Pairs:
+        schema = StructType().add("q_ids", ArrayType(LongType())).add("c_ids", ArrayType(LongType()))
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    rng = np.random.default_rng(1)
+    books = rng.normal(size=(2, residual_codes.ENTRIES, residual_codes.GROUP)).astype(np.float32)
+    n, rows, pairs = 300, 90, 6
+    q, codes = rng.normal(size=(n, 8)).astype(np.float32), rng.integers(0, 256, (pairs, rows, 2)).astype(np.uint8)
+    ids = list(range(n))
+    batch = pa.record_batch({
+        "q_ids": pa.array([ids] * pairs), "q_vector": pa.array([q.tobytes()] * pairs), "q_shift": pa.array([np.zeros(n).tobytes()] * pairs),
+        "q_own": pa.array([np.ones(n).tobytes()] * pairs), "c_coarse": pa.array(range(pairs), pa.int32()), "c_folder": pa.array(["f"] * pairs),
+        "c_row_no": pa.array([list(range(rows))] * pairs), "c_ids": pa.array([list(range(rows))] * pairs),
+        "c_code": pa.array([c.tobytes() for c in codes]), "c_length": pa.array([np.ones(rows).tobytes()] * pairs)})
+    run = vector_index._code_candidates(Pairs(), books, 80, "dot", "query_id")
+    out = list(run(iter([batch])))
+    assert max(b.num_rows for b in out) <= 1 << 16 and sum(b.num_rows for b in out) == n * 80 * pairs
+    table = pa.Table.from_batches(out).to_pylist()
+    near = 1 - np.einsum("qgj,rgj->qr", q.reshape(n, 2, 4), np.stack([books[g][codes[3][:, g]] for g in range(2)], axis=1))
+    best = sorted((r["near"], r["doc"]) for r in table if r["query_id"] == 7 and r["coarse"] == 3)
+    assert np.allclose([b[0] for b in best], np.sort(near[7])[:80], atol=1e-5)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def train_books(rests: DataFrame, column: str, dims: int, path: str, seed: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                matrix = np.stack([np.asarray(v, np.float32) for v in batch.column(0).to_pylist()])
+                matrix = pc.list_flatten(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(batch.num_rows, -1)
                 parts = grouped(matrix)
                 yield pa.record_batch({"part": pa.array(range(n), pa.int32()),
                                        "points": pa.array([np.ascontiguousarray(parts[:, g]).tobytes() for g in range(n)], pa.binary())})
@@ -98,7 +99,8 @@ def code_column(rest: Column, books: np.ndarray) -> Column:
     def coded(column: pd.Series) -> pd.Series:
         if not len(column):
             return pd.Series([], dtype=object)
-        return pd.Series([row.tobytes() for row in encode(np.stack(column.to_numpy()), books)])
+        parts = (column.iloc[low:low + 1024].to_numpy() for low in range(0, len(column), 1024))
+        return pd.Series([row.tobytes() for part in parts for row in encode(np.stack(part), books)])
     return coded(rest)
 
 

@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
+from tidemark.functions.memory import give_back
 from tidemark.operators import residual_codes
 from tidemark.operators.leaf_bounds import least_distances
 from tidemark.operators.ordered import global_row_number, top_k
 from tidemark.operators.vector_search import (BROADCAST_LIMIT, MEASURES, TOP_K, VectorColumns, best_places, common_dtype, id_order,
-                                              nearest, pack_vectors, paired_distances, query_side, row_bytes, score_blocks,
+                                              matrix_of, nearest, pack_vectors, paired_distances, query_side, row_bytes, score_blocks,
                                               usual_length)
 from tidemark.session import checkpointed
 from tidemark.sources.commits import CommitLog, Conflict
@@ -51,6 +52,8 @@ MOST_CENTROIDS, MOST_TRAINED = 1 << 14, 1 << 18
 #: A leaf is cut once it holds more than this many times its size.
 OVERFULL = 2
 
+#: What a task holds at once: bytes of look-up tables, candidates that leave it, and queries that meet a block of balls.
+TABLE_BYTES, ROWS_AT_ONCE, BOUNDED_AT_ONCE = 16 << 20, 1 << 16, 128
 #: A leaf in a broadcast list of leaves, and a candidate.
 LEAF_BYTES, CANDIDATE_BYTES = 32, 128
 
@@ -343,7 +346,7 @@ def _replace_cells(log: CommitLog, seen: Generation, folder: str, cells: list[in
 def _part_balls(cut: DataFrame, vector: str) -> DataFrame:
     """Balls around the parts' mean vectors. A part has at most the leaf size of rows."""
     def ball(table: pa.Table) -> pa.Table:
-        matrix = np.stack([np.asarray(v, np.float64) for v in table.column(vector).to_pylist()])
+        matrix = matrix_of(table.column(vector).combine_chunks(), "float64")
         center = matrix.mean(axis=0)
         off = np.sqrt(((matrix - center) ** 2).sum(axis=1)).max()
         length = table.column("length").to_numpy()
@@ -453,10 +456,13 @@ def _passing(queries: DataFrame, query: VectorColumns, balls: DataFrame, ball_id
             for i in range(batch.num_rows):
                 left, right = (batch.column(c)[i].values for c in (0, 2))
                 q, c = (np.frombuffer(batch.column(j)[i].as_buffer(), np.float64).reshape(len(ids), -1) for j, ids in ((1, left), (3, right)))
-                bound = least_distances(q[:, :-1], c[:, :-3], c[:, -3], c[:, -2], c[:, -1], measure)
-                rows, columns = np.nonzero(bound <= q[:, -1:])
-                if len(rows):
-                    yield pa.RecordBatch.from_arrays([left.take(pa.array(rows)), right.take(pa.array(columns))], names=[query.id, "ball"])
+                for low in range(0, len(q), BOUNDED_AT_ONCE):
+                    part = q[low:low + BOUNDED_AT_ONCE]
+                    bound = least_distances(part[:, :-1], c[:, :-3], c[:, -3], c[:, -2], c[:, -1], measure)
+                    rows, columns = np.nonzero(bound <= part[:, -1:])
+                    if len(rows):
+                        yield pa.RecordBatch.from_arrays([left.take(pa.array(low + rows)), right.take(pa.array(columns))], names=[query.id, "ball"])
+            give_back()
 
     schema = StructType([StructField(query.id, pairs.schema["q_ids"].dataType.elementType), StructField("ball", pairs.schema["c_ids"].dataType.elementType)])
     return pairs.mapInArrow(passing, schema)
@@ -519,38 +525,46 @@ def _code_candidates(pairs: DataFrame, books: np.ndarray, keep: int, measure: st
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, np.ndarray] = {}
+        at_once = max(1, TABLE_BYTES // (4 * residual_codes.ENTRIES * len(books)))
         for batch in batches:
             held: list[pa.RecordBatch] = []
             for i in range(batch.num_rows):
-                ids, row_no, docs = (batch.column(c)[i].values for c in (0, 6, 7))
+                asked, row_no, docs = (batch.column(c)[i].values for c in (0, 6, 7))
                 vectors, shift, own, code, length = (batch.column(c)[i].as_buffer() for c in (1, 2, 3, 8, 9))
-                q = np.frombuffer(vectors, np.float32).reshape(len(ids), -1)
-                # Queries come in the same groups again and again: their tables are kept, 64 MB at most.
-                name = bytes(vectors)
-                tables = known.get(name)
-                if tables is None:
-                    tables = residual_codes.look_up_tables(q, books)
-                    if sum(t.nbytes for t in known.values()) + tables.nbytes > 64 << 20:
-                        known.clear()
-                    known[name] = tables
                 by_id = id_order(docs)
                 codes = np.frombuffer(code, np.uint8).reshape(len(row_no), -1)[by_id]
-                inner = residual_codes.products(tables, codes) + np.frombuffer(shift, np.float64)[:, None]
-                mine, other = np.frombuffer(own, np.float64)[:, None], np.frombuffer(length, np.float64)[by_id]
-                if measure == "euclidean":
-                    near = np.sqrt(np.maximum(mine ** 2 + other ** 2 - 2 * inner, 0))
-                elif measure == "cosine":
-                    near = 1 - inner / np.where(mine * other > 0, mine * other, 1)
-                else:
-                    near = 1 - inner
-                rows, columns = best_places(near, keep, None)
-                place = pa.array(by_id[columns])
-                held.append(pa.RecordBatch.from_arrays([
-                    ids.take(pa.array(rows)), pa.array(np.full(len(rows), batch.column(4)[i].as_py(), np.int32)),
-                    pa.array([batch.column(5)[i].as_py()] * len(rows), pa.string()), row_no.take(place), docs.take(place),
-                    pa.array(near[rows, columns])], names=schema.names))
+                other = np.frombuffer(length, np.float64)[by_id]
+                all_q = np.frombuffer(vectors, np.float32).reshape(len(asked), -1)
+                for low in range(0, len(asked), at_once):
+                    ids, q = asked.slice(low, at_once), all_q[low:low + at_once]
+                    # Queries come in the same groups again and again: their tables are kept, four times TABLE_BYTES at most.
+                    name = q.tobytes()
+                    tables = known.get(name)
+                    if tables is None:
+                        tables = residual_codes.look_up_tables(q, books)
+                        if sum(t.nbytes for t in known.values()) + tables.nbytes > 4 * TABLE_BYTES:
+                            known.clear()
+                        known[name] = tables
+                    inner = residual_codes.products(tables, codes) + np.frombuffer(shift, np.float64)[low:low + at_once, None]
+                    mine = np.frombuffer(own, np.float64)[low:low + at_once, None]
+                    if measure == "euclidean":
+                        near = np.sqrt(np.maximum(mine ** 2 + other ** 2 - 2 * inner, 0))
+                    elif measure == "cosine":
+                        near = 1 - inner / np.where(mine * other > 0, mine * other, 1)
+                    else:
+                        near = 1 - inner
+                    rows, columns = best_places(near, keep, None)
+                    place = pa.array(by_id[columns])
+                    held.append(pa.RecordBatch.from_arrays([
+                        ids.take(pa.array(rows)), pa.array(np.full(len(rows), batch.column(4)[i].as_py(), np.int32)),
+                        pa.repeat(pa.scalar(batch.column(5)[i].as_py(), pa.string()), len(rows)), row_no.take(place), docs.take(place),
+                        pa.array(near[rows, columns])], names=schema.names))
+                    if sum(h.num_rows for h in held) >= ROWS_AT_ONCE:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches(ROWS_AT_ONCE)
+                        held = []
             if held:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches(ROWS_AT_ONCE)
+            give_back()
 
     return source.mapInArrow(best, schema)
 
