@@ -115,3 +115,29 @@ def test_empty_and_constant_tables(spark):
     model = boosting.fit_second_order_trees(same, "y", ["a", "b"], ["c"], trees=2)
     assert {r.prediction for r in boosting.predict_trees(model, same, ["id"]).collect()} == {4.0}
     assert boosting.tree_attributions(model, same, ["id"]).agg(F.sum("by_a")).first()[0] == 0
+
+
+def test_levels_are_compared_as_numbers_and_patterns_once(monkeypatch):
+    """Each level of a tree passes over all rows: no text is compared or sorted there, and attributions are made once a pattern."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    n, levels = 2000, ["x", "y", "", "z"]
+    drawn = rng.integers(0, 4, n)
+    a, y = rng.normal(size=n), rng.normal(size=n)
+    batch = pa.record_batch({"x0": pa.array(a), "c0": pa.array([levels[i] or None for i in drawn]), "margin": pa.array(np.zeros(n)), "label": pa.array(y)})
+    columns = boosting._columns(batch, 1, 1)
+    assert columns[1].codes.dtype.kind == "i" and ((columns[1] == "y") == (drawn == 1)).all() and not (columns[1] == "none").any()
+    model = boosting.BoostedTrees(["a"], ["c"], 0.0)
+    tree = boosting.Tree()
+    tree.add(n)
+    got = {(r["feature"], r["bin"], r["level"]): (r["g"], r["h"]) for b in boosting._histograms(model, tree, [0], [np.array([0.0])], 0, 2)(iter([batch]))
+           for r in b.to_pylist()}
+    for i, level in enumerate(levels):
+        assert got[1, -1, level] == (pytest.approx(-y[drawn == i].sum()), (drawn == i).sum())
+    assert got[0, 0, None] == (pytest.approx(-y[a < 0].sum()), (a < 0).sum())
+    tree.feature, tree.at, tree.level, tree.left, tree.value, tree.cover = [0, 1, -1, -1, -1], [0.0] + [None] * 4, [None, "y"] + [None] * 3, [1, 3, -1, -1, -1], [
+        0.0, 0.0, 2.0, 3.0, 5.0], [10.0, 6.0, 4.0, 1.0, 5.0]
+    listed = boosting.tree_shares(tree, columns)
+    monkeypatch.setattr(boosting, "LISTED", 0)
+    assert np.allclose(listed, boosting.tree_shares(tree, columns))

@@ -16,8 +16,24 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tidemark.operators.models import CATEGORICAL, LABEL, LEARNING_RATE, NUMERIC, TREE_DEPTH, TREES
 from tidemark.session import checkpointed
 
-#: Bins of a number, and trees between two writings of the rows' margins.
-BINS, WRITE_EVERY = 256, 10
+#: Bins of a number, trees between two writings of the rows' margins, and features of a path whose patterns of known ones are listed.
+BINS, WRITE_EVERY, LISTED = 256, 4, 10
+
+
+class Levels:
+    """A category of many rows as places in its list of levels, so that a level is compared as a number."""
+
+    def __init__(self, codes: np.ndarray, places: dict[str, int]):
+        self.codes, self.places = codes, places
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def __getitem__(self, rows: np.ndarray) -> Levels:
+        return Levels(self.codes[rows], self.places)
+
+    def __eq__(self, level: str) -> np.ndarray:
+        return self.codes == self.places.get(level, -1)
 
 
 @dataclass
@@ -38,7 +54,9 @@ class Tree:
         return len(self.cover) - 1
 
     def goes_left(self, node: int, columns: list[np.ndarray]) -> np.ndarray:
-        values = columns[self.feature[node]]
+        return self._left(node, columns[self.feature[node]])
+
+    def _left(self, node: int, values: np.ndarray | Levels) -> np.ndarray:
         return ~(values >= self.at[node]) if self.level[node] is None else values == self.level[node]
 
     def nodes(self, columns: list[np.ndarray]) -> np.ndarray:
@@ -47,7 +65,7 @@ class Tree:
         for node, feature in enumerate(self.feature):  # children come after their parents
             if feature >= 0:
                 own = np.flatnonzero(here == node)
-                left = self.goes_left(node, [c[own] for c in columns])
+                left = self._left(node, columns[feature][own])
                 here[own] = self.left[node] + ~left
         return here
 
@@ -76,10 +94,15 @@ class BoostedTrees:
         return out
 
 
-def _columns(batch: pa.RecordBatch, numeric: int, categorical: int) -> list[np.ndarray]:
+def _levels(column: pa.Array) -> Levels:
+    named = column.fill_null("").dictionary_encode()
+    return Levels(named.indices.to_numpy(zero_copy_only=False), {name: i for i, name in enumerate(named.dictionary.to_pylist())})
+
+
+def _columns(batch: pa.RecordBatch, numeric: int, categorical: int) -> list[np.ndarray | Levels]:
     """The features of a batch: numbers with missing as not-a-number, categories with missing as an empty text."""
     numbers = [batch.column(i).cast(pa.float64()).fill_null(math.nan).to_numpy() for i in range(numeric)]
-    return numbers + [batch.column(i).fill_null("").to_numpy(zero_copy_only=False) for i in range(numeric, numeric + categorical)]
+    return numbers + [_levels(batch.column(i)) for i in range(numeric, numeric + categorical)]
 
 
 def _features(model: BoostedTrees) -> list[Column]:
@@ -118,7 +141,7 @@ def _histograms(model: BoostedTrees, tree: Tree, open_nodes: list[int], edges: l
                 for k, weights in ((0, gradient), (1, None)):
                     sums[k, :, f] += np.bincount(cell, weights, len(open_nodes) * most).reshape(len(open_nodes), most)
             for f in range(categorical):
-                levels, code = np.unique(columns[numeric + f][keep].astype(str), return_inverse=True)
+                levels, code = np.array(list(columns[numeric + f].places), object), columns[numeric + f].codes[keep]
                 cell = slot * len(levels) + code
                 count = np.bincount(cell, minlength=len(open_nodes) * len(levels))
                 total = np.bincount(cell, gradient, len(open_nodes) * len(levels))
@@ -166,7 +189,7 @@ def fit_second_order_trees(train: DataFrame, label: str = LABEL, numeric: Sequen
 
     Each level of a tree takes one pass over the rows: tasks add up their rows' gradients by open node, feature and bin, Spark
     adds up the tasks and picks each node's best split, and one row a node comes to the driver. A category's levels are split one
-    against all others, however many there are. Rows' margins are written every ten trees, so a pass evaluates ten at most.
+    against all others, however many there are. Rows' margins are written every four trees, so a pass evaluates four at most.
     Rows without a label are left out; a missing number goes left, a missing category is a level of its own.
     """
     rows = train.filter(F.col(label).isNotNull())
@@ -258,15 +281,22 @@ def tree_shares(tree: Tree, columns: list[np.ndarray]) -> np.ndarray:
                 walk(child, path | {f: (known & passes, share * tree.cover[child] / tree.cover[node])})
             return
         m = len(path)
-        for f, (known, share) in path.items():
-            weights = np.zeros((len(out), m))
+        if not m:
+            return
+        known, shares = np.stack([k for k, _ in path.values()]), [s for _, s in path.values()]
+        # Rows with the same features known have the same weights, so these are made once a pattern.
+        listed = m <= LISTED
+        seen = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(bool) if listed else known.T
+        place = (known * (1 << np.arange(m, dtype=np.int32))[:, None]).sum(axis=0) if listed else slice(None)
+        order = np.array([math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)])
+        for i, f in enumerate(path):
+            weights = np.zeros((len(seen), m))
             weights[:, 0] = 1
-            for other, (passes, part) in path.items():
-                if other != f:
-                    weights[:, 1:] = weights[:, 1:] * part + weights[:, :-1] * passes[:, None]
-                    weights[:, 0] *= part
-            order = np.array([math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)])
-            out[:, f] += tree.value[node] * (known - share) * (weights @ order)
+            for j in range(m):
+                if j != i:
+                    weights[:, 1:] = weights[:, 1:] * shares[j] + weights[:, :-1] * seen[:, j, None]
+                    weights[:, 0] *= shares[j]
+            out[:, f] += (tree.value[node] * (seen[:, i] - shares[i]) * (weights @ order))[place]
 
     walk(0, {})
     return out
