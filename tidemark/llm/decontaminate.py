@@ -18,6 +18,8 @@ _BASE = 0x9FB21C651E98DF25
 SIEVE_BITS = 24
 #: A prefix row with its window text is about this large; the prefix table is broadcast up to MOST_BROADCAST bytes.
 PREFIX_BYTES, MOST_BROADCAST = 300, 32 << 20
+#: Bytes of text that a task cuts into words at once: several numbers are held for each word meanwhile.
+READ_BYTES = 1 << 20
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,7 +79,7 @@ def _counts(widths: list[int], sieve: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, most_bytes=READ_BYTES):
                 *_, first, hashes = _words(text_column(part))
                 for width in widths:
                     h = _shingles(hashes, width)[window_rows(first, width)[0]]
@@ -93,7 +95,7 @@ def _candidates(widths: list[int], sieve: np.ndarray, reach: int, ahead: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, most_bytes=READ_BYTES):
                 data, starts, ends, first, hashes = _words(text_column(part))
                 found_h, found_w, found_row, found_at = [], [], [], []
                 for width in widths:

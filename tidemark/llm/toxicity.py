@@ -74,12 +74,13 @@ def places(vocabulary: dict[bytes, int], text: str) -> list[int]:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for text, label in zip(text_column(batch).to_pylist(), column(batch, "label").to_pylist()):
-            counts[label].update(features_of(text))
-        for label, own in counts.items():
-            yield pa.record_batch({"word": pa.array(list(own), pa.binary()), "label": pa.array([label] * len(own), pa.int32()),
-                                   "n": pa.array(list(own.values()), pa.int64())})
+        for part in pieces(batch):
+            counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+            for text, label in zip(text_column(part).to_pylist(), column(part, "label").to_pylist()):
+                counts[label].update(features_of(text))
+            for label, own in counts.items():
+                yield pa.record_batch({"word": pa.array(list(own), pa.binary()), "label": pa.array([label] * len(own), pa.int32()),
+                                       "n": pa.array(list(own.values()), pa.int64())})
 
 
 def telling_words(rows: DataFrame, most: int = VOCABULARY) -> list[bytes]:
