@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -15,12 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from tidemark.functions.memory import give_back
 from tidemark.llm.chunks import MOST_PIECES, Memory, encode_items, no_collection
 from tidemark.llm.staging import column, id_and_text, lists, pieces, text_column, tidy
 
 #: A cut that no match can cross: before a space that follows a character other than white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
 _RUN = re.compile(r"\s ")
+#: Text that is encoded at once.
+READ_BYTES = 512 << 10
 
 
 def byte_characters() -> list[str]:
@@ -51,9 +55,14 @@ def tokenizer_json(path: str) -> str:
     ranks, shown = read_ranks(path), byte_characters()
     show = lambda token: "".join(shown[b] for b in token)
     merges = [tuple(map(show, _halves(t, ranks))) for t in sorted(ranks, key=ranks.get) if len(t) > 1]
-    own = Tokenizer(models.BPE({show(t): r for t, r in ranks.items()}, merges, ignore_merges=True))
+    return _tokenizer({show(t): r for t, r in ranks.items()}, merges).to_str()
+
+
+def _tokenizer(vocabulary: dict[str, int], merges: list[tuple[str, str]]) -> Tokenizer:
+    """Without a memory of its own, as each distinct match is encoded once."""
+    own = Tokenizer(models.BPE(vocabulary, merges, cache_capacity=0, ignore_merges=True))
     own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-    return own.to_str()
+    return own
 
 
 class Encoder:
@@ -61,7 +70,8 @@ class Encoder:
 
     def __init__(self, spec: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.find = Tokenizer.from_str(spec), regex.compile(pattern).findall
+        model, self.find = json.loads(spec)["model"], regex.compile(pattern).findall
+        self.tokenizer = _tokenizer(model["vocab"], list(map(tuple, model["merges"])))
         self.shown = dict(enumerate(byte_characters()))
         self.parts = Memory(self._encode_parts, MOST_PIECES)
         self.whole = Memory(self._encode)
@@ -104,7 +114,7 @@ def _encoder(spec: str, pattern: str) -> Encoder:
 def _byte_table(spec: str) -> list[bytes]:
     """The bytes of each id: the byte characters reversed."""
     value = {c: b for b, c in enumerate(byte_characters())}
-    vocabulary = Tokenizer.from_str(spec).get_vocab(with_added_tokens=False)
+    vocabulary = json.loads(spec)["model"]["vocab"]
     table = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         table[i] = bytes(value[c] for c in token)
@@ -123,7 +133,7 @@ def _encode(spec: str, pattern: str, offsets: bool, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec, pattern)
         for batch in batches:
-            for part in pieces(batch, most_bytes=2 << 20):
+            for part in pieces(batch, most_bytes=READ_BYTES):
                 coded = encoder.encode(text_column(part).to_pylist())
                 values = np.frombuffer(b"".join(coded), np.int32)
                 ends = np.cumsum([len(c) // 4 for c in coded])
@@ -137,7 +147,9 @@ def _encode(spec: str, pattern: str, offsets: bool, decoded: bool):
                             for own in np.split(values, ends[:-1])]
                     for k, name in enumerate(("starts", "ends")):
                         out[name] = lists(np.concatenate([e[k] for e in each]).astype(np.int32), ends, pa.int32())
+                del coded
                 yield pa.record_batch(out)
+                give_back()
         # A worker lives on after its task, beside those of later stages: the tokenizer goes too, and is made again in a moment.
         encoder.forget()
         _encoder.cache_clear()

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Stretches and the pieces they are made of, remembered before a memory starts again.
-MOST, MOST_PIECES = 150_000, 350_000
+MOST, MOST_PIECES = 150_000, 150_000
 
 
 @contextmanager
@@ -36,11 +36,10 @@ class Memory(dict):
         self.learn_set(set().union(*stretches))
 
     def learn_set(self, distinct: set[str]) -> None:
-        new = distinct - self.keys()
+        new = [x for x in distinct if x not in self]  # not a difference of sets: that would walk through the whole memory
         if len(self) + len(new) > self.most:
             self.clear()
-            new = distinct
-        new = list(new)
+            new = list(distinct)
         self.update(zip(new, self.encode(new)))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.memory import give_back, keep_little
 from tidemark.session import scratch_path
 
 
@@ -26,15 +26,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Give freed memory back to the system when a task ends: its Python worker lives on, beside those of later stages."""
+    """Give freed memory back to the system, large blocks at once and the rest when a task ends: its Python worker lives on,
+    beside those of later stages."""
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_little()
         yield from run(batches)
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # only some C libraries have it
-            pass
+        give_back()
     return tidied
 
 
