@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 from tidemark.sources.bucketed import BucketedTable
+from tidemark.operators import customers
 from tidemark.sources.commits import CommitLog, Conflict
 from tidemark.sources.readers import read_keyed_customers
 from tidemark.sources.writers import append_valid, read_version, remove_versions, write_version
@@ -170,3 +171,17 @@ def test_valid_rows_of_a_repeated_batch_are_there_once(spark):
     for batch, top in ((0, 10), (0, 10), (1, 4)):
         append_valid(spark.range(top), F.col("id") % 2 == 0, f"{out}/good", f"{out}/bad", batch)
     assert spark.read.parquet(f"{out}/good").count() == 7 and spark.read.parquet(f"{out}/bad").count() == 7
+
+
+def test_a_merge_folds_patches_once(spark, table, fixed, monkeypatch):
+    folds, fold = [], customers._latest
+    monkeypatch.setattr(customers, "_latest", lambda patches, order: folds.append(order) or fold(patches, order))
+    rows = [(5, '{"phone": "old", "email": null, "customer_id": 9}', 1), (5, '{"phone": "new", "extra": {"a": [1, null]}}', 2), (6, "no JSON", 3),
+            (7, "{}", 3), (None, '{"phone": "nobody"}', 3), (900, '{"phone": "unknown"}', 3)]
+    table.merge(fixed(PATCH, *rows), ["at"])
+    assert len(folds) == 1
+    table.merge(fixed(PATCH, (5, '{"phone": "late", "email": "first"}', 0)), ["at"])
+    assert len(folds) == 2
+    own = {r.customer.customer_id: json.loads(r.fields) for r in table.records.read(spark).collect()}
+    assert (own[5]["phone"], own[5]["email"], own[5]["extra"], own[5]["customer_id"]) == ("new", None, {"a": [1, None]}, 5)
+    assert (own[6]["phone"], own[7]["phone"]) == ("0", "0") and set(own) == set(range(200))

@@ -79,6 +79,11 @@ def rejected_patches(patches: DataFrame) -> DataFrame:
     return patches.filter(F.from_json("patch", "map<string,variant>").isNull())
 
 
+def patches_with_fields(patches: DataFrame) -> DataFrame:
+    """Patches that are a JSON object with at least one field."""
+    return patches.filter(F.size(F.from_json("patch", "map<string,variant>")) > 0)
+
+
 def _latest(patches: DataFrame, order: list[str]) -> DataFrame:
     """(customer_id, field, last): per field the value and order that come last."""
     fields = patches.select(ID_FIELD, *order, F.explode(F.from_json("patch", "map<string,variant>")).alias("field", "value"))
@@ -104,6 +109,12 @@ def latest_patches(patches: DataFrame, order: list[str]) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("field", "last.value"))).alias("patch"))
 
 
+def joined_fields(latest: DataFrame) -> DataFrame:
+    """One patch map per customer from patches that ``latest_fields`` has made: they are folded already, so no field comes twice."""
+    entries = F.map_entries(F.from_json("patch", "map<string,variant>"))
+    return latest.groupBy(ID_FIELD).agg(F.map_from_entries(F.flatten(F.collect_list(entries))).alias("patch"))
+
+
 def apply_patches(records: DataFrame, patches: DataFrame) -> DataFrame:
     """Merge one patch map per customer into the records: (customer_id, pos, key, fields, status).
 

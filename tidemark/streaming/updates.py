@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.embed import Embedder, embed_text
 from tidemark.functions.text import IMPORT_CHUNKING
 from tidemark.operators.corpus import chunk_documents
-from tidemark.operators.customers import apply_patches, as_records, latest_fields, latest_patches, rejected_patches
+from tidemark.operators.customers import (apply_patches, as_records, joined_fields, latest_fields, latest_patches, patches_with_fields,
+                                          rejected_patches)
 from tidemark.operators.vector_index import VectorIndex, append_to_index
 from tidemark.session import checkpointed
 from tidemark.sources.bucketed import BUCKETS, BucketedTable
@@ -100,15 +101,15 @@ class CustomerTable:
 
         First the latest patch of each field is brought up to date, then the records of the same buckets are made from those.
         Either change is made again where another writer changed one of these buckets, so no patch is lost; merging a patch twice
-        changes nothing.
+        changes nothing. Patches are folded once, together with what the buckets hold.
         """
         spark = patches.sparkSession
-        fresh = checkpointed(latest_fields(patches.select("customer_id", "patch", *order), order))
+        fresh = checkpointed(patches_with_fields(patches.select("customer_id", "patch", *order)))
         touched = self.patches.touched(fresh, "customer_id")
         self.patches.change(spark, touched, lambda old: latest_fields(old.unionByName(fresh), order))
 
         def merged(old: DataFrame) -> DataFrame:
-            last = latest_patches(self.patches.read(spark, buckets=touched), order)
+            last = joined_fields(self.patches.read(spark, buckets=touched))
             parsed = old.withColumn("fields", F.from_json("fields", "map<string,variant>"))
             return as_records(apply_patches(parsed, last), CUSTOMER_TYPE).withColumn("fields", F.to_json("fields", {"ignoreNullFields": "false"}))
 
