@@ -151,3 +151,19 @@ def test_metrics_of_constant_label(fixed):
 def test_percentile_helper_agrees_with_numpy(fares):
     row = exact_percentiles(fares, [], ["target"], {"p": 0.37}).first()
     assert row.p == pytest.approx(np.quantile([r.target for r in fares.select("target").collect()], 0.37))
+
+
+def test_boosted_trees_pass_over_the_rows_in_as_many_tasks_as_there_are_cores(spark, monkeypatch):
+    parts, rows = [], []
+
+    class Watched(models.Pipeline):
+        def fit(self, df):
+            parts.append(df.rdd.getNumPartitions())
+            rows.append(df.count())
+            return super().fit(df)
+
+    monkeypatch.setattr(models, "Pipeline", Watched)
+    one = spark.range(0, 400, 1, 1).selectExpr("id % 20 AS x", "cast(id % 3 AS string) AS kind", "2.0 * (id % 20) AS y", "id AS unused")
+    model = models.fit_boosted_trees(one, "y", ["x"], ["kind"], trees=2)
+    assert parts == [spark.sparkContext.defaultParallelism] and parts[0] > 1 and rows == [400]
+    assert models.predict(model, one).count() == 400

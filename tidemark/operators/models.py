@@ -107,11 +107,14 @@ def fit_boosted_trees(train: DataFrame, label: str = LABEL, numeric: Sequence[st
     """Gradient-boosted trees with squared error.
 
     MLlib checkpoints the residuals every ten trees in the shared folder, so the
-    lineage stays short.
+    lineage stays short. The training rows are written once, dealt evenly to as many parts as
+    there are cores: each level of a tree is a pass over them, in as many tasks as they have parts.
     """
+    width = train.sparkSession.sparkContext.defaultParallelism
+    dealt = checkpointed(train.select(*dict.fromkeys([label, *numeric, *categorical])).repartition(width))
     trees_stage = GBTRegressor(labelCol=label, featuresCol="features", maxIter=trees, stepSize=rate, maxDepth=depth,
                                lossType="squared", seed=seed, checkpointInterval=10)
-    return Pipeline(stages=[*feature_stages(numeric, categorical), trees_stage]).fit(train)
+    return Pipeline(stages=[*feature_stages(numeric, categorical), trees_stage]).fit(dealt)
 
 
 def fit_linear(train: DataFrame, label: str = LABEL, numeric: Sequence[str] = NUMERIC,
