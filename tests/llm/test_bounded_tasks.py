@@ -58,3 +58,13 @@ def test_memory_does_not_walk_through_itself_to_learn():
     assert dict(known) == {x: x.encode() for x in "abcd"}
     known.learn([["d", "e"]])  # over its bound: starts again with what is asked for
     assert dict(known) == {"d": b"d", "e": b"e"}
+
+
+def test_the_sieve_stays_packed(spark):
+    rng = np.random.default_rng(4)
+    wanted = np.unique(rng.integers(0, 1 << 64, 1000, np.uint64))
+    sieve = decontaminate._sieve(spark.createDataFrame([(int(h),) for h in wanted.view(np.int64)], "h bigint"))
+    assert sieve.nbytes == 1 << (decontaminate.SIEVE_BITS - 3)
+    assert decontaminate._seen(sieve, wanted).all()
+    asked, shift = rng.integers(0, 1 << 64, 200_000, np.uint64), np.uint64(64 - decontaminate.SIEVE_BITS)
+    assert (decontaminate._seen(sieve, asked) == np.isin(asked >> shift, wanted >> shift)).all()

@@ -1,6 +1,7 @@
 """The pipeline against a plain Python version, and the registered queries against their SQL."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
@@ -95,3 +96,15 @@ def test_query_matches_its_sql(spark, name):
 
 def test_all_operators_are_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} and "pipeline" in contract.queries()
+
+
+@pytest.mark.parametrize("before, after", [("10000", 1000), ("0", 1000), ("300", 300)])
+def test_a_stage_hands_few_rows_at_once_to_python(spark, before, after):
+    name, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    spark.conf.set(name, before)
+    try:
+        corpus_pipeline.encode_bytes(spark, spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), "")
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(lambda batches: (pa.record_batch({"id": [b.num_rows]}) for b in batches), "id bigint")
+        assert max(r.id for r in sizes.collect()) == after
+    finally:
+        spark.conf.set(name, default)

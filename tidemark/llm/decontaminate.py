@@ -67,11 +67,15 @@ def _sieve(hashes: DataFrame) -> np.ndarray:
     table = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
     for row in words:
         table[row["word"]] = row["bits"]
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+    return table.view(np.uint8)
 
 
 def _seen(sieve: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return sieve[(h >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)]
+    """Which hashes the bitmap has: packed bits, as a worker keeps it and the message it came in beyond its task, or a bool a place."""
+    place = (h >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+    if sieve.dtype == bool:
+        return sieve[place]
+    return (sieve[place >> 3] >> (place & 7).astype(np.uint8) & 1).view(bool)
 
 
 def _counts(widths: list[int], sieve: np.ndarray):

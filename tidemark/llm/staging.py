@@ -36,6 +36,17 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return tidied
 
 
+#: Rows that go to a Python worker at once. Spark's 10,000 documents of 3 to 4 KB fill buffers of 64 MB, on both sides.
+ROWS_AT_ONCE = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands at most ROWS_AT_ONCE rows at once to Python workers; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
