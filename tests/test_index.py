@@ -185,3 +185,20 @@ def test_candidates_leave_a_task_in_bounded_batches():
     near = 1 - np.einsum("qgj,rgj->qr", q.reshape(n, 2, 4), np.stack([books[g][codes[3][:, g]] for g in range(2)], axis=1))
     best = sorted((r["near"], r["doc"]) for r in table if r["query_id"] == 7 and r["coarse"] == 3)
     assert np.allclose([b[0] for b in best], np.sort(near[7])[:80], atol=1e-5)
+
+
+def test_rows_meet_all_centroids_in_one_pass(spark, clustered):
+    docs, _, index = clustered
+    rows = vector_index.assign_leaves(docs.unionByName(docs.limit(0)), index, "embedding")
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+    centers = [np.array([r.embedding for r in spark.read.parquet(path).sort("centroid").collect()]) for path in (index.coarse_path, index.fine_path)]
+    books = residual_codes.read_books(spark, index.books_path)
+    for row in rows.collect()[::30]:
+        own = np.array(row.embedding)
+        coarse = int(((own - centers[0]) ** 2).sum(axis=1).argmin())
+        first = own - centers[0][coarse]
+        fine = int(((first - centers[1]) ** 2).sum(axis=1).argmin())
+        rest = first - centers[1][fine]
+        assert (row.coarse, row.centroid, row.part) == (coarse, coarse * len(centers[1]) + fine, -1)
+        assert np.allclose([row.length, row.off, row.off_cell], [np.linalg.norm(v) for v in (own, rest, first)], atol=1e-5)
+        assert row.code == residual_codes.encode(rest[None].astype(np.float32), books).tobytes()

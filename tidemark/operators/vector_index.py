@@ -54,6 +54,8 @@ OVERFULL = 2
 
 #: What a task holds at once: bytes of look-up tables, candidates that leave it, and queries that meet a block of balls.
 TABLE_BYTES, ROWS_AT_ONCE, BOUNDED_AT_ONCE = 16 << 20, 1 << 16, 128
+#: Rows that a task places among the centroids at once.
+PLACED_AT_ONCE = 1024
 #: A leaf in a broadcast list of leaves, and a candidate.
 LEAF_BYTES, CANDIDATE_BYTES = 32, 128
 
@@ -149,21 +151,66 @@ def _save_centers(model: KMeansModel, spark: SparkSession, path: str) -> None:
     spark.createDataFrame(rows, _CENTROIDS).write.mode("overwrite").parquet(path)
 
 
-def _placed(vectors: DataFrame, index: VectorIndex, vector: str) -> DataFrame:
-    """Add ``coarse``, ``centroid`` (the leaf's number), ``_first`` and ``_rest`` (what is left after one and after both centroids)."""
-    coarse, fine = (KMeansModel.load(f"{index.path}/{name}-model") for name in ("coarse", "fine"))
-    first = _without_center(_nearest_center(vectors, coarse, vector, "coarse"), index.coarse_path, "coarse", vector, "_first")
-    both = _without_center(_nearest_center(first, fine, "_first", "_fine"), index.fine_path, "_fine", "_first", "_rest")
-    return both.withColumn("centroid", F.col("coarse") * len(fine.clusterCenters()) + F.col("_fine")).drop("_fine")
+def _center_matrix(spark: SparkSession, path: str) -> np.ndarray:
+    """A level's centroids as a matrix: at most MOST_CENTROIDS rows."""
+    rows = sorted(spark.read.schema(_CENTROIDS).parquet(path).collect(), key=lambda r: r["centroid"])
+    return np.array([r["embedding"] for r in rows], np.float32)
+
+
+def _nearest_rows(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    own = centers.astype(np.float64)
+    return (points.astype(np.float64) @ own.T - 0.5 * (own ** 2).sum(axis=1)).argmax(axis=1)
+
+
+def _lengths(matrix: np.ndarray, known: np.ndarray) -> pa.Array:
+    return pa.array(np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=1)), mask=~known)
+
+
+def _placed(vectors: DataFrame, index: VectorIndex, vector: str, codes: bool) -> Column:
+    """A struct: ``coarse``, ``centroid`` (the leaf's number), and with ``codes`` the row's ``code``, its ``length`` and how far it is
+    ``off`` its leaf's centroid and ``off_cell`` its coarse one; otherwise ``rest``, what is left after both centroids.
+
+    Rows meet all centroids of a level as matrices, PLACED_AT_ONCE at a time: the centroids grow with the square root of the rows.
+    """
+    spark = vectors.sparkSession
+    coarse, fine = (_center_matrix(spark, path) for path in (index.coarse_path, index.fine_path))
+    books = residual_codes.read_books(spark, index.books_path) if codes else None
+    names = ["coarse", "centroid", *(["code", "length", "off", "off_cell"] if codes else ["rest"])]
+    dims = coarse.shape[1]
+
+    @F.arrow_udf("coarse int, centroid int, " + ("code binary, length double, off double, off_cell double" if codes else "rest array<float>"))
+    def placed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [batch.slice(low, PLACED_AT_ONCE) for low in range(0, len(batch), PLACED_AT_ONCE)] or [batch]
+            yield pa.concat_arrays([_place(part) for part in parts])
+            give_back()
+
+    def _place(part: pa.Array) -> pa.Array:
+        flat = part.flatten()
+        matrix = flat.to_numpy(zero_copy_only=False).reshape(-1, dims)
+        holes = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        known = ~holes.any(axis=1)
+        single = matrix.astype(np.float32)
+        first_at = _nearest_rows(np.where(holes, 0, matrix), coarse)
+        first = single - coarse[first_at]
+        fine_at = _nearest_rows(np.where(holes, 0, first), fine)
+        rest = first - fine[fine_at]
+        at = [pa.array(first_at.astype(np.int32)), pa.array((first_at * len(fine) + fine_at).astype(np.int32))]
+        if not codes:
+            ends = pa.array(np.arange(len(rest) + 1) * dims, pa.int32())
+            return pa.StructArray.from_arrays([*at, pa.ListArray.from_arrays(ends, pa.array(rest.reshape(-1)))], names=names)
+        code = pa.array([row.tobytes() for row in residual_codes.encode(rest, books)], pa.binary())
+        return pa.StructArray.from_arrays([*at, code, _lengths(matrix, known), _lengths(rest, known), _lengths(first, known)], names=names)
+
+    return placed.asNondeterministic()(F.col(vector))  # else the optimizer may run it once for each field
 
 
 def assign_leaves(vectors: DataFrame, index: VectorIndex, vector: str) -> DataFrame:
     """Add ``coarse``, ``centroid`` (the leaf's number), ``part``, the row's ``code``, its ``length`` and how far it is ``off`` its
-    leaf's centroid and ``off_cell`` its coarse one; no shuffle."""
-    books = residual_codes.read_books(vectors.sparkSession, index.books_path)
-    return _placed(vectors, index, vector).withColumns({
-        "part": F.lit(-1), "code": residual_codes.code_column(F.col("_rest"), books), "length": _length(vector),
-        "off": _length("_rest"), "off_cell": _length("_first")}).drop("_rest", "_first")
+    leaf's centroid and ``off_cell`` its coarse one; one pass, no shuffle."""
+    own = vectors.withColumn("_placed", _placed(vectors, index, vector, True))
+    return own.select("*", "_placed.coarse", "_placed.centroid", F.lit(-1).alias("part"), "_placed.code", "_placed.length", "_placed.off",
+                      "_placed.off_cell").drop("_placed")
 
 
 def _write_folder(rows: DataFrame, index: VectorIndex) -> str | None:
@@ -244,7 +291,8 @@ def build_index(vectors: DataFrame, path: str, vector: str = "embedding", leaf_s
     coarse = KMeansModel.load(f"{path}/coarse-model")
     fit(_without_center(_nearest_center(distinct, coarse, "v", "coarse"), index.coarse_path, "coarse", "v", "_first"), "_first", "fine")
     some = distinct.filter(_hash_share("v", distinct.count(), residual_codes.MOST_TRAINED))
-    residual_codes.train_books(_placed(some, index, "v"), "_rest", dims, index.books_path, seed)
+    rests = some.select(_placed(some, index, "v", False).alias("_placed")).select("_placed.rest")
+    residual_codes.train_books(rests, "rest", dims, index.books_path, seed)
     usual = distinct.agg(F.sqrt(F.avg(_length("v") ** 2))).first()[0] or 1.0
     facts = [(dims, leaf_size, float(usual), vector)]
     spark.createDataFrame(facts, "dims int, leaf_size int, usual double, vector string").write.mode("overwrite").parquet(index.facts_path)
